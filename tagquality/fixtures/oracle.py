@@ -345,15 +345,22 @@ _COMPLETENESS_STATUS = """CASE WHEN floor_rows IS NULL THEN 'Unknown'
     WHEN actual_rows < floor_rows THEN 'Unhealthy' ELSE 'Healthy' END"""
 
 
+def _millis(column: str, name: str | None = None) -> str:
+    """JSON carries milliseconds."""
+    return f"date_trunc('millisecond', {column}) AS {name or column}"
+
+
 def _payload(columns: str, where: str = "true") -> str:
-    return f"SELECT table_id AS event_key, {columns} FROM fx_results WHERE {where}"
+    return f"""SELECT table_id AS event_key, {_millis("event_time")}, {columns}
+               FROM fx_results WHERE {where}"""
 
 
 _ANOMALY = "upper(status) <> 'HEALTHY'"
-_BRIEF = """event_time, catalog_name, schema_name, table_name, status,
-            freshness_status, completeness_status, impact_level"""
+_RESULT = """catalog_name, schema_name, table_name, status,
+             freshness_status, completeness_status, impact_level"""
 _ANOMALY_PAYLOAD = _payload(
-    f"{_BRIEF}, last_commit, actual_rows, min_expected_rows, downstream_tables, queries_affected",
+    f"{_RESULT}, {_millis('last_commit')}, actual_rows, min_expected_rows, downstream_tables, "
+    "queries_affected",
     _ANOMALY,
 )
 
@@ -541,7 +548,7 @@ ORACLE: dict[str, str] = {
         LEFT JOIN fan_out o ON o.root = t.table_id
         LEFT JOIN asked a ON a.root = t.table_id""",
     "health_recent": f"""
-        SELECT {_BRIEF} FROM fx_results
+        SELECT event_time, {_RESULT} FROM fx_results
         ORDER BY event_time DESC, catalog_name, schema_name, table_name, status NULLS FIRST,
                  freshness_status, completeness_status, impact_level LIMIT 50""",
     "health_anomalies": f"""
@@ -595,12 +602,12 @@ ORACLE: dict[str, str] = {
         FROM fx_results GROUP BY ALL""",
     # --- events
     "event_payload": _payload(
-        """event_time, catalog_name, schema_name, table_name, table_id, status, freshness_status,
-           last_commit AS freshness_last_commit, predicted_commit AS freshness_predicted_commit,
-           completeness_status, actual_rows AS completeness_actual_rows,
-           min_expected_rows AS completeness_min_expected, impact_level, downstream_tables"""
+        f"""{_RESULT}, table_id, {_millis("last_commit", "freshness_last_commit")},
+            {_millis("predicted_commit", "freshness_predicted_commit")},
+            actual_rows AS completeness_actual_rows,
+            min_expected_rows AS completeness_min_expected, downstream_tables"""
     ),
-    "event_payload_brief": _payload(_BRIEF),
+    "event_payload_brief": _payload(_RESULT),
     "event_anomalies_only": _ANOMALY_PAYLOAD,
     "event_stream": _ANOMALY_PAYLOAD,
     # --- chargeback through schema tags

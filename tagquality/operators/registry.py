@@ -49,7 +49,7 @@ def register_clients(registry: DataFrame, clients: DataFrame, as_of: AsOf = None
 
 def _names(schemas: str | Column) -> Column:
     """The trimmed, non-empty, distinct names in a comma list."""
-    names = F.transform(F.split(schemas, ","), F.trim)
+    names = F.transform(F.split(schemas, ","), lambda n: F.trim(n))
     return F.array_distinct(F.filter(names, lambda n: n != ""))
 
 
