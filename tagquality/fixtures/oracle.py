@@ -512,8 +512,10 @@ ORACLE: dict[str, str] = {
         WITH {_FRESHNESS},
         {_buckets("events", "user_id", "ts", VOLUME_AS_OF)},
         edges AS (
-            SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS root, CAST(l_suppkey AS VARCHAR) AS table_id
-            FROM lineitem WHERE l_partkey <> l_suppkey),
+            SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS root,
+                   CAST(CASE WHEN l_linenumber < 4 THEN (l_partkey + 2) // 3
+                             ELSE (l_partkey + 4) // 5 END AS VARCHAR) AS table_id
+            FROM lineitem),
         fan_out AS (SELECT root, count(*) AS n FROM edges GROUP BY root),
         affected AS (SELECT * FROM edges UNION SELECT table_id, table_id FROM fx_tables),
         said AS (

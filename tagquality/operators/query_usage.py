@@ -2,9 +2,9 @@
 
 Two ways to find the schemas. `like` finds the text `CATALOG.SCHEMA` anywhere, with
 the wildcards of LIKE, so `a.s1` is also found in `a.s10`. `identifier` cuts whole
-names out of the text and matches those. Both are hash joins: `like` first joins on
-the few characters around the dot and then tests the full pattern, so no statement
-is compared with every schema.
+names out of the text and matches those. Both are joins on equal keys, so no
+statement is compared with every schema: `like` turns each schema name into a
+length and the places of its wildcards, and cuts keys of those shapes from the text.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from tagquality.operators.tags import SCHEMA_KEY
 from tagquality.plans.calendar import AsOf, as_of_date, days_before, instant, month_of
 from tagquality.plans.joins import lookup_join
 
-# Characters taken on either side of the dot: the longest step that is free of wildcards.
+# Characters taken before the dot: the longest step that is free of wildcards.
 ANCHOR_STEPS = (8, 3, 0)
 
 _PART = r"(?:`[^`]+`|[\p{L}\p{N}_]+)"
@@ -46,56 +46,102 @@ def _step(literal: Column) -> Column:
     return F.when(size >= long, long).when(size >= short, short).otherwise(none)
 
 
-def _anchored(dim: DataFrame) -> DataFrame:
-    """The dimension with its LIKE pattern and the literal characters around the dot."""
-    before = F.regexp_extract(F.upper("catalog_name"), r"([^_%\\.]*)$", 1)
-    after = F.regexp_extract(F.upper("schema_name"), r"^([^_%\\.]*)", 1)
-    name = F.concat(F.upper("catalog_name"), F.lit("."), F.upper("schema_name"))
+def _patterns(dim: DataFrame) -> DataFrame:
+    """The dimension with the parts of its LIKE pattern on either side of the dot.
+
+    A part ends where a `%` or an escape stands; the full pattern is then tested too.
+    """
+    catalog, schema = F.upper("catalog_name"), F.upper("schema_name")
+    whole = ~F.concat(catalog, schema).rlike(r"[%\\]")
     return dim.withColumns(
         {
-            "_anchor": F.concat(
-                F.right(before, _step(before)), F.lit("."), F.left(after, _step(after))
-            ),
-            "_pattern": F.concat(F.lit("%"), name, F.lit("%")),
-            "_literal": F.when(~name.rlike(r"[_%\\]"), name),
+            "_tail": F.regexp_extract(catalog, r"[^%\\]*$", 0),
+            "_head": F.regexp_extract(schema, r"^[^%\\]*", 0),
+            "_pattern": F.when(~whole, F.concat(F.lit("%"), catalog, F.lit("."), schema, F.lit("%"))),
         }
     )
 
 
+def _catalogs(patterns: DataFrame) -> DataFrame:
+    """Per catalog: an anchor, a regex for what follows its dots, and the shapes of its schemas.
+
+    The shape of a schema name is its length and the places of its wildcards.
+    """
+    literal = F.regexp_extract("_tail", r"[^_.]*$", 0)
+    escaped = F.regexp_replace("_tail", r"[\p{Punct}&&[^_]]", r"\\$0")
+    size = F.length("_head")
+    places = F.filter(F.sequence(F.lit(1), size), lambda i: F.substr("_head", i, F.lit(1)) == "_")
+    shape = F.struct(
+        size.alias("size"), F.when(size > 0, places).otherwise(F.array()).alias("wild")
+    )
+    return (
+        patterns.groupBy("_tail")
+        .agg(F.collect_set(shape).alias("_shapes"), F.max(size).alias("_longest"))
+        .select(
+            "_tail",
+            "_shapes",
+            F.right(literal, _step(literal)).alias("_anchor"),
+            # Looks ahead only, so places that overlap are all found.
+            F.concat(
+                F.lit("(?s)(?="),
+                F.replace(escaped, F.lit("_"), F.lit(".")),
+                F.lit(r"\.(.{0,"),
+                F.col("_longest").cast("string"),
+                F.lit("}))"),
+            ).alias("_regex"),
+        )
+    )
+
+
 def _anchors(text: Column) -> Column:
-    """Distinct anchors of every step around every dot of a text."""
+    """Distinct endings, of every anchor step, of what stands before the dots of a text."""
     pieces = F.split(text, r"\.")
-    dots = F.size(pieces) - 1
-    around = F.zip_with(
-        F.slice(pieces, F.lit(1), dots),
-        F.slice(pieces, F.lit(2), dots),
-        lambda left, right: F.array(
-            *[
-                F.concat(F.right(left, F.lit(a)), F.lit("."), F.left(right, F.lit(b)))
-                for a in ANCHOR_STEPS
-                for b in ANCHOR_STEPS
-            ]
-        ),
+    before = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    endings = F.transform(
+        before, lambda piece: F.array(*[F.right(piece, F.lit(n)) for n in ANCHOR_STEPS])
     )
-    return F.array_distinct(F.flatten(around))
+    return F.array_distinct(F.flatten(endings))
+
+
+def _heads() -> Column:
+    """What follows the dots of a catalog, cut to each shape, wildcard places blanked."""
+    after = F.array_distinct(F.regexp_extract_all("_text", F.col("_regex"), F.lit(1)))
+
+    def cut(window: Column, shape: Column) -> Column:
+        return F.aggregate(
+            shape["wild"],
+            F.left(window, shape["size"]),
+            lambda head, place: F.overlay(head, F.lit("_"), place, F.lit(1)),
+        )
+
+    def cuts(window: Column) -> Column:
+        long_enough = F.filter("_shapes", lambda s: s["size"] <= F.length(window))
+        return F.transform(long_enough, lambda s: cut(window, s))
+
+    return F.array_distinct(F.flatten(F.transform(after, cuts)))
 
 
 def match_by_like(history: DataFrame, dim: DataFrame) -> DataFrame:
     """Statements with each dimension row whose `CATALOG.SCHEMA` pattern the text is like.
 
-    A dimension row has one anchor and the anchors of a statement are distinct, so a
-    pair of the two comes up once, however often the name stands in the text.
+    First the catalogs a text may name, then the schemas of those: both are equal-key
+    joins. A catalog has one anchor and a schema one head, and the keys of a statement
+    are distinct, so a statement meets a dimension row once, however often it names it.
     """
+    patterns = _patterns(dim)
     text = history.withColumn("_text", F.upper("statement_text"))
-    candidates = text.withColumn("_anchor", F.explode(_anchors(F.col("_text"))))
-    hit = F.coalesce(
-        F.contains(F.col("_text"), F.col("_literal")), F.like(F.col("_text"), F.col("_pattern"))
+    near = lookup_join(
+        text.withColumn("_anchor", F.explode(_anchors(F.col("_text")))),
+        _catalogs(patterns),
+        ["_anchor"],
     )
-    return (
-        lookup_join(candidates, _anchored(dim), ["_anchor"])
-        .where(hit)
-        .drop("_text", "_anchor", "_pattern", "_literal")
+    found = lookup_join(
+        near.withColumn("_head", F.explode(_heads())).drop("_anchor", "_regex", "_shapes"),
+        patterns,
+        ["_tail", "_head"],
     )
+    full = F.col("_pattern").isNull() | F.like(F.col("_text"), F.col("_pattern"))
+    return found.where(full).drop("_text", "_tail", "_head", "_pattern")
 
 
 def match_by_identifier(history: DataFrame, dim: DataFrame) -> DataFrame:
