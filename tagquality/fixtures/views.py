@@ -282,8 +282,7 @@ class SampleTables:
     @cached_property
     def usage(self) -> DataFrame:
         tags = ("billing_code", "requesting_team", "cost_center", "scan_type")
-        entries = F.array(*[F.struct(F.lit(t).alias("key"), F.col(t).alias("value")) for t in tags])
-        present = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+        named = F.create_map(*[part for tag in tags for part in (F.lit(tag), F.col(tag))])
         meta = F.struct(
             "schema_id",
             "table_id",
@@ -291,7 +290,7 @@ class SampleTables:
             "job_run_id",
             F.lit(None).cast("string").alias("notebook_id"),
         )
-        return self.usage_flat.withColumns({"usage_metadata": meta, "custom_tags": present}).drop(
+        return self.usage_flat.withColumns({"usage_metadata": meta, "custom_tags": named}).drop(
             *tags, "schema_id", "table_id", "job_id", "job_run_id"
         )
 

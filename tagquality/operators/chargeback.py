@@ -192,7 +192,7 @@ def tag_value(usage: DataFrame, key: str) -> Column:
     """
     if key in usage.columns:
         return F.col(key)
-    return F.element_at("custom_tags", F.lit(key))
+    return F.col("custom_tags")[key]
 
 
 def scanning_usage(

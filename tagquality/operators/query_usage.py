@@ -76,10 +76,15 @@ def _catalogs(patterns: DataFrame) -> DataFrame:
     )
     return (
         patterns.groupBy("_tail")
-        .agg(F.collect_set(shape).alias("_shapes"), F.max(size).alias("_longest"))
+        .agg(
+            F.collect_set(shape).alias("_shapes"),
+            F.max(size).alias("_longest"),
+            F.bool_or(F.col("_pattern").isNotNull()).alias("_retest"),
+        )
         .select(
             "_tail",
             "_shapes",
+            "_retest",
             F.right(literal, _step(literal)).alias("_anchor"),
             # Looks ahead only, so places that overlap are all found.
             F.concat(
@@ -135,10 +140,12 @@ def match_by_like(history: DataFrame, dim: DataFrame) -> DataFrame:
         _catalogs(patterns),
         ["_anchor"],
     )
+    # The text travels on only where a full pattern is still to be tested.
+    keyed = near.withColumn("_head", F.explode(_heads())).withColumn(
+        "_text", F.when(F.col("_retest"), F.col("_text"))
+    )
     found = lookup_join(
-        near.withColumn("_head", F.explode(_heads())).drop("_anchor", "_regex", "_shapes"),
-        patterns,
-        ["_tail", "_head"],
+        keyed.drop("_anchor", "_regex", "_shapes", "_retest"), patterns, ["_tail", "_head"]
     )
     full = F.col("_pattern").isNull() | F.like(F.col("_text"), F.col("_pattern"))
     return found.where(full).drop("_text", "_tail", "_head", "_pattern")
