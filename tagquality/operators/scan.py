@@ -175,11 +175,12 @@ def rejected_bindings(bindings: DataFrame, resolve_table: ResolveTable) -> DataF
 
 
 def _runnable(bindings: DataFrame, resolve_table: ResolveTable) -> DataFrame:
-    bad = rejected_bindings(bindings, resolve_table)
-    name = F.concat_ws(".", "catalog_name", "schema_name", "table_name")
-    match = (
-        (name == bad["table_name"])
-        & (bindings["column_name"] == bad["column_name"])
-        & (bindings["rule_name"] == bad["rule_name"])
+    bad = rejected_bindings(bindings, resolve_table).select(
+        F.col("table_name").alias("_table"), "column_name", "rule_name"
+    )
+    full_name = F.concat_ws(".", "catalog_name", "schema_name", "table_name")
+    return (
+        bindings.withColumn("_table", full_name)
+        .join(bad, ["_table", "column_name", "rule_name"], "left_anti")
+        .select(*bindings.columns)
     )
-    return bindings.join(bad, match, "left_anti")

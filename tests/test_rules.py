@@ -1,0 +1,210 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagquality.constants import EMAIL_RULE, NAME_RULE
+from tagquality.operators import rules, scan
+from tagquality.operators.rules import BoundRule, bind_rule
+from tagquality.schemas import COLUMN_TAGS, RULE_MAPPING
+from tagquality.sources.tables import rows_of
+
+AS_OF = "2024-01-31 00:00:00"
+RULE_COLUMNS = ["tag_name", "tag_value", "rule_name", "sql_expression", "criticality"]
+
+
+def rule(text, column="v", level="error", name="Rule One"):
+    return BoundRule(column, name, bind_rule(text, column), level)
+
+
+def counts(df):
+    return {(r["column_name"], r["rule_name"]): tuple(r)[3:6] for r in df.collect()}
+
+
+def failing(spark, text, values, null_result="pass"):
+    df = spark.createDataFrame([(v,) for v in values], "v STRING")
+    return [r["v"] for r in df.where(rule(text).failed(null_result)).collect()]
+
+
+def test_name_rule(spark):
+    good = ["O'Brien", "obrien", "Mary-Jo Lee", "A"]
+    bad = ["", "  ", None, "J0hn1", "!!B", "123", " Ann"]
+    assert failing(spark, NAME_RULE, good + bad) == bad
+
+
+def test_name_rule_accepts_a_final_newline(spark):
+    assert failing(spark, NAME_RULE, ["Ann\n"]) == []
+
+
+def test_email_rule(spark):
+    bad = ["not-an-email", "x@domain", "@x.com", "", None, "a b@c.de"]
+    assert failing(spark, EMAIL_RULE, ["a@b.co", *bad]) == bad
+
+
+def test_null_result_of_a_rule(spark):
+    assert failing(spark, "{col} <> 'x'", [None, "x", "y"]) == ["x"]
+    assert failing(spark, "{col} <> 'x'", [None, "x", "y"], "fail") == [None, "x"]
+    with pytest.raises(ValueError):
+        rule("{col} > 1").failed("maybe")
+
+
+def test_template_quotes_every_place(spark):
+    assert bind_rule("{col} > 0 AND `{col}` < 9", "a b") == "`a b` > 0 AND `a b` < 9"
+    assert bind_rule("{col} > 0", "we`ird") == "`we``ird` > 0"
+    assert rule("{col}", name="First Name Conformance").check_name == (
+        "dq_check_First_Name_Conformance"
+    )
+    df = spark.createDataFrame([(1,), (-1,)], "`odd name` INT")
+    got = scan.scan_table(df, "t", [rule("{col} > 0", "odd name")], "run", AS_OF)
+    assert counts(got) == {("odd name", "Rule One"): (2, 1, 0)}
+
+
+def test_row_annotation(spark):
+    df = spark.createDataFrame([(1, "x"), (-1, "x"), (-99, None)], "n INT, v STRING")
+    bound = [
+        rule("{col} > 0", "n", "error", "Positive Number"),
+        rule("{col} > -50", "n", "error", "Not Tiny"),
+        rule("{col} IS NOT NULL", "v", "warn", "Present"),
+    ]
+    rows = rules.annotate_rows(df, bound).orderBy(F.desc("n")).collect()
+    assert rows[0]["_errors"] is None and rows[0]["_warnings"] is None
+    assert [e["name"] for e in rows[1]["_errors"]] == ["dq_check_Positive_Number"]
+    assert [e["name"] for e in rows[2]["_errors"]] == [
+        "dq_check_Positive_Number",
+        "dq_check_Not_Tiny",
+    ]
+    assert rows[2]["_warnings"][0]["criticality"] == "warn"
+    assert rules.annotate_rows(df, bound[:1]).where("_warnings IS NOT NULL").count() == 0
+
+
+def test_levels_go_to_their_own_column(spark):
+    df = spark.createDataFrame([(1,), (-1,)], "v INT")
+    got = scan.scan_table(
+        df, "t", [rule("{col} > 0", name="E"), rule("{col} > 0", "v", "warn", "W")], "run", AS_OF
+    )
+    assert counts(got) == {("v", "E"): (2, 1, 0), ("v", "W"): (2, 0, 1)}
+
+
+def test_unknown_level_is_refused():
+    row = {"column_name": "v", "rule_name": "r", "sql_expression": "{col} > 0", "criticality": "bad"}
+    with pytest.raises(ValueError, match="criticality"):
+        rules.bound_rules([row])
+
+
+def test_empty_table_gives_no_result(spark):
+    df = spark.createDataFrame([], "v INT")
+    assert scan.scan_table(df, "t", [rule("{col} > 0")], "run", AS_OF).count() == 0
+    assert scan.scan_table(df, "t", [], "run", AS_OF).count() == 0
+
+
+def test_one_pass_equals_one_job_per_rule(spark):
+    rng = random.Random(7)
+    data = [(rng.choice([None, *range(-20, 20)]), rng.choice("abc")) for _ in range(500)]
+    df = spark.createDataFrame(data, "n INT, v STRING")
+    bound = [
+        rule(f"{{col}} > {i % 30 - 15}", "n", ("error", "warn")[i % 2], f"Rule {i}")
+        for i in range(260)
+    ]
+    together = counts(scan.scan_table(df.repartition(5), "t", bound, "run", AS_OF))
+    assert len(together) == 260
+    for one in bound[::37]:
+        assert together[("n", one.rule_name)] == counts(
+            scan.scan_table(df, "t", [one], "run", AS_OF)
+        )[("n", one.rule_name)]
+
+
+def test_rules_of_a_table_share_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 2, 3)], "a INT, b INT, c INT").write.parquet(path)
+    bound = [rule("{col} > 0", "a", name=f"R{i}") for i in range(20)] + [rule("{col} > 0", "b")]
+    plan = scan.scan_table(spark.read.parquet(path), "t", bound, "run", AS_OF)._jdf
+    text = plan.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "c#" not in text.split("FileScan")[1].split("]")[0]
+
+
+def test_scan_of_all_tagged_tables(spark):
+    tables = {
+        "c.s.people": spark.createDataFrame([("Ann", 1), ("7", -1)], "name STRING, n INT"),
+        "c.s.places": spark.createDataFrame([("Rome",)], "town STRING"),
+        "c.s.empty": spark.createDataFrame([], "town STRING"),
+    }
+    tags = spark.createDataFrame(
+        [
+            ("c", "s", "people", "name", "dq", "name"),
+            ("c", "s", "people", "n", "dq", "number"),
+            ("c", "s", "places", "town", "dq", "name"),
+            ("c", "s", "empty", "town", "dq", "name"),
+            ("c", "s", "places", "town", "dq", "nothing"),
+        ],
+        COLUMN_TAGS,
+    )
+    mapping = rows_of(
+        spark,
+        RULE_MAPPING,
+        RULE_COLUMNS,
+        [
+            ("dq", "name", "Name", NAME_RULE, "error"),
+            ("dq", "number", "Positive", "{col} > 0", "warn"),
+            ("dq", "unused", "Unused", "{col} > 0", "warn"),
+        ],
+    )
+    got = scan.run_scan(tags, mapping, tables.__getitem__, as_of=AS_OF)
+    rows = {(r["table_name"], r["column_name"]): tuple(r)[3:6] for r in got.collect()}
+    assert rows == {
+        ("c.s.people", "name"): (2, 1, 0),
+        ("c.s.people", "n"): (2, 0, 1),
+        ("c.s.places", "town"): (1, 0, 0),
+    }
+    assert got.select("run_id").distinct().count() == 1
+
+    written = []
+    run_id = scan.run_scan_into(
+        tags, mapping, tables.__getitem__, written.append, as_of=AS_OF, tables_per_write=2
+    )
+    assert len(written) == 2
+    assert sum(w.where(F.col("run_id") == run_id).count() for w in written) == 3
+    nothing = scan.run_scan(tags.where("false"), mapping, tables.__getitem__)
+    assert nothing.count() == 0 and nothing.columns == got.columns
+
+
+def test_bad_rules_raise_or_are_reported(spark):
+    table = spark.createDataFrame([(1,)], "n INT")
+    tags = spark.createDataFrame(
+        [("c", "s", "t", "n", "dq", "x"), ("c", "s", "t", "gone", "dq", "x")], COLUMN_TAGS
+    )
+    mapping = rows_of(
+        spark,
+        RULE_MAPPING,
+        RULE_COLUMNS,
+        [("dq", "x", "Positive", "{col} > 0", "error"), ("dq", "x", "Sum", "sum({col}) > 0", "error")],
+    )
+    resolve = {"c.s.t": table}.__getitem__
+    with pytest.raises(Exception, match="gone"):
+        scan.run_scan(tags, mapping, resolve).collect()
+    kept = scan.run_scan(tags, mapping, resolve, on_error="report", as_of=AS_OF)
+    assert counts(kept) == {("n", "Positive"): (1, 0, 0)}
+    bad = scan.rejected_bindings(rules.discover_bindings(tags, mapping), resolve)
+    assert {(r["column_name"], r["rule_name"]) for r in bad.collect()} == {
+        ("gone", "Positive"),
+        ("gone", "Sum"),
+        ("n", "Sum"),
+    }
+
+
+def test_several_rules_of_a_tag_multiply(spark):
+    tags = spark.createDataFrame([("c", "s", "t", "n", "dq", "x")] * 2, COLUMN_TAGS)
+    mapping = rows_of(
+        spark, RULE_MAPPING, RULE_COLUMNS, [("dq", "x", f"R{i}", "{col} > 0", "error") for i in (1, 2, 3)]
+    )
+    assert rules.discover_bindings(tags, mapping).count() == 6
+
+
+def test_seed_rules():
+    names = rules.name_rules("quality")
+    assert [r[:3] for r in names] == [
+        ("quality", "firstName", "First Name Conformance"),
+        ("quality", "lastName", "Last Name Conformance"),
+    ]
+    assert rules.email_rule("quality")[4] == "error"
