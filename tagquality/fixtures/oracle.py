@@ -270,11 +270,15 @@ _ORDERS_SINCE = f"q.start_time >= TIMESTAMP '{ORDERS_AS_OF}' - INTERVAL 3000 DAY
 _STATUS_OF_RATE = """CASE WHEN rate IS NULL THEN 'NO DATA' WHEN rate <= 5 THEN 'PASS'
                           WHEN rate <= 20 THEN 'WARN' ELSE 'FAIL' END"""
 
-_TABLE_SCORES = f"""
+
+
+def _table_scores(table: str = "table_name") -> str:
+    score = "(sum(total_rows) - sum(rows_error)) * 100.0 / nullif(sum(total_rows), 0)"
+    return f"""
     SELECT *, CASE WHEN score IS NULL THEN 'NO DATA' WHEN score >= 95 THEN 'PASS'
                    WHEN score >= 80 THEN 'WARN' ELSE 'FAIL' END AS status
-    FROM (SELECT table_name, {rounded("(sum(total_rows) - sum(rows_error)) * 100.0 / nullif(sum(total_rows), 0)", 2)} AS score
-          FROM fx_dq GROUP BY table_name)"""
+    FROM (SELECT {table} AS table_name, {rounded(score, 2)} AS score FROM fx_dq GROUP BY {table})"""
+
 
 
 def _latest_rates(where: str) -> str:
@@ -373,6 +377,11 @@ _CHARGED = """
 ORACLE: dict[str, str] = {
     # --- rule scan
     "rule_bindings": "SELECT * FROM fx_bindings",
+    "rule_template": """
+        SELECT catalog_name, schema_name, table_name,
+               'dq_check_' || replace(rule_name, ' ', '_') AS check_name,
+               replace(sql_expression, '{col}', '`' || column_name || '`') AS predicate
+        FROM fx_bindings""",
     "rule_row_flags": f"""
         SELECT c_custkey, array_to_string(list_filter([
                    CASE WHEN {_BROKEN["Balance In Range"].replace("x ", "c_acctbal ")}
@@ -409,14 +418,16 @@ ORACLE: dict[str, str] = {
     "dq_table_score": f"""
         SELECT w.table_name, s.score, coalesce(s.status, 'NO DATA') AS status
         FROM (SELECT table_name FROM fx_dq UNION SELECT 'cat.sch.' || lang FROM documents) w
-        LEFT JOIN ({_TABLE_SCORES}) s ON w.table_name = s.table_name""",
+        LEFT JOIN ({_table_scores()}) s ON w.table_name = s.table_name""",
     "dq_scorecard": f"""
         SELECT d.table_name, CAST(sum(total_rows) AS BIGINT) AS total_scanned,
                CAST(sum(rows_error) AS BIGINT) AS total_errors,
                CAST(sum(rows_warn) AS BIGINT) AS total_warnings,
                count(DISTINCT rule_name) AS rules, count(DISTINCT run_id) AS runs, score, status
-        FROM fx_dq d JOIN ({_TABLE_SCORES}) s ON d.table_name = s.table_name
+        FROM fx_dq d JOIN ({_table_scores()}) s ON d.table_name = s.table_name
         GROUP BY d.table_name, score, status""",
+    "dq_scorecard_warnings": f"""
+        SELECT * FROM ({_table_scores("table_name || '.' || run_id")}) WHERE status = 'WARN'""",
     "top_error_tables": f"""
         SELECT table_name, CAST(sum(total_rows) AS BIGINT) AS total_rows,
                CAST(sum(rows_error) AS BIGINT) AS rows_error,
@@ -460,6 +471,10 @@ ORACLE: dict[str, str] = {
         WHERE s.tag_name = 'dqm_monitor' AND s.tag_value = 'enabled' AND NOT EXISTS (
             SELECT 1 FROM fx_monitors m
             WHERE m.catalog_name = s.catalog_name AND m.schema_name = s.schema_name)""",
+    "monitors_after_reset": f"""
+        SELECT * FROM fx_monitors WHERE schema_name <> 'SCHEMA_1'
+        UNION ALL SELECT catalog_name, schema_name, DATE '{EVENTS_AS_OF[:10]}'
+        FROM fx_schemata WHERE schema_name = 'SCHEMA_1'""",
     "exclude_tagged_tables": """
         SELECT b.*, t.excluded = 'false' AS scanned
         FROM fx_bindings b JOIN fx_table_tags t ON b.catalog_name = t.catalog_name

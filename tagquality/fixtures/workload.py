@@ -74,6 +74,13 @@ def rule_bindings(t: SampleTables) -> DataFrame:
     return rules.discover_bindings(t.column_tags, t.rule_mapping)
 
 
+@query
+def rule_template(t: SampleTables) -> DataFrame:
+    return rules.bound_texts(rules.discover_bindings(t.column_tags, t.rule_mapping)).select(
+        "catalog_name", "schema_name", "table_name", "check_name", "predicate"
+    )
+
+
 @query
 def rule_row_flags(t: SampleTables) -> DataFrame:
     flagged = rules.annotate_rows(t.base("customer"), _rules_on(t, "customer"))
@@ -159,6 +166,12 @@ def dq_scorecard(t: SampleTables) -> DataFrame:
     return scores.scorecard(t.dq_results)
 
 
+@query
+def dq_scorecard_warnings(t: SampleTables) -> DataFrame:
+    per_rule = t.dq_results.withColumn("table_name", F.concat_ws(".", "table_name", "run_id"))
+    return scores.scorecard(per_rule, "WARN").select("table_name", "score", "status")
+
+
 @query
 def top_error_tables(t: SampleTables) -> DataFrame:
     return scores.top_tables(t.dq_results)
@@ -229,6 +242,13 @@ def monitors_after_enrol(t: SampleTables) -> DataFrame:
     return monitors.withColumn("enabled_at", F.to_date("enabled_at"))
 
 
+@query
+def monitors_after_reset(t: SampleTables) -> DataFrame:
+    catalog = t.schemata.where("schema_name = 'SCHEMA_1'").select("catalog_name").first()[0]
+    again = tags.enrol_schema(t.schemata, t.monitors, catalog, "SCHEMA_1", EVENTS_AS_OF)
+    return again.withColumn("enabled_at", F.to_date("enabled_at"))
+
+
 @query
 def exclude_tagged_tables(t: SampleTables) -> DataFrame:
     bindings = rules.discover_bindings(t.column_tags, t.rule_mapping)

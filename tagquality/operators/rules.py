@@ -58,6 +58,22 @@ def bind_rule(sql_expression: str, column: str) -> str:
     return sql_expression.replace("`{col}`", "{col}").replace("{col}", quoted)
 
 
+def bound_texts(bindings: DataFrame) -> DataFrame:
+    """Bindings with their check name and bound predicate, for review before a scan."""
+    quoted = F.concat(
+        F.lit("`"), F.replace("column_name", F.lit("`"), F.lit("``")), F.lit("`")
+    )
+    plain = F.replace("sql_expression", F.lit("`{col}`"), F.lit("{col}"))
+    return bindings.withColumns(
+        {
+            "check_name": F.concat(
+                F.lit("dq_check_"), F.replace("rule_name", F.lit(" "), F.lit("_"))
+            ),
+            "predicate": F.replace(plain, F.lit("{col}"), quoted),
+        }
+    )
+
+
 def bound_rules(bindings: Iterable[Row]) -> list[BoundRule]:
     rules = []
     for b in bindings:

@@ -107,25 +107,30 @@ def fn_trend(
     )
 
 
+def _scored(sums: DataFrame, total: str, errors: str) -> DataFrame:
+    """Score and status from a table's sums; the status follows the rounded score."""
+    good = F.expr(f"({total} - {errors}) * 100.0 / nullif({total}, 0)")
+    score = F.col("score")
+    return sums.withColumn("score", _rounded(good)).withColumn(
+        "status",
+        F.when(score.isNull(), "NO DATA")
+        .when(score >= SCORE_PASS, "PASS")
+        .when(score >= SCORE_WARN, "WARN")
+        .otherwise("FAIL"),
+    )
+
+
 def table_scores(results: DataFrame, tables: DataFrame | None = None) -> DataFrame:
     """Score and status per table; `tables` adds wanted tables that may have no results.
 
-    The status follows the rounded score. Rounding is half up.
+    Rounding is half up.
     """
     sums = results.groupBy("table_name").agg(
         F.sum("total_rows").alias("_total"), F.sum("rows_error").alias("_errors")
     )
     if tables is not None:
         sums = tables.select("table_name").distinct().join(sums, "table_name", "left")
-    good = F.expr("(_total - _errors) * 100.0 / nullif(_total, 0)")
-    score = F.col("score")
-    return sums.select("table_name", _rounded(good).alias("score")).withColumn(
-        "status",
-        F.when(score.isNull(), "NO DATA")
-        .when(score >= SCORE_PASS, "PASS")
-        .when(score >= SCORE_WARN, "WARN")
-        .otherwise("FAIL"),
-    )
+    return _scored(sums, "_total", "_errors").drop("_total", "_errors")
 
 
 def scorecard(results: DataFrame, only: str | None = None) -> DataFrame:
@@ -137,7 +142,7 @@ def scorecard(results: DataFrame, only: str | None = None) -> DataFrame:
         F.countDistinct("rule_name").alias("rules"),
         F.countDistinct("run_id").alias("runs"),
     )
-    card = sums.join(table_scores(results), "table_name")
+    card = _scored(sums, "total_scanned", "total_errors")
     if only is not None:
         card = card.where(F.col("status") == only)
     return card.orderBy("score", "table_name")
