@@ -110,13 +110,23 @@ class SampleTables:
 
     @cached_property
     def schema_tags(self) -> DataFrame:
-        place = self._places
-
-        def tag(name: str, value: str, where: str) -> DataFrame:
-            return place.where(where).selectExpr(
-                "catalog_name", "schema_name", f"'{name}' AS tag_name", f"{value} AS tag_value"
-            )
-
+        # Tag name, value, and which schemas carry it.
+        tags = [
+            ("tenant", "'TENANT_' || (n_nationkey % 7)", "catalog_name <> 'AMERICA'"),
+            ("askid", "'ASK-' || n_nationkey", "catalog_name <> 'ASIA'"),
+            ("askid", "'ASK-SHARED'", "s_acctbal > 9000"),
+            ("dqm_monitor", "'enabled'", "s_acctbal >= 5000"),
+            ("dqm_monitor", "'paused'", "s_acctbal < 0"),
+        ]
+        pairs = ", ".join(
+            f"if({where}, named_struct('tag_name', '{name}', 'tag_value', {value}), NULL)"
+            for name, value, where in tags
+        )
+        carried = self._places.selectExpr(
+            "catalog_name",
+            "schema_name",
+            f"inline(filter(array({pairs}), t -> t IS NOT NULL)) AS (tag_name, tag_value)",
+        )
         retired = (
             self.base("nation")
             .join(self.base("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -127,14 +137,7 @@ class SampleTables:
                 "'enabled' AS tag_value",
             )
         )
-        return (
-            tag("tenant", "'TENANT_' || (n_nationkey % 7)", "catalog_name <> 'AMERICA'")
-            .unionByName(tag("askid", "'ASK-' || n_nationkey", "catalog_name <> 'ASIA'"))
-            .unionByName(tag("askid", "'ASK-SHARED'", "s_acctbal > 9000"))
-            .unionByName(tag("dqm_monitor", "'enabled'", "s_acctbal >= 5000"))
-            .unionByName(tag("dqm_monitor", "'paused'", "s_acctbal < 0"))
-            .unionByName(retired)
-        )
+        return carried.unionByName(retired)
 
     @cached_property
     def new_tags(self) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagquality.operators.query_usage import IDENTIFIER_3, identifiers, quoted_name
+from tagquality.operators.query_usage import IDENTIFIER_3, dotted_name, identifiers
 from tagquality.plans.calendar import AsOf, as_of_ts, days_before, instant
 from tagquality.plans.joins import lookup_join
 from tagquality.schemas import TABLE_RESULTS
@@ -179,7 +179,7 @@ def percent_null(
 def table_mentions(history: DataFrame, tables: DataFrame) -> DataFrame:
     """(statement_id, table_id) for every table a statement names in full."""
     names = tables.select(
-        quoted_name("catalog_name", "schema_name", "table_name").alias("_name"), "table_id"
+        dotted_name("catalog_name", "schema_name", "table_name").alias("_name"), "table_id"
     )
     spoken = history.select("statement_id", identifiers("statement_text", IDENTIFIER_3).alias("_name"))
     return lookup_join(spoken, names, ["_name"]).select("statement_id", "table_id")

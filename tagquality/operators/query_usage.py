@@ -21,22 +21,36 @@ from tagquality.plans.joins import lookup_join
 # Characters taken before the dot: the longest step that is free of wildcards.
 ANCHOR_STEPS = (8, 3, 0)
 
-_PART = r"(?:`[^`]+`|[\p{L}\p{N}_]+)"
-IDENTIFIER_2 = rf"{_PART}\.{_PART}(?=\.)"
-IDENTIFIER_3 = rf"{_PART}\.{_PART}\.{_PART}"
+# A dotted name starts where no name is under way; its parts are taken whole or not at all.
+_START = r"(?<![\p{L}\p{N}_`.])"
+_PART = r"(?:`[^`]+`|[\p{L}\p{N}_]++)"
+IDENTIFIER_2 = rf"{_START}{_PART}\.{_PART}(?=\.)"
+IDENTIFIER_3 = rf"{_START}{_PART}\.{_PART}\.{_PART}"
 
 
-def quoted_name(*columns: str) -> Column:
-    """Upper-case dotted name with every part in backticks."""
-    parts = [F.concat(F.lit("`"), F.upper(c), F.lit("`")) for c in columns]
-    return F.concat_ws(".", *parts)
+_WORD = r"[\p{L}\p{N}_]+"
+
+
+def dotted_name(*columns: str) -> Column:
+    """Upper-case dotted name; parts that are not plain words stand in backticks."""
+
+    def part(column: str) -> Column:
+        name = F.upper(column)
+        quoted = F.concat(F.lit("`"), name, F.lit("`"))
+        return F.when(name.rlike(f"^{_WORD}$"), name).otherwise(quoted)
+
+    return F.concat_ws(".", *[part(c) for c in columns])
 
 
 def identifiers(text: str, pattern: str) -> Column:
-    """Explode the distinct dotted names in a text, written as `quoted_name` writes them."""
+    """Explode the distinct dotted names in a text, written as `dotted_name` writes them."""
     found = F.regexp_extract_all(F.upper(text), F.lit(pattern), F.lit(0))
-    plain = F.transform(found, lambda n: F.regexp_replace(n, r"`([^`]+)`|([\p{L}\p{N}_]+)", "`$1$2`"))
-    return F.explode(F.array_distinct(plain))
+
+    def plain(name: Column) -> Column:
+        unquoted = F.regexp_replace(name, f"`({_WORD})`", "$1")
+        return F.when(F.contains(name, F.lit("`")), unquoted).otherwise(name)
+
+    return F.explode(F.array_distinct(F.transform(found, lambda n: plain(n))))
 
 
 def _step(literal: Column) -> Column:
@@ -155,7 +169,7 @@ def match_by_identifier(history: DataFrame, dim: DataFrame) -> DataFrame:
     """Statements with each dimension row whose schema they name in full."""
     named = history.withColumn("_name", identifiers("statement_text", IDENTIFIER_2))
     return lookup_join(
-        named, dim.withColumn("_name", quoted_name(*SCHEMA_KEY)), ["_name"]
+        named, dim.withColumn("_name", dotted_name(*SCHEMA_KEY)), ["_name"]
     ).drop("_name")
 
 

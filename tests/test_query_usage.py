@@ -82,10 +82,11 @@ def test_ways_beyond_the_broadcast_bound_agree(spark, monkeypatch):
 def test_identifiers_may_be_quoted_or_foreign(spark):
     dim = dims(spark, ("my cat", "sch"), ("données", "été"), ("a", "b.c"))
     history = texts(
-        spark, "from `my cat`.sch.t", "from données.été.t", "from a.`b.c`.t", "from a.b.c.t", "xdonnées.été.t"
+        spark, "from `my cat`.sch.t", "from données.été.t", "from a.`b.c`.t", "from a.b.c.t",
+        "xdonnées.été.t", "from `Données`.`été`.t", "from db.a.`b.c`.t",
     )
     got = pairs(query_usage.match_by_identifier(history, dim))
-    assert got == [("0", "P0"), ("1", "P1"), ("2", "P2")]
+    assert got == [("0", "P0"), ("1", "P1"), ("2", "P2"), ("5", "P1")]
 
 
 def usage_rows(spark):
