@@ -47,7 +47,7 @@ def run(df: DataFrame) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("bench")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
