@@ -16,11 +16,20 @@ from tagquality.plans.joins import payload_bytes
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def find_package(spark: SparkSession) -> None:
-    """Lets Python workers on this machine import the package from where the driver did.
+#: What goes to a Python worker at once: rows and bytes of text.
+BATCH_ROWS = 512
+BATCH_BYTES = 4 * 1024 * 1024
 
-    On a cluster the package is shipped as any other (`--py-files`); this adds a path.
+
+def prepare(spark: SparkSession) -> None:
+    """Small batches for Python workers, and the place of this package on this machine.
+
+    Workers stay alive between stages and keep what their largest batch took, so that
+    batches are bounded by bytes. On a cluster the package is shipped as any other
+    (`--py-files`); here workers import it from where the driver did.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
@@ -28,7 +37,7 @@ def find_package(spark: SparkSession) -> None:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    find_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -30,24 +30,27 @@ _LINES = "ord long, th long, i int, need int, h1 long, h2 long"
 def _line_rows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes = batch.column("ord").to_pylist(), batch.column("th").to_pylist()
-            for doc, th, text in zip(ids, hashes, batch.column("text").to_pylist(), strict=True):
-                sizes, prints = [], []
-                for line in (text or "").split("\n"):
+            prints: list[bytes] = []
+            counts: list[int] = []
+            needs: list[np.ndarray] = []
+            if not batch.num_rows:
+                continue
+            for text in batch.column("text"):
+                sizes = []
+                for line in (text.as_py() or "").split("\n"):
                     if n := len(line.split()):
                         sizes.append(n)
                         prints.append(xxhash.xxh3_128_digest(line.strip().encode()))
-                if not sizes:
-                    continue
                 n = len(sizes)
-                total = np.concatenate(([0], np.cumsum(sizes)))
+                total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
                 end = np.searchsorted(total, total[:-1] + min_words)
-                place = np.arange(n, dtype=np.int32)
-                need = np.where(end <= n, end - place, 0).astype(np.int32)
-                halves = np.frombuffer(b"".join(prints), "<i8").reshape(-1, 2)
-                columns = [pa.array(np.full(n, doc)), pa.array(np.full(n, th)), pa.array(place), pa.array(need)]
-                columns += [pa.array(halves[:, k].copy()) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, names=["ord", "th", "i", "need", "h1", "h2"])
+                needs.append(np.where(end <= n, end - np.arange(n), 0))
+                counts.append(n)
+            halves = np.frombuffer(b"".join(prints), "<i8").reshape(-1, 2)
+            keys = [np.repeat(batch.column(c).to_numpy(), counts) for c in ("ord", "th")]
+            place = np.concatenate([np.arange(n) for n in counts]).astype(np.int32)
+            columns = [*keys, place, np.concatenate(needs).astype(np.int32), halves[:, 0].copy(), halves[:, 1].copy()]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["ord", "th", "i", "need", "h1", "h2"])
 
     return run
 

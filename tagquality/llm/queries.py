@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagquality.llm import bpe, decontaminate, langid, linededup, simhash
-from tagquality.llm.common import read
+from tagquality.llm import bpe, decontaminate, fingerprint, langid, linededup, secrets, simhash, tokencount, toxicity, warc
+from tagquality.llm.common import read, scratch
 
 
 def vocabulary() -> str:
@@ -17,6 +17,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_captures(read(spark, sf_dir, "pages"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs)
@@ -27,6 +31,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("th")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(read(spark, sf_dir, "documents"), scratch(spark, "ledger"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read(spark, sf_dir, "documents"), vocabulary())
 
@@ -39,12 +47,29 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_pairs(read(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.document_counts(read(spark, sf_dir, "documents"), vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_secrets": op4_secrets,
     "op5_bpe": op5_bpe,
     "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
+    "op8_fingerprint": op8_fingerprint,
+    "op9_toxicity": op9_toxicity,
+    "op10_token_counts": op10_token_counts,
 }
 
 OP3 = r"""
