@@ -43,10 +43,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share; a temporary one only where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 
