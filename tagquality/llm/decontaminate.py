@@ -76,8 +76,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = None
     for size, top in bounds:
         own = sketch.where(F.col("size") == size)
-        hashes = F.filter(_at(F.col("w"), size, False), lambda h, top=top: h <= top)
-        rows = words.select("doc_id", "th", F.explode(hashes).alias("h"))
+        rows = words.select("doc_id", "th", F.explode(_at(F.col("w"), size, False)).alias("h")).where(F.col("h") <= top)
         hits = rows.join(sized(own), "h").select("doc_id", "th", "item_id", "part", "size", "n")
         found = hits if found is None else found.unionByName(hits)
     if found is None:
