@@ -156,8 +156,7 @@ def run_requests(
 
 def audit_rows(validated: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Audit entry of each valid request, to be appended to the log."""
-    short_id = F.substring(F.expr("uuid()"), 1, 8)
-    rows = validated.where("is_valid").withColumn("_id", F.coalesce("request_id", short_id))
+    rows = validated.where("is_valid").withColumn("_id", F.coalesce("request_id", F.expr("uuid()")))
     return rows.select(
         F.col("_id").alias("request_id"),
         "billing_code",

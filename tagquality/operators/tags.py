@@ -132,7 +132,7 @@ def enrol(
         .join(enrolled, SCHEMA_KEY, "left")
         .withColumn(
             "status",
-            F.when(F.col("_known").isNull(), F.concat(F.lit("ERROR: "), F.substring(problem, 1, 100)))
+            F.when(F.col("_known").isNull(), F.concat(F.lit("ERROR: "), problem))
             .when(F.col("_enrolled"), "ALREADY ENABLED")
             .otherwise("ENABLED"),
         )

@@ -1,8 +1,8 @@
 """Joins of large fact tables with lookups.
 
 A lookup is broadcast only after its payload has been measured. A lookup beyond
-the bound is joined by shuffle with a salt, so that one hot key (a SKU or schema
-that holds a large part of all rows) is spread over many tasks.
+the bound is joined by shuffle; adaptive execution then splits the partition of a hot
+key (a SKU or schema that holds a large part of all rows) over several tasks.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
-_SALT = "_salt"
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
@@ -41,7 +39,6 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join `facts` with `lookup` on equal columns; `how` is `inner`, `left` or `left_semi`.
 
@@ -52,11 +49,4 @@ def lookup_join(
         raise ValueError(f"unsupported lookup join: {how}")
     if payload_bytes(lookup) <= max_bytes:
         return facts.join(F.broadcast(lookup), on, how)
-    # The salt comes from the row's own values, not from rand(): a task that is
-    # run again after an executor loss must send each row to the same place.
-    spread = [
-        F.col(f"`{f.name}`") for f in facts.schema.fields if not isinstance(f.dataType, _NESTED)
-    ]
-    salted = facts.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)))
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    return salted.join(lookup.withColumn(_SALT, copies), [*on, _SALT], how).drop(_SALT)
+    return facts.join(lookup, on, how)

@@ -113,6 +113,6 @@ def test_audit(spark):
     assert rows.count() == 6
     unnamed = spark.createDataFrame([(None, "A", None, "me")], SCAN_REQUESTS)
     entry = registry.audit_rows(registry.validate_requests(unnamed, clients(spark))).first()
-    assert len(entry["request_id"]) == 8 and entry["job_run_id"] == f"scan-A-{entry['request_id']}"
+    assert len(entry["request_id"]) == 36 and entry["job_run_id"] == f"scan-A-{entry['request_id']}"
     log = spark.createDataFrame([("a", T0), ("b", datetime(2021, 1, 1))], "request_id STRING, request_time TIMESTAMP")
     assert [r["request_id"] for r in registry.audit_log(log).collect()] == ["b", "a"]
