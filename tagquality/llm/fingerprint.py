@@ -147,14 +147,14 @@ def with_next(rows: DataFrame, key: str, carried: list[str]) -> DataFrame:
         steps, F.lit(0), lambda at, s: F.when(F.get(table, at + s) <= F.col(key), at + s).otherwise(at)
     )
     rows = rows.withColumn("_range", place)
-    own = F.struct(F.col("_range").alias("range"), F.lit(0).alias("after"))
-    before = F.struct(F.pmod(F.col("_range") - 1, F.lit(len(bounds))).alias("range"), F.lit(1).alias("after"))
+    own = F.struct(F.col("_range").alias("_at"), F.lit(0).alias("_after"))
+    before = F.struct(F.pmod(F.col("_range") - 1, F.lit(len(bounds))).alias("_at"), F.lit(1).alias("_after"))
     copies = F.when(F.get(table, F.col("_range")) == F.col(key), F.array(own, before)).otherwise(F.array(own))
-    spread = rows.withColumn("_at", F.explode(copies)).drop("_range")
-    order = Window.partitionBy("_at.range").orderBy("_at.after", key, *carried)
-    for c in carried:
-        spread = spread.withColumn(f"next_{c}", F.lead(c).over(order))
-    return spread.where("_at.after = 0").drop("_at")
+    spread = rows.select("*", F.inline(copies)).drop("_range")
+    # One window for all that is carried: each window expression of its own would shuffle the texts again.
+    order = Window.partitionBy("_at").orderBy("_after", key, *carried)
+    spread = spread.withColumn("_next", F.lead(F.struct(*carried)).over(order)).where("_after = 0")
+    return spread.select("*", *[F.col("_next")[c].alias(f"next_{c}") for c in carried]).drop("_at", "_after", "_next")
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
