@@ -323,10 +323,24 @@ def _buckets(rows: str, keys: str, ts: str, as_of: str, null_keys: str = "") ->
                    avg(n) FILTER (WHERE bucket > 0) AS avg_rows,
                    stddev_samp(n) FILTER (WHERE bucket > 0) AS sd
             FROM days GROUP BY {keys}),
+        known AS (SELECT DISTINCT {keys} FROM {rows} WHERE {ts} <= TIMESTAMP '{as_of}'),
         judged AS (
-            SELECT *, CASE WHEN baseline_days >= 7
-                           THEN greatest(0.0, avg_rows - 3 * sd) END AS floor_rows FROM volume)"""
-
+            SELECT k.{keys}, coalesce(v.actual_rows, 0) AS actual_rows,
+                   coalesce(v.baseline_days, 0) AS baseline_days, v.avg_rows, v.sd,
+                   v.{keys} IS NULL AS silent,
+                   CASE WHEN v.baseline_days >= 7
+                        THEN greatest(0.0, v.avg_rows - 3 * v.sd) END AS floor_rows
+            FROM known k LEFT JOIN volume v ON k.{keys} = v.{keys})"""
+
+
+# The names asked for that the client may scan, each once.
+_AUDIT = """
+    entries AS (
+        SELECT *, list_filter(
+            CASE WHEN allowed_1 = allowed_2 THEN [allowed_1] ELSE [allowed_1, allowed_2] END,
+            lambda x: list_contains(list_transform(string_split(target_schemas, ','), lambda y: trim(y)), x)) AS scanned
+        FROM fx_validated WHERE is_valid)"""
+_AUDIT_STATUS = "CASE WHEN len(scanned) > 0 THEN 'SUBMITTED' ELSE 'REJECTED' END"
 
 _FRESHNESS = f"""
     ordered AS (
@@ -345,7 +359,7 @@ _FRESHNESS = f"""
                        ELSE 'Healthy' END AS freshness_status
         FROM gaps)"""
 
-_COMPLETENESS_STATUS = """CASE WHEN floor_rows IS NULL THEN 'Unknown'
+_COMPLETENESS_STATUS = """CASE WHEN silent THEN 'Unhealthy' WHEN floor_rows IS NULL THEN 'Unknown'
     WHEN actual_rows < floor_rows THEN 'Unhealthy' ELSE 'Healthy' END"""
 
 
@@ -781,13 +795,15 @@ ORACLE: dict[str, str] = {
         SELECT request_id, billing_code, schema_full_name, 'Schema not allowed for this client'
         FROM fx_wanted WHERE NOT is_allowed""",
     "audit_append": f"""
-        SELECT request_id, billing_code, client_name, target_schemas AS schemas_scanned,
+        WITH {_AUDIT}
+        SELECT request_id, billing_code, client_name, nullif(array_to_string(scanned, ','), '') AS schemas_scanned,
                'scan-' || billing_code || '-' || request_id AS job_run_id, requested_by,
-               DATE '{EVENTS_AS_OF[:10]}' AS request_time, 'SUBMITTED' AS status
-        FROM fx_validated WHERE is_valid""",
+               DATE '{EVENTS_AS_OF[:10]}' AS request_time, {_AUDIT_STATUS} AS status
+        FROM entries""",
     "audit_view": f"""
-        SELECT request_id, client_name, DATE '{EVENTS_AS_OF[:10]}' AS request_time
-        FROM fx_validated WHERE is_valid""",
+        WITH {_AUDIT}
+        SELECT request_id, client_name, DATE '{EVENTS_AS_OF[:10]}' AS request_time, {_AUDIT_STATUS} AS status
+        FROM entries""",
     # --- profiling
     "table_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"

@@ -92,11 +92,14 @@ def completeness(
     baseline: int = 14,
     min_baseline: int = 7,
     sigmas: float = 3.0,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Expected row volume of the newest day per table; unhealthy below the predicted minimum.
 
     Buckets without rows count as zero. The baseline of a table starts at its oldest
-    bucket with rows among the `baseline` ones. Only that many days are read.
+    bucket with rows among the `baseline` ones. Only that many days are read, so that a
+    table without rows in all of them is seen only if `known` has its keys: it is then
+    unhealthy, with no rows and no baseline.
     """
     keys = list(keys)
     counts = (
@@ -121,15 +124,24 @@ def completeness(
         F.avg(past).alias("avg_rows"),
         F.stddev_samp(past).alias("stddev_rows"),
     )
+    silent = F.lit(False)
+    if known is not None:
+        # Both sides have one row per table.
+        stats = stats.join(known.select(*keys).dropna().distinct(), keys, "full_outer")
+        stats = stats.withColumn("_silent", F.col("baseline_days").isNull()).fillna(
+            0, ["actual_rows", "baseline_days"]
+        )
+        silent = F.col("_silent")
     floor = F.greatest(F.lit(0.0), F.col("avg_rows") - sigmas * F.col("stddev_rows"))
     return stats.withColumn(
         "min_predicted_rows", F.when(F.col("baseline_days") >= min_baseline, floor)
     ).withColumn(
         "completeness_status",
-        F.when(F.col("min_predicted_rows").isNull(), UNKNOWN)
+        F.when(silent, UNHEALTHY)
+        .when(F.col("min_predicted_rows").isNull(), UNKNOWN)
         .when(F.col("actual_rows") < F.col("min_predicted_rows"), UNHEALTHY)
         .otherwise(HEALTHY),
-    )
+    ).drop("_silent")
 
 
 def percent_null(
@@ -202,10 +214,21 @@ def downstream_impact(
         .unionByName(tables.select(F.col("table_id").alias("_root"), "table_id"))
         .distinct()
     )
+    # Many statements name the same tables: each distinct set of them meets the lineage once.
+    spoken = table_mentions(history, tables).where(F.col("statement_id").isNotNull())
+    sets = (
+        spoken.groupBy("statement_id")
+        .agg(F.array_sort(F.collect_set("table_id")).alias("_set"))
+        .groupBy("_set")
+        .agg(F.count(F.lit(1)).alias("_statements"))
+        .withColumn("table_id", F.explode("_set"))
+    )
     asked = (
-        lookup_join(table_mentions(history, tables), affected, ["table_id"])
+        sets.join(affected, "table_id")
+        .select("_root", "_set", "_statements")
+        .distinct()
         .groupBy(F.col("_root").alias("table_id"))
-        .agg(F.countDistinct("statement_id").alias("num_queries_on_affected_tables"))
+        .agg(F.sum("_statements").alias("num_queries_on_affected_tables"))
     )
     n_tables = F.coalesce("num_downstream_tables", F.lit(0))
     n_queries = F.coalesce("num_queries_on_affected_tables", F.lit(0))

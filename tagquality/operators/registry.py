@@ -132,40 +132,53 @@ def run_requests(
 
     A table that several requests ask for is scanned once; the run id is the request id.
     """
-    work = dispatch(requests, registry, bindings, enforce_allowed)
-    distinct = work.select(*bindings.columns).distinct()
-    parts = list(scan_bindings(distinct, resolve_table, "", as_of))
+    wanted = requested_schemas(validate_requests(requests, registry))
+    if enforce_allowed:
+        wanted = wanted.where("is_allowed")
+    place = F.concat("catalog_name", F.lit("."), "schema_name").alias("schema_full_name")
+    named = bindings.select(place, *bindings.columns)
+    # The requests meet the few result rows of their schemas, not the bindings.
+    scanned = lookup_join(named, wanted.select("schema_full_name").distinct(), ["schema_full_name"], "left_semi")
+    parts = list(scan_bindings(scanned.select(*bindings.columns).distinct(), resolve_table, "", as_of))
     if not parts:
         return None
     results = parts[0]
     for part in parts[1:]:
         results = results.unionByName(part)
-    asked = work.select(
-        F.concat_ws(".", "catalog_name", "schema_name", "table_name").alias("table_name"),
-        "column_name",
-        "rule_name",
+    full_name = F.concat_ws(".", "catalog_name", "schema_name", "table_name").alias("table_name")
+    places = scanned.select(full_name, "schema_full_name").distinct()
+    asked = wanted.select(
+        "schema_full_name",
         F.col("request_id").alias("run_id"),
         "billing_code",
-        "requesting_team",
-        "cost_center",
-        "scan_type",
+        F.col("client_name").alias("requesting_team"),
+        F.lit(SCANNING_COST_CENTER).alias("cost_center"),
+        F.lit("ad-hoc").alias("scan_type"),
     ).distinct()
-    key = ["table_name", "column_name", "rule_name"]
-    return results.drop("run_id").join(asked, key)
+    placed = results.drop("run_id").join(places, "table_name")
+    return placed.join(asked, "schema_full_name").drop("schema_full_name")
+
 
+def audit_rows(validated: DataFrame, as_of: AsOf = None, enforce_allowed: bool = True) -> DataFrame:
+    """Audit entry of each valid request, to be appended to the log.
 
-def audit_rows(validated: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Audit entry of each valid request, to be appended to the log."""
+    It names the schemas that are scanned, so not those the client may not scan; a request
+    with nothing left to scan is logged as rejected.
+    """
+    scanned = F.coalesce(_names("target_schemas"), F.array().cast("array<string>"))
+    if enforce_allowed:
+        allowed = F.coalesce(_names("schemas_allowed"), F.array().cast("array<string>"))
+        scanned = F.array_intersect(scanned, allowed)
     rows = validated.where("is_valid").withColumn("_id", F.coalesce("request_id", F.expr("uuid()")))
     return rows.select(
         F.col("_id").alias("request_id"),
         "billing_code",
         "client_name",
-        F.col("target_schemas").alias("schemas_scanned"),
+        F.nullif(F.array_join(scanned, ","), F.lit("")).alias("schemas_scanned"),
         F.concat(F.lit("scan-"), "billing_code", F.lit("-"), "_id").alias("job_run_id"),
         "requested_by",
         as_of_ts(as_of).alias("request_time"),
-        F.lit("SUBMITTED").alias("status"),
+        F.when(F.size(scanned) > 0, "SUBMITTED").otherwise("REJECTED").alias("status"),
     )
 
 

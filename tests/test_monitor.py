@@ -56,7 +56,7 @@ def events(spark, per_day, key="t"):
 
 
 def volume(df):
-    return {r["k"]: r for r in monitor.completeness(df, ["k"], "ts", AS_OF).collect()}
+    return {r["k"]: r for r in monitor.completeness(df, ["k"], "ts", AS_OF, known=df).collect()}
 
 
 def test_completeness(spark):
@@ -74,7 +74,10 @@ def test_completeness(spark):
     assert (got["young"]["completeness_status"], got["young"]["baseline_days"]) == ("Unknown", 3)
     # Empty days count as zero rows, so the floor is not below zero.
     assert got["gaps"]["baseline_days"] == 14 and got["gaps"]["min_predicted_rows"] == 0.0
-    assert "ancient" not in got
+    ancient = got["ancient"]
+    assert (ancient["completeness_status"], ancient["actual_rows"], ancient["baseline_days"]) == ("Unhealthy", 0, 0)
+    assert ancient["min_predicted_rows"] is None and len(got) == 5
+    assert monitor.completeness(df, ["k"], "ts", AS_OF).count() == 4
 
 
 def test_day_borders(spark):

@@ -111,6 +111,13 @@ def test_audit(spark):
     rows = registry.audit_rows(valid, "2024-01-01")
     assert rows.columns == SCAN_AUDIT_LOG.fieldNames()
     assert rows.count() == 6
+    logged = {r["request_id"]: (r["schemas_scanned"], r["status"]) for r in rows.collect()}
+    assert logged["default"] == logged["two"] == ("c.s,c.t", "SUBMITTED")
+    assert logged["outside"] == logged["nothing"] == (None, "REJECTED")
+    mixed = spark.createDataFrame([("m", "A", "c.secret, c.t", "me")], SCAN_REQUESTS)
+    checked = registry.validate_requests(mixed, clients(spark))
+    assert registry.audit_rows(checked).first()["schemas_scanned"] == "c.t"
+    assert registry.audit_rows(checked, enforce_allowed=False).first()["schemas_scanned"] == "c.secret,c.t"
     unnamed = spark.createDataFrame([(None, "A", None, "me")], SCAN_REQUESTS)
     entry = registry.audit_rows(registry.validate_requests(unnamed, clients(spark))).first()
     assert len(entry["request_id"]) == 36 and entry["job_run_id"] == f"scan-A-{entry['request_id']}"
