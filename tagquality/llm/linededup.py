@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from tagquality.llm.common import fresh, scratch, sized, written
 
 MIN_WORDS = 10
+#: Places of one run that go to one task when they are compared with the first of them.
+CHUNK = 256
 
-_LINES = "ord long, th long, i int, need int, h1 long, h2 long"
+_LINES = "ord long, th long, row long, i int, need int, h1 long, h2 long"
 
 
 def _line_rows(min_words: int):
@@ -47,19 +49,20 @@ def _line_rows(min_words: int):
                 needs.append(np.where(end <= n, end - np.arange(n), 0))
                 counts.append(n)
             halves = np.frombuffer(b"".join(prints), "<i8").reshape(-1, 2)
-            keys = [np.repeat(batch.column(c).to_numpy(), counts) for c in ("ord", "th")]
+            keys = [np.repeat(batch.column(c).to_numpy(), counts) for c in ("ord", "th", "row")]
             place = np.concatenate([np.arange(n) for n in counts]).astype(np.int32)
             columns = [*keys, place, np.concatenate(needs).astype(np.int32), halves[:, 0].copy(), halves[:, 1].copy()]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["ord", "th", "i", "need", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["ord", "th", "row", "i", "need", "h1", "h2"])
 
     return run
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(ord, th, text): rows in the order of doc_id (null last), then of a hash of the text."""
+    """(ord, th, row, text): rows in the order of doc_id (null last), then of a hash of the text."""
     last = F.lit((1 << 63) - 1)
     order = F.coalesce(F.col("doc_id").cast("long"), last)
-    return docs.select(order.alias("ord"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string").alias("text")
+    return docs.select(order.alias("ord"), F.xxhash64("text").alias("th"), F.monotonically_increasing_id().alias("row"), text)
 
 
 def _refined(keys: DataFrame, by: list[str]) -> DataFrame:
@@ -102,24 +105,46 @@ def suffix_levels(lines: DataFrame, depth: int) -> dict[int, DataFrame]:
     return levels
 
 
+def _single(lines: DataFrame) -> DataFrame:
+    """`lines` of one row of each document; the others that repeat its id and text go."""
+    rows = lines.where("i = 0").groupBy("ord", "th").agg(F.min("row").alias("kept"), F.count("*").alias("n"))
+    repeated = written(rows.where("n > 1").drop("n"), "repeated")
+    if repeated.isEmpty():
+        return lines.drop("row")
+    return lines.join(sized(repeated), ["ord", "th"], "left").where("kept is null or row = kept").drop("row", "kept")
+
+
+def _later(runs: DataFrame) -> DataFrame:
+    """The rows of `runs` (rank, tail, need, n, place) whose place is not the first of their run.
+
+    n bounds the places of a run. The first place of a run goes to one task for each CHUNK
+    of them, and its places are dealt among these, so that no run is held by one task.
+    """
+    run = ["rank", "tail", "need"]
+    chunks = F.ceil(F.col("n") / CHUNK)
+    least = runs.groupBy(*run).agg(F.min("place").alias("least"), F.max("n").alias("n"))
+    dealt = F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk")
+    least = least.select(*run, "least", dealt)
+    chunk = F.pmod(F.xxhash64("place"), chunks).alias("chunk")
+    return runs.select("*", chunk).join(least, [*run, "chunk"]).where("place > least")
+
+
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(ord, th, runs) by document: the runs (i, need) of lines that are later copies."""
     lines = written(_keyed(docs).mapInArrow(_line_rows(min_words), _LINES), "lines")
-    levels = suffix_levels(lines, min_words)
+    levels = suffix_levels(_single(lines), min_words)
     path = scratch(docs.sparkSession, "copies")
     for k, level in levels.items():
         # A run of `need` lines, k <= need < 2k, is the pair of its first and its last k lines.
-        begins = level.where((F.col("need") >= k) & (F.col("need") < 2 * k)).drop("n")
+        begins = level.where((F.col("need") >= k) & (F.col("need") < 2 * k))
         exact = begins.where(F.col("need") == k).withColumn("tail", F.col("rank"))
         ends = level.select("ord", "th", F.col("i").alias("at"), F.col("rank").alias("tail"))
         longer = begins.where(F.col("need") > k).withColumn("at", F.col("i") + F.col("need") - k)
         longer = longer.join(ends, ["ord", "th", "at"]).drop("at")
         runs = exact.unionByName(longer).withColumn("place", F.struct("ord", "th", "i"))
-        least = runs.groupBy("rank", "tail", "need").agg(F.min("place").alias("least"))
-        copies = runs.join(least, ["rank", "tail", "need"]).where("place > least")
-        copies.select("ord", "th", "i", "need").write.mode("append").parquet(path)
+        _later(runs).select("ord", "th", "i", "need").write.mode("append").parquet(path)
     copies = docs.sparkSession.read.schema("ord long, th long, i int, need int").parquet(path)
-    return copies.distinct().groupBy("ord", "th").agg(F.collect_list(F.struct("i", "need")).alias("runs"))
+    return copies.groupBy("ord", "th").agg(F.collect_list(F.struct("i", "need")).alias("runs"))
 
 
 def _cut(text: str, runs: list[dict]) -> tuple[str, int, int]:

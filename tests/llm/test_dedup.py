@@ -59,6 +59,15 @@ def test_lines_of_odd_rows(make):
     assert linededup.dedup_lines(make([])).collect() == []
 
 
+def test_lines_of_hot_runs_and_repeated_rows(make, monkeypatch):
+    monkeypatch.setattr(linededup, "CHUNK", 3)
+    hot, other = sentence(12), "\n".join(sentence(4) for _ in range(5))
+    rows = [(k, f"{sentence(11)} {k}\n{hot}\n{other}") for k in range(40)]
+    got = linededup.dedup_lines(make(rows * 7)).collect()
+    want = brute_lines(rows, linededup.MIN_WORDS)
+    assert len(got) == 7 * len(rows) and all(r.text == want[r.doc_id] for r in got)
+
+
 def brute_print(text: str) -> int:
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
     words = re.findall("[^\x20\x09-\x0d]+", low)
