@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from tagquality.llm.common import fresh, scratch, sized, written
 
 MIN_WORDS = 10
-#: Places of one run that go to one task when they are compared with the first of them.
-CHUNK = 256
+#: The n places of one run are dealt to sqrt(n / CHUNK) groups when they are compared with the first of them.
+CHUNK = 64
 
 _LINES = "ord long, th long, row long, i int, need int, h1 long, h2 long"
 
@@ -117,11 +117,11 @@ def _single(lines: DataFrame) -> DataFrame:
 def _later(runs: DataFrame) -> DataFrame:
     """The rows of `runs` (rank, tail, need, n, place) whose place is not the first of their run.
 
-    n bounds the places of a run. The first place of a run goes to one task for each CHUNK
-    of them, and its places are dealt among these, so that no run is held by one task.
+    n bounds the places of a run. They are dealt to as many groups as a root of n, each with
+    the first place beside it, so that neither a group nor the list of groups grows with n itself.
     """
     run = ["rank", "tail", "need"]
-    chunks = F.ceil(F.col("n") / CHUNK)
+    chunks = F.ceil(F.sqrt(F.col("n") / CHUNK))
     least = runs.groupBy(*run).agg(F.min("place").alias("least"), F.max("n").alias("n"))
     dealt = F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk")
     least = least.select(*run, "least", dealt)
