@@ -4,10 +4,13 @@ A document is the sequence of its lines that have a word. Suffixes are ranked by
 first line, then by pairs of ranks, so that each round doubles the lines they are sorted
 by; only suffixes that still share their interval with another go on. An interval of the
 array at depth L holds the places where one run of L lines occurs. A run is repeated if
-it has MIN_WORDS words, and its places but the first are later copies. Of the runs that
-begin at a line the shortest with so many words decides (longer ones begin with it, and
-their other lines begin runs of their own), so that ranks to a depth of MIN_WORDS lines
-suffice; maximal runs are the unions of the runs found.
+it has MIN_WORDS words, and its places but the first are later copies. A line of such a
+run is in the shortest run with so many words that begins at a line of it or in the
+shortest that ends at one: where fewer words than that are left behind the line, they are
+in front of it. Both kinds have at most MIN_WORDS lines, so that ranks to that depth
+suffice, and maximal runs are the unions of the runs of both kinds. The runs that begin
+alone do not reach the last lines of a maximal run, as the run that begins there goes on
+past its end.
 """
 
 from __future__ import annotations
@@ -26,15 +29,19 @@ MIN_WORDS = 10
 #: The n places of one run are dealt to sqrt(n / CHUNK) groups when they are compared with the first of them.
 CHUNK = 64
 
-_LINES = "ord long, th long, row long, i int, need int, h1 long, h2 long"
+_LINES = "ord long, th long, row long, i int, need int, most int, h1 long, h2 long"
 
 
-def _line_rows(min_words: int):
+def _line_rows(min_words: int, whole: bool):
+    """Lines with `need`, the lines of the shortest run that begins there (0 if there is none), and
+    `most`: runs of need to most lines are the shortest that end at their last lines."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints: list[bytes] = []
             counts: list[int] = []
             needs: list[np.ndarray] = []
+            mosts: list[np.ndarray] = []
             if not batch.num_rows:
                 continue
             for text in batch.column("text"):
@@ -46,13 +53,17 @@ def _line_rows(min_words: int):
                 n = len(sizes)
                 total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
                 end = np.searchsorted(total, total[:-1] + min_words)
-                needs.append(np.where(end <= n, end - np.arange(n), 0))
+                need = np.where(end <= n, end - np.arange(n), 0)
+                # Runs from a line end in no shorter one as long as the lines after it lack the words.
+                most = np.maximum(need, np.append(end[1:], n + 1)[:n] - 1 - np.arange(n)) if whole else need
+                needs.append(need)
+                mosts.append(np.where(need > 0, most, 0))
                 counts.append(n)
             halves = np.frombuffer(b"".join(prints), "<i8").reshape(-1, 2)
             keys = [np.repeat(batch.column(c).to_numpy(), counts) for c in ("ord", "th", "row")]
             place = np.concatenate([np.arange(n) for n in counts]).astype(np.int32)
-            columns = [*keys, place, np.concatenate(needs).astype(np.int32), halves[:, 0].copy(), halves[:, 1].copy()]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["ord", "th", "row", "i", "need", "h1", "h2"])
+            columns = [*keys, place, *(np.concatenate(x).astype(np.int32) for x in (needs, mosts)), halves[:, 0].copy(), halves[:, 1].copy()]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["ord", "th", "row", "i", "need", "most", "h1", "h2"])
 
     return run
 
@@ -84,22 +95,22 @@ def _refined(keys: DataFrame, by: list[str]) -> DataFrame:
 
 
 def suffix_levels(lines: DataFrame, depth: int) -> dict[int, DataFrame]:
-    """By power of two up to `depth`: (ord, th, i, need, rank, n) of the suffixes that share
+    """By power of two up to `depth`: (ord, th, i, need, most, rank, n) of the suffixes that share
     so many first lines with another; n is the size of their interval, rank its begin."""
     first = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).withColumn("rank", F.lit(0).cast("long"))
     ranked = _refined(first, ["h1", "h2"]).where("n > 1").select("h1", "h2", "n", F.col("refined").alias("rank"))
-    held = lines.join(ranked, ["h1", "h2"]).select("ord", "th", "i", "need", "rank", "n")
+    held = lines.join(ranked, ["h1", "h2"]).select("ord", "th", "i", "need", "most", "rank", "n")
     levels = {1: written(held, "level")}
     k = 1
     while 2 * k <= depth:
-        now = levels[k].select("ord", "th", "i", "need", "rank")
+        now = levels[k].select("ord", "th", "i", "need", "most", "rank")
         later = now.select("ord", "th", (F.col("i") - k).alias("i"), F.col("rank").alias("next"))
         pairs = written(now.join(later, ["ord", "th", "i"]), "pairs")
         counted = pairs.groupBy("rank", "next").agg(F.count("*").alias("n"))
         # An interval splits only where its suffixes go on in several ways; else it stays as it is.
         ranked = _refined(counted, ["next"]).where("n > 1")
         held = pairs.join(ranked.select("rank", "next", "n", "refined"), ["rank", "next"])
-        held = held.select("ord", "th", "i", "need", F.col("refined").alias("rank"), "n")
+        held = held.select("ord", "th", "i", "need", "most", F.col("refined").alias("rank"), "n")
         k *= 2
         levels[k] = written(held, "level")
     return levels
@@ -129,18 +140,20 @@ def _later(runs: DataFrame) -> DataFrame:
     return runs.select("*", chunk).join(least, [*run, "chunk"]).where("place > least")
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """(ord, th, runs) by document: the runs (i, need) of lines that are later copies."""
-    lines = written(_keyed(docs).mapInArrow(_line_rows(min_words), _LINES), "lines")
+    lines = written(_keyed(docs).mapInArrow(_line_rows(min_words, whole), _LINES), "lines")
     levels = suffix_levels(_single(lines), min_words)
     path = scratch(docs.sparkSession, "copies")
     for k, level in levels.items():
         # A run of `need` lines, k <= need < 2k, is the pair of its first and its last k lines.
-        begins = level.where((F.col("need") >= k) & (F.col("need") < 2 * k))
+        begins = level.where((F.col("need") > 0) & (F.col("need") < 2 * k) & (F.col("most") >= k))
+        sizes = F.sequence(F.greatest("need", F.lit(k)), F.least("most", F.lit(2 * k - 1)))
+        begins = begins.select("ord", "th", "i", "rank", "n", F.explode(sizes).alias("need"))
         exact = begins.where(F.col("need") == k).withColumn("tail", F.col("rank"))
-        ends = level.select("ord", "th", F.col("i").alias("at"), F.col("rank").alias("tail"))
+        ends = level.select("ord", "th", F.col("i").alias("at"), F.col("rank").alias("tail"), F.col("n").alias("ending"))
         longer = begins.where(F.col("need") > k).withColumn("at", F.col("i") + F.col("need") - k)
-        longer = longer.join(ends, ["ord", "th", "at"]).drop("at")
+        longer = longer.join(ends, ["ord", "th", "at"]).withColumn("n", F.least("n", "ending")).drop("at", "ending")
         runs = exact.unionByName(longer).withColumn("place", F.struct("ord", "th", "i"))
         _later(runs).select("ord", "th", "i", "need").write.mode("append").parquet(path)
     copies = docs.sparkSession.read.schema("ord long, th long, i int, need int").parquet(path)
@@ -159,17 +172,19 @@ def _cut(text: str, runs: list[dict]) -> tuple[str, int, int]:
     return "\n".join([x for k, x in enumerate(lines) if k not in lost]), len(places), len(lost)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """`docs` (doc_id, text, others) without later copies, with n_lines and n_removed.
 
     A run of lines with at least `min_words` words stays where it occurs first, by doc_id
-    (null last), then by a hash of the text, then by line; elsewhere its lines go.
+    (null last), then by a hash of the text, then by line; elsewhere its lines go. With
+    `whole` these are all such runs, to their last line; without it only the shortest that
+    begin at a line, so that the last lines of a longer one stay where fewer words are left.
     Lines are compared without white space at their ends; lines without a word are no part
     of a run and stay. Rows with the same doc_id and text are one document and stay alike.
     A null text stays null and has no lines. Other columns pass through.
     """
     names = {c: fresh(docs, c) for c in ("_ord", "_th", "_runs", "n_lines", "n_removed")}
-    runs = repeated_runs(docs.select("doc_id", "text"), min_words)
+    runs = repeated_runs(docs.select("doc_id", "text"), min_words, whole)
     runs = runs.withColumnsRenamed({"ord": names["_ord"], "th": names["_th"], "runs": names["_runs"]})
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     same = (key == F.col(names["_ord"])) & (F.xxhash64(F.col("text").cast("string")) == F.col(names["_th"]))

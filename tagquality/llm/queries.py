@@ -23,7 +23,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.dedup_lines(docs)
+    return linededup.dedup_lines(docs, whole=True)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

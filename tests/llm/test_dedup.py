@@ -68,6 +68,47 @@ def test_lines_of_hot_runs_and_repeated_rows(make, monkeypatch):
     assert len(got) == 7 * len(rows) and all(r.text == want[r.doc_id] for r in got)
 
 
+def brute_whole(rows, least):
+    """Every run of enough words counts, each extended to its maximum."""
+    seen, out = set(), {}
+    for doc, text in rows:
+        lines = text.split("\n")
+        at = [k for k, x in enumerate(lines) if x.split()]
+        gone = set()
+        for i in range(len(at)):
+            for j in range(i, len(at)):
+                if sum(len(lines[k].split()) for k in at[i : j + 1]) >= least:
+                    key = tuple(lines[k].strip() for k in at[i : j + 1])
+                    gone |= set(at[i : j + 1]) if key in seen else set()
+                    seen.add(key)
+        out[doc] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_whole_runs_go_to_their_last_line(make):
+    rng = random.Random(11)
+    words = lambda n: " ".join(rng.choices(WORDS, k=n))
+    shared = "\n".join([words(13), words(13), words(5)])
+    rows = [(1, f"{shared}\nfirst one"), (2, f"{shared}\nsecond"), (3, f"third\n{shared}")]
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(make(rows), whole=True).collect()}
+    assert got == {1: rows[0][1], 2: "second", 3: "third"}
+
+
+@pytest.mark.parametrize("least", [10, 7])
+def test_whole_runs_equal_brute_force(make, least):
+    rng = random.Random(13)
+    pool = [" ".join(rng.choices(WORDS, k=rng.choice([1, 1, 2, 3, 5, 8, 12]))) for _ in range(14)] + ["", "  "]
+    rows = []
+    for k in range(80):
+        lines = rng.choices(pool, k=rng.randint(1, 14))
+        if rows and rng.random() < 0.6:  # a passage of an earlier document amid other lines
+            other = rng.choice(rows)[1].split("\n")
+            lines[rng.randint(0, len(lines)) :] = [*other[rng.randrange(len(other)) :], f"own {k}", *lines[:3]]
+        rows.append((k, "\n".join(lines)))
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(make(rows), least, whole=True).collect()}
+    assert got == brute_whole(rows, least)
+
+
 def brute_print(text: str) -> int:
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
     words = re.findall("[^\x20\x09-\x0d]+", low)
