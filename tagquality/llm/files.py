@@ -10,13 +10,25 @@ from pyspark.sql import functions as F
 MOST_TASKS = 20_000
 
 
-def write_flat(rows: DataFrame, column: str, path: str, end: bytes) -> None:
+def write_flat(rows: DataFrame, column: str, path: str, end: bytes, kind: str | None = None) -> None:
     """A file for each partition: the bytes of `column` by row, each followed by `end`.
 
-    The sink commits a task's file once, whichever of its attempts ends first.
+    With the column `kind` a partition gets a file for each of its few values, below
+    `kind`=value, with its rows in their order. The sink commits a task's files once,
+    whichever of its attempts ends first.
     """
-    text = rows.select(F.col(column).cast("string"))
-    text.write.option("lineSep", end.decode("latin1")).option("encoding", "ISO-8859-1").text(path)
+    text = rows.select(F.col(column).cast("string"), *([kind] if kind else []))
+    writer = text.write.option("lineSep", end.decode("latin1")).option("encoding", "ISO-8859-1")
+    if not kind:
+        return writer.text(path)
+    # Writers side by side: else the sink sorts the rows by kind, which need not keep their order.
+    conf, name = rows.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, 16)
+    try:
+        writer.partitionBy(kind).text(path)
+    finally:
+        conf.set(name, before)
 
 
 def listed(spark: SparkSession, path: str) -> DataFrame:

@@ -58,6 +58,30 @@ def test_token_counts_equal_the_encoder(make):
     assert tokencount.document_counts(make([]), VOCABULARY).collect() == []
 
 
+def test_token_counts_keep_their_ids_when_rows_are_dealt_anew(make, monkeypatch):
+    docs = make([(k or None, "word " * k) for k in range(300)]).repartition(3)
+    write, names = tokencount.write_token_files, tokencount.read_names
+
+    def then_change(*args):  # as where executors are lost or join after the files are written
+        write(*args)
+        docs.__dict__["_jdf"] = docs.repartition(5, "text")._jdf
+
+    monkeypatch.setattr(tokencount, "write_token_files", then_change)
+    monkeypatch.setattr(tokencount, "read_names", lambda *a: names(*a, block_rows=7), raising=False)
+    got = tokencount.document_counts(docs, VOCABULARY).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(k, k) for k in range(300)]
+
+
+def test_token_counts_without_a_name_are_an_error(llm):
+    names = llm.createDataFrame([("/part-00000-a", 0, 7)], "path string, doc_no long, doc_id long")
+    counts = llm.createDataFrame([("/part-00000-b", k, k, 1) for k in (0, 1)], "path string, doc_no long, first_token long, n_tokens long")
+    assert [tuple(r) for r in tokencount._named(names, counts.where("doc_no = 0")).collect()] == [(7, 0, 0, 0, 1)]
+    with pytest.raises(Exception, match="without a name"):
+        tokencount._named(names, counts).collect()
+    with pytest.raises(Exception, match="without a name"):
+        tokencount._named(names, counts.limit(0)).collect()
+
+
 @pytest.mark.parametrize("block", [2, 6, 10, 1000])
 def test_separators_across_blocks(llm, tmp_path, block):
     folder = tmp_path / "flat"
