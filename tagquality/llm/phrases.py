@@ -24,7 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagquality.llm.common import fresh, sized, written
+from tagquality.llm.common import BROADCAST_BYTES, fresh, sized, written
+from tagquality.plans.joins import lookup_join
 
 MIN_COUNT = 30
 MOST_WORDS = 4
@@ -33,11 +34,11 @@ TOP = 2000
 INSIDE_PERCENT = 80
 SCALE = 2_000_000
 #: Bytes of text worked at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Bits of a field, as a power of two: at least, at most, and bits for each fingerprint.
 LEAST_BITS, MOST_BITS, BITS_EACH = 13, 27, 16
-#: Parts of a language that are ranked side by side, and copies of the counts that cuts look up.
-PARTS = 64
+#: Fingerprints that a task holds before it hands them on.
+KEPT_PRINTS = 1 << 19
 
 _MAP = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9
@@ -185,37 +186,52 @@ def _seeds(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("seed").to_numpy().view(np.uint64)
 
 
+class Counts:
+    """Fingerprints and how often each was seen; kept sorted, and merged when many have come in."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, prints: np.ndarray) -> None:
+        self.held.append(np.unique(prints, return_counts=True))
+        self.size += len(self.held[-1][0])
+
+    def taken(self) -> pa.RecordBatch:
+        """All that is held, each fingerprint once; what is held starts anew."""
+        prints = np.concatenate([h[0] for h in self.held])
+        counts = np.concatenate([h[1] for h in self.held])
+        order = np.argsort(prints)
+        prints, counts = prints[order], counts[order]
+        first = np.flatnonzero(np.concatenate(([True], prints[1:] != prints[:-1]))[: len(prints)])
+        total = np.add.reduceat(counts, first) if len(first) else counts
+        self.held, self.size = [], 0
+        columns = [pa.array(prints[first].view(np.int64)), pa.array(total.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["fp", "count"])
+
+
 def _counter(level: int, sent):
     """A task that counts the fingerprints of a level: 1, 2, or 3 for all longer phrases."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields = sent.value if sent else {}
+        fields, counts = sent.value if sent else {}, Counts()
         for batch in batches:
-            seeds, langs = _seeds(batch), batch.column("lang").to_pylist()
+            seeds = _seeds(batch)
             for block, _ in _blocks(batch):
                 if not block.count:
                     continue
-                found, total = [], {}
                 if level == 1:
-                    found.append(block.prints(1, seeds)[block.whole(1)])
-                    for row, count in enumerate(np.bincount(block.row[block.new], minlength=len(langs))):
-                        total[langs[row]] = total.get(langs[row], 0) + int(count)
+                    counts.add(block.prints(1, seeds)[block.whole(1)])
                 elif level == 2:
                     known = fields[1].has(block.prints(1, seeds))
-                    found.append(block.prints(2, seeds)[block.whole(2) & known[:-1] & known[1:]])
+                    counts.add(block.prints(2, seeds)[block.whole(2) & known[:-1] & known[1:]])
                 else:
                     pairs = _pairs(block, seeds, fields)
                     for size in range(3, MOST_WORDS + 1):
-                        where = _all_pairs(block, pairs, size)
-                        found.append(block.prints(size, seeds)[where])
-                prints, counts = np.unique(np.concatenate(found), return_counts=True)
-                none = pa.nulls(len(prints), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [none, pa.array(prints.view(np.int64)), pa.array(counts.astype(np.int64))], names=["lang", "fp", "count"]
-                )
-                if total:
-                    rows = [list(total), [None] * len(total), list(total.values())]
-                    kinds = (pa.string(), pa.int64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["lang", "fp", "count"])
+                        counts.add(block.prints(size, seeds)[_all_pairs(block, pairs, size)])
+            if counts.size >= KEPT_PRINTS:
+                yield counts.taken()
+        if counts.held:
+            yield counts.taken()
 
     return run
 
@@ -236,7 +252,7 @@ def _all_pairs(block: Block, pairs: np.ndarray, size: int) -> np.ndarray:
 
 
 def _verifier(sent):
-    """A task that groups the occurrences that pass the fields by their words."""
+    """A task that groups the occurrences that pass the fields by their words; rows of size 0 count all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = sent.value
         for batch in batches:
@@ -250,6 +266,10 @@ def _verifier(sent):
                 ids = np.fromiter((table.setdefault(w, len(table)) for w in words), np.int64, len(words))
                 pairs = _pairs(block, seeds, fields)
                 rows: list[tuple] = []
+                found = np.bincount(block.row[block.new], minlength=len(langs)).tolist()
+                for lang in names:
+                    total = sum(n for n, x in zip(found, langs, strict=True) if x == lang)
+                    rows.append((lang, None, 0, total, None, None))
                 for size in range(1, MOST_WORDS + 1):
                     where = block.whole(size)
                     if size == 1:
@@ -289,20 +309,18 @@ def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT) -> tuple[DataFrame
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), text.alias("text"))
     rows = rows.withColumn("seed", F.xxhash64("lang"))
     fields: dict[int, Field] = {}
-    totals = None
     for level in (1, 2, 3):
         sent = spark.sparkContext.broadcast(fields) if fields else None
-        seen = rows.select("lang", "seed", "text").mapInArrow(_counter(level, sent), "lang string, fp long, count long")
-        counted = seen.groupBy("lang", "fp").agg(F.sum("count").alias("count"))
-        counted = written(counted.where((F.col("count") >= least) | F.col("fp").isNull()), f"prints{level}")
-        if level == 1:
-            totals = counted.where(F.col("fp").isNull()).select("lang", F.col("count").alias("n"))
-        fields = {**fields, level: field_of(counted.where(F.col("fp").isNotNull()))}
+        seen = rows.select("seed", "text").mapInArrow(_counter(level, sent), "fp long, count long")
+        counted = seen.groupBy("fp").agg(F.sum("count").alias("count")).where(F.col("count") >= least)
+        fields = {**fields, level: field_of(written(counted.select("fp"), f"prints{level}"))}
     sent = spark.sparkContext.broadcast(fields)
     schema = "lang string, phrase string, size int, count long, doc_id long, at long"
     found = rows.mapInArrow(_verifier(sent), schema).groupBy("lang", "phrase", "size")
-    found = found.agg(F.sum("count").alias("f"), F.min(F.struct("doc_id", "at")).alias("p")).where(F.col("f") >= least)
-    return written(found.select("lang", "phrase", "size", "f", "p.doc_id", "p.at"), "phrases"), totals
+    found = found.agg(F.sum("count").alias("f"), F.min(F.struct("doc_id", "at")).alias("p"))
+    found = found.where((F.col("f") >= least) | (F.col("size") == 0))
+    found = written(found.select("lang", "phrase", "size", "f", "p.doc_id", "p.at"), "phrases")
+    return found.where("size > 0"), found.where("size = 0").select("lang", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> DataFrame:
@@ -316,15 +334,13 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> Dat
     counts = phrases.select("lang", F.col("phrase").alias("part"), F.col("f"))
     words = F.split("phrase", " ")
     wanted = phrases.where("size > 1").withColumn("w", words)
-    # A common word is a side of very many cuts: cuts are dealt to copies of the counts.
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(PARTS)).cast("int")
-    copies = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    cuts = wanted.select("*", salt.alias("salt"), F.explode(F.expr("sequence(1, size - 1)")).alias("k"))
+    cuts = wanted.select("*", F.explode(F.expr("sequence(1, size - 1)")).alias("k"))
     cuts = cuts.withColumn("first", F.expr("array_join(slice(w, 1, k), ' ')"))
     cuts = cuts.withColumn("rest", F.expr("array_join(slice(w, k + 1, size - k), ' ')"))
     for side, count in (("first", "l"), ("rest", "r")):
-        looked = copies.select("lang", "salt", F.col("part").alias(side), F.col("f").alias(count))
-        cuts = cuts.join(looked, ["lang", "salt", side])
+        # A common word is a side of very many cuts, so that hot keys are spread where counts are not broadcast.
+        looked = counts.select("lang", F.col("part").alias(side), F.col("f").alias(count))
+        cuts = lookup_join(cuts, looked, ["lang", side], max_bytes=BROADCAST_BYTES)
     score = F.expr(f"(CAST(f AS DECIMAL(20, 0)) * {SCALE}) div (CAST(l AS DECIMAL(20, 0)) + r)").cast("long")
     best = cuts.withColumn("cut", F.struct(score.alias("score"), "k", "l", "r")).groupBy("lang", "phrase").agg(
         F.min("cut").alias("cut"), F.first("f").alias("a"), F.first("doc_id").alias("doc_id"), F.first("at").alias("at")
@@ -340,10 +356,19 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> Dat
 
 
 def _ranked(rows: DataFrame, top: int) -> DataFrame:
-    """The first `top` rows of each language by score, ranked: first in parts of a language, then among their firsts."""
-    order = [F.desc("score"), F.desc("a"), "phrase"]
-    part = fresh(rows, "part")
-    rows = rows.withColumn(part, F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
-    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))).where(F.col("rank") <= top)
-    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
-    return rows.withColumn("rank", F.col("rank").cast("long")).drop(part)
+    """The first `top` rows of each language by score, ranked.
+
+    Rows are dealt by range of language and order, so that a large language is in many tasks; a
+    rank is the place in a range after what the ranges before it hold of the language.
+    """
+    part, before, place = (fresh(rows, c) for c in ("part", "before", "place"))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    spread = rows.repartitionByRange("lang", *order).withColumn(part, F.spark_partition_id())
+    spread = written(spread, "ranges")
+    inside = Window.partitionBy("lang", part).orderBy(*order)
+    earlier = Window.partitionBy("lang").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    held = spread.groupBy("lang", part).agg(F.count("*").alias("held"))
+    held = held.select("lang", part, F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias(before))
+    placed = spread.withColumn(place, F.row_number().over(inside)).where(F.col(place) <= top)
+    ranked = placed.join(sized(held), ["lang", part]).withColumn("rank", F.col(before) + F.col(place))
+    return ranked.where(F.col("rank") <= top).drop(part, before, place)
