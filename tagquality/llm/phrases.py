@@ -6,8 +6,8 @@ level: words; pairs of frequent words; phrases of three and more words whose pai
 since a phrase is no more frequent than what it holds. What a level finds frequent goes to the next as
 a bit field of bounded size, which lets some others through but loses none. A last scan compares
 with the text: occurrences that the bit fields let through are grouped by their words, and only these phrases
-are written out, each with a pointer to its first occurrence and its exact count. Fingerprints that collide
-thus never decide a result.
+are written out, each with its exact count and the first document that it occurs in. Fingerprints that
+collide thus never decide a result.
 
 Null texts are empty, a null language is `und`. Words are split by bytes, whatever their alphabet. Rows
 that repeat count each time. A text of any length is worked in slices that overlap by the
@@ -20,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +38,8 @@ SLICE = 1 << 18
 LEAST_BITS, MOST_BITS, BITS_EACH = 13, 27, 16
 #: Fingerprints that a task holds before it hands them on.
 KEPT_PRINTS = 1 << 19
+#: Phrases that a task holds, by the numbers of their words, before it writes out their text.
+KEPT_PHRASES = 1 << 19
 
 _MAP = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9
@@ -119,10 +120,9 @@ class Block:
         first = np.cumsum(sizes) - sizes
         part = np.searchsorted(first, self.starts, side="right") - 1
         self.row = np.array([p[2] for p in parts])[part]
-        begins = np.searchsorted(self.starts, first)
-        self.part, self.place = part, np.arange(self.count) - begins[part]
+        place = np.arange(self.count) - np.searchsorted(self.starts, first)[part]
         # The last word of a phrase must be one that the slice before did not have.
-        self.new = self.place >= np.array([p[1] for p in parts])[part]
+        self.new = place >= np.array([p[1] for p in parts])[part]
         sums, inverse = _prefix(data.astype(np.uint64) + np.uint64(1), "byte")
         length = (self.ends - self.starts).astype(np.uint64)
         self.words = _mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts] + length * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -164,22 +164,18 @@ def field_of(frequent: DataFrame) -> Field:
     return Field(bits, out)
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[Block, np.ndarray]]:
-    """The blocks of a batch, and how many words of its text lie before each part of a block."""
-    texts = batch.column("text").cast(pa.binary()).to_pylist()
-    held, before, size = [], [], 0
-    for row, text in enumerate(texts):
-        text, passed = (text or b"").translate(_MAP), 0
-        for raw, lead in slices(text):
+def _blocks(batch: pa.RecordBatch) -> Iterator[Block]:
+    """The texts of a batch, in blocks of about SLICE bytes."""
+    held, size = [], 0
+    for row, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
+        for raw, lead in slices((text or b"").translate(_MAP)):
             if size and size + len(raw) > SLICE:
-                yield Block(held), np.array(before)
-                held, before, size = [], [], 0
+                yield Block(held)
+                held, size = [], 0
             held.append((raw, lead, row))
-            before.append(passed - lead)
-            passed += len(raw.split()) - lead if len(raw) < len(text) else 0
             size += len(raw) + 1
     if size:
-        yield Block(held), np.array(before)
+        yield Block(held)
 
 
 def _seeds(batch: pa.RecordBatch) -> np.ndarray:
@@ -216,7 +212,7 @@ def _counter(level: int, sent):
         fields, counts = sent.value if sent else {}, Counts()
         for batch in batches:
             seeds = _seeds(batch)
-            for block, _ in _blocks(batch):
+            for block in _blocks(batch):
                 if not block.count:
                     continue
                 if level == 1:
@@ -251,48 +247,95 @@ def _all_pairs(block: Block, pairs: np.ndarray, size: int) -> np.ndarray:
     return where
 
 
+class Phrases:
+    """Phrases that a task has seen, by the numbers of their words: exact, and without their text until it is wanted."""
+
+    def __init__(self) -> None:
+        self.words: dict[bytes, int] = {b"": 0}
+        self.langs: dict[str, int] = {}
+        self.held: list[list[np.ndarray]] = []
+        self.size = 0
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Word numbers from 1, with as many zeros after them as a phrase may lack words."""
+        table = self.words
+        found = np.fromiter((table.setdefault(w, len(table)) for w in words), np.int64, len(words))
+        return np.concatenate([found, np.zeros(MOST_WORDS, np.int64)])
+
+    def add(self, at: np.ndarray, size: int, ids: np.ndarray, lang: np.ndarray, doc: np.ndarray, known: np.ndarray) -> None:
+        """Phrases of `size` words that begin at the places `at`, with the language and document of each."""
+        word = [ids[at + k] if k < size else np.zeros(len(at), np.int64) for k in range(MOST_WORDS)]
+        one = np.ones(len(at), np.int64)
+        self.held.append(_grouped([lang, word[0] << 32 | word[1], word[2] << 32 | word[3], one, doc, known]))
+        self.size += len(self.held[-1][0])
+        if self.size > 2 * KEPT_PHRASES:
+            self.held = [_grouped([np.concatenate(c) for c in zip(*self.held, strict=True)])]
+            self.size = len(self.held[0][0])
+
+    def taken(self) -> pa.RecordBatch:
+        """All phrases with their text, count and smallest doc_id; what is held starts anew."""
+        lang, head, tail, count, doc, known = _grouped([np.concatenate(c) for c in zip(*self.held, strict=True)])
+        names, words = list(self.langs), list(self.words)
+        numbers = np.stack([head >> 32, head & 0xFFFFFFFF, tail >> 32, tail & 0xFFFFFFFF], axis=1)
+        sizes = (numbers > 0).sum(axis=1).astype(np.int32)
+        texts = [b" ".join([words[w] for w in row[:n]]) for row, n in zip(numbers.tolist(), sizes.tolist(), strict=True)]
+        columns = [
+            pa.array([names[k] for k in lang.tolist()], pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
+            pa.array(sizes), pa.array(count), pa.array(doc, mask=~known),
+        ]
+        self.__init__()
+        return pa.RecordBatch.from_arrays(columns, names=PHRASE_COLUMNS)
+
+
+PHRASE_COLUMNS = ["lang", "phrase", "size", "count", "doc_id"]
+
+
+def _grouped(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Equal (language, words) once, with the sum of counts and the smallest document that is known."""
+    lang, head, tail, count, doc, known = columns
+    order = np.lexsort((tail, head, lang))
+    lang, head, tail, count, doc, known = (c[order] for c in columns)
+    new = (lang[1:] != lang[:-1]) | (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+    first = np.flatnonzero(np.concatenate(([True], new))[: len(lang)])
+    if not len(first):
+        return [lang, head, tail, count, doc, known]
+    doc = np.minimum.reduceat(np.where(known, doc, np.iinfo(np.int64).max), first)
+    return [lang[first], head[first], tail[first], np.add.reduceat(count, first), doc, np.logical_or.reduceat(known, first)]
+
+
 def _verifier(sent):
     """A task that groups the occurrences that pass the fields by their words; rows of size 0 count all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields = sent.value
+        fields, phrases = sent.value, Phrases()
+        total: dict[str, int] = {}
         for batch in batches:
-            batch = batch.take(pc.sort_indices(batch.column("doc_id"), null_placement="at_start"))
-            seeds, langs, docs = _seeds(batch), batch.column("lang").to_pylist(), batch.column("doc_id").to_pylist()
-            names = {lang: k for k, lang in enumerate(dict.fromkeys(langs))}
-            code = np.array([names[lang] for lang in langs])
-            for block, before in _blocks(batch):
-                words = block.raw.split()
-                table: dict[bytes, int] = {}
-                ids = np.fromiter((table.setdefault(w, len(table)) for w in words), np.int64, len(words))
+            seeds, langs = _seeds(batch), batch.column("lang").to_pylist()
+            doc_id = batch.column("doc_id")
+            docs, known = doc_id.fill_null(0).to_numpy(), doc_id.is_valid().to_numpy(zero_copy_only=False)
+            for block in _blocks(batch):
+                code = np.array([phrases.langs.setdefault(lang, len(phrases.langs)) for lang in langs])
+                ids = phrases.numbers(block.raw.split())
+                for row, count in enumerate(np.bincount(block.row[block.new], minlength=len(langs)).tolist()):
+                    total[langs[row]] = total.get(langs[row], 0) + count
                 pairs = _pairs(block, seeds, fields)
-                rows: list[tuple] = []
-                found = np.bincount(block.row[block.new], minlength=len(langs)).tolist()
-                for lang in names:
-                    total = sum(n for n, x in zip(found, langs, strict=True) if x == lang)
-                    rows.append((lang, None, 0, total, None, None))
                 for size in range(1, MOST_WORDS + 1):
-                    where = block.whole(size)
                     if size == 1:
-                        where = where & fields[1].has(block.prints(1, seeds))
+                        where = block.whole(1) & fields[1].has(block.prints(1, seeds))
                     else:
                         where = _all_pairs(block, pairs, size)
-                        if size > 2:
-                            where = where & fields[3].has(block.prints(size, seeds))
+                    if size > 2:
+                        where = where & fields[3].has(block.prints(size, seeds))
                     at = np.flatnonzero(where)
-                    if not len(at):
-                        continue
-                    key = code[block.row[at]]
-                    for k in range(size):
-                        key = np.unique(key * len(table) + ids[at + k], return_inverse=True)[1]
-                    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-                    for p, count in zip(at[first].tolist(), counts.tolist(), strict=True):
-                        row = block.row[p]
-                        place = int(block.place[p] + before[block.part[p]])
-                        rows.append((langs[row], b" ".join(words[p : p + size]), size, count, docs[row], place))
-                kinds = (pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-                columns[1] = columns[1].cast(pa.string())
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "count", "doc_id", "at"])
+                    row = block.row[at]
+                    phrases.add(at, size, ids, code[row], docs[row], known[row])
+                if phrases.size > KEPT_PHRASES:
+                    yield phrases.taken()
+        if phrases.held:
+            yield phrases.taken()
+        rows = [(lang, None, 0, count, None) for lang, count in total.items()]
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64())
+        columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=PHRASE_COLUMNS)
 
     return run
 
@@ -300,8 +343,8 @@ def _verifier(sent):
 def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """Phrases of up to MOST_WORDS words with at least `least` occurrences, and the words of each language.
 
-    The first has (lang, phrase, size, f, doc_id, at): the pointer is the occurrence of
-    smallest doc_id (null first) and, there, of the smallest place in words. The second has (lang, n).
+    The first has (lang, phrase, size, f, doc_id), with the smallest doc_id of a document that has the phrase
+    (null if none of them has an id). The second has (lang, n).
     """
     spark = docs.sparkSession
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
@@ -315,20 +358,20 @@ def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT) -> tuple[DataFrame
         counted = seen.groupBy("fp").agg(F.sum("count").alias("count")).where(F.col("count") >= least)
         fields = {**fields, level: field_of(written(counted.select("fp"), f"prints{level}"))}
     sent = spark.sparkContext.broadcast(fields)
-    schema = "lang string, phrase string, size int, count long, doc_id long, at long"
+    schema = "lang string, phrase string, size int, count long, doc_id long"
     found = rows.mapInArrow(_verifier(sent), schema).groupBy("lang", "phrase", "size")
-    found = found.agg(F.sum("count").alias("f"), F.min(F.struct("doc_id", "at")).alias("p"))
+    found = found.agg(F.sum("count").alias("f"), F.min("doc_id").alias("doc_id"))
     found = found.where((F.col("f") >= least) | (F.col("size") == 0))
-    found = written(found.select("lang", "phrase", "size", "f", "p.doc_id", "p.at"), "phrases")
+    found = written(found, "phrases")
     return found.where("size > 0"), found.where("size = 0").select("lang", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> DataFrame:
-    """(lang, rank, phrase, a, l, r, n, score, doc_id, at): each language's best phrases of two and more words.
+    """(lang, rank, phrase, a, l, r, n, score, doc_id): each language's best phrases of two and more words.
 
     The score of a phrase is that of its worst cut, floor(SCALE * a / (l + r)) with the counts of the
     phrase and of both sides; ties take the earliest cut. Phrases inside a longer candidate that has INSIDE_PERCENT of their
-    occurrences are left out. doc_id and at point to an occurrence.
+    occurrences are left out. doc_id is the smallest of a document that has the phrase.
     """
     phrases, totals = frequent_phrases(docs, least)
     counts = phrases.select("lang", F.col("phrase").alias("part"), F.col("f"))
@@ -343,7 +386,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> Dat
         cuts = lookup_join(cuts, looked, ["lang", side], max_bytes=BROADCAST_BYTES)
     score = F.expr(f"(CAST(f AS DECIMAL(20, 0)) * {SCALE}) div (CAST(l AS DECIMAL(20, 0)) + r)").cast("long")
     best = cuts.withColumn("cut", F.struct(score.alias("score"), "k", "l", "r")).groupBy("lang", "phrase").agg(
-        F.min("cut").alias("cut"), F.first("f").alias("a"), F.first("doc_id").alias("doc_id"), F.first("at").alias("at")
+        F.min("cut").alias("cut"), F.max("f").alias("a"), F.min("doc_id").alias("doc_id")
     )
     held = wanted.where("size > 2").select(
         "lang", "f", F.explode(F.expr("flatten(transform(sequence(2, size - 1), m -> transform(sequence(1, size - m + 1), i -> array_join(slice(w, i, m), ' '))))")).alias("phrase")
@@ -351,8 +394,8 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> Dat
     held = held.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
     kept = best.join(held, ["lang", "phrase"], "left")
     inside = F.col("longer").cast("decimal(20,0)") * 100 >= F.col("a").cast("decimal(20,0)") * INSIDE_PERCENT
-    kept = kept.where(~F.coalesce(inside, F.lit(False))).select("lang", "phrase", "a", "doc_id", "at", "cut.score", "cut.l", "cut.r")
-    return _ranked(kept, top).join(sized(totals), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "doc_id", "at")
+    kept = kept.where(~F.coalesce(inside, F.lit(False))).select("lang", "phrase", "a", "doc_id", "cut.score", "cut.l", "cut.r")
+    return _ranked(kept, top).join(sized(totals), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "doc_id")
 
 
 def _ranked(rows: DataFrame, top: int) -> DataFrame:

@@ -82,7 +82,7 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return phrases.collocations(read(spark, sf_dir, "documents")).drop("doc_id", "at")
+    return phrases.collocations(read(spark, sf_dir, "documents")).drop("doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
