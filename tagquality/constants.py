@@ -20,7 +20,6 @@ HEALTHY = "HEALTHY"
 SCANNED = "DQM ENABLED"
 NOT_SCANNED = "NOT ENABLED"
 SYSTEM_CATALOGS = ("system", "hive_metastore")
-INTERNAL_CATALOG_PATTERN = r"\_\_%\_internal%"
 
 # Seed rules for person names, and the e-mail rule.
 NAME_RULE = (

@@ -9,9 +9,12 @@ from __future__ import annotations
 import re
 
 from tagquality.fixtures.views import (
+    CATALOG,
     EVENTS_AS_OF,
+    FAILING_RULES,
     ORDERS_AS_OF,
     PRICES,
+    SCAN_EXCLUSIONS,
     SCAN_RULES,
     SCANNED_COLUMNS,
     USAGE_AS_OF,
@@ -33,26 +36,26 @@ def _prices() -> str:
 
 
 VIEWS = {
-    "fx_places": """
-        SELECT s_suppkey, s_acctbal, n_nationkey, replace(r_name, ' ', '_') AS catalog_name,
+    "fx_places": f"""
+        SELECT s_suppkey, s_acctbal, n_nationkey, {CATALOG} AS catalog_name,
                CASE WHEN s_acctbal < 0 THEN 'SCHEMAX' ELSE 'SCHEMA_' END || s_suppkey AS schema_name
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
                       JOIN region ON n_regionkey = r_regionkey""",
     "fx_schemata": """
         SELECT catalog_name, schema_name, CAST(s_suppkey AS VARCHAR) AS schema_id FROM fx_places""",
-    "fx_schema_tags": """
+    "fx_schema_tags": f"""
         SELECT catalog_name, schema_name, 'tenant' AS tag_name,
                'TENANT_' || (n_nationkey % 7) AS tag_value
         FROM fx_places WHERE catalog_name <> 'AMERICA'
         UNION ALL SELECT catalog_name, schema_name, 'askid', 'ASK-' || n_nationkey
-        FROM fx_places WHERE catalog_name <> 'ASIA'
+        FROM fx_places WHERE catalog_name <> 'DEV_U1'
         UNION ALL SELECT catalog_name, schema_name, 'askid', 'ASK-SHARED'
         FROM fx_places WHERE s_acctbal > 9000
         UNION ALL SELECT catalog_name, schema_name, 'dqm_monitor', 'enabled'
         FROM fx_places WHERE s_acctbal >= 5000
         UNION ALL SELECT catalog_name, schema_name, 'dqm_monitor', 'paused'
         FROM fx_places WHERE s_acctbal < 0
-        UNION ALL SELECT replace(r_name, ' ', '_'), 'RETIRED_' || n_name, 'dqm_monitor', 'enabled'
+        UNION ALL SELECT {CATALOG}, 'RETIRED_' || n_name, 'dqm_monitor', 'enabled'
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "fx_new_tags": """
         SELECT catalog_name, schema_name, 'tenant' AS tag_name, 'TENANT_NEW' AS tag_value
@@ -76,7 +79,7 @@ VIEWS = {
         UNION ALL SELECT DISTINCT 'dq_type', p_type, 'Short ' || p_type,
                'LENGTH({col}) <= 40', 'warn' FROM part
         UNION ALL SELECT DISTINCT 'dq_brand', p_brand, 'Brand ' || p_brand,
-               '{col} IS NOT NULL', 'error' FROM part WHERE p_brand LIKE 'Brand#1%'""",
+               '{col} IS NOT NULL', 'error' FROM part""",
     "fx_bindings": """
         SELECT t.catalog_name, t.schema_name, t.table_name, t.column_name,
                r.rule_name, r.sql_expression, r.criticality
@@ -104,17 +107,21 @@ VIEWS = {
                CASE WHEN l_tax > 0.065 THEN 'ext-' || l_partkey
                     ELSE CAST(l_partkey AS VARCHAR) END AS table_id,
                CAST(l_suppkey AS VARCHAR) AS job_id, CAST(l_orderkey AS VARCHAR) AS job_run_id,
-               CASE l_suppkey % 4 WHEN 0 THEN 'ACME-001' WHEN 1 THEN 'GLOBEX-002'
-                    WHEN 2 THEN 'INITECH-003' END AS billing_code,
-               CASE l_suppkey % 4 WHEN 0 THEN 'ACME Corp' WHEN 1 THEN 'Globex Inc'
-                    WHEN 2 THEN 'Initech LLC' END AS requesting_team,
+               CASE l_suppkey % 4 WHEN 0 THEN 'ORCHID-11' WHEN 1 THEN 'BASALT-22'
+                    WHEN 2 THEN 'HARBOR-33' END AS billing_code,
+               CASE l_suppkey % 4 WHEN 0 THEN 'Orchid Mills' WHEN 1 THEN 'Basalt Works'
+                    WHEN 2 THEN 'Harbor Lane' END AS requesting_team,
                CASE WHEN l_partkey % 3 = 0 THEN 'DQ-Scanning' ELSE 'Other' END AS cost_center,
                CASE WHEN l_linenumber < 4 THEN 'ad-hoc' ELSE 'scheduled' END AS scan_type,
-               l_linenumber > 4 AS is_serverless, 'pol-' || (l_partkey % 5) AS policy_id
+               l_linenumber > 4 AS is_serverless, 'pol-' || (l_partkey % 6) AS policy_id
         FROM lineitem""",
     "fx_monitoring": "SELECT * FROM fx_usage WHERE billing_origin_product = 'DATA_QUALITY_MONITORING'",
     "fx_scanning": "SELECT * FROM fx_usage WHERE cost_center = 'DQ-Scanning'",
     "fx_prices": _prices(),
+    "fx_daily_prices": """
+        SELECT DISTINCT l_returnflag || '_' || l_linestatus AS sku_name, CAST(l_shipdate AS DATE) AS day,
+               (dayofyear(CAST(l_shipdate AS DATE)) % 50 + 1) / 100 AS price
+        FROM lineitem""",
     "fx_tag_dim": """
         SELECT s.catalog_name, s.schema_name, s.schema_id, t.tag_name, t.tag_value
         FROM fx_schemata s JOIN fx_schema_tags t
@@ -164,6 +171,10 @@ VIEWS = {
     "fx_latest": """
         SELECT *, rows_error * 100.0 / nullif(total_rows, 0) AS rate FROM fx_dq
         WHERE run_id = (SELECT run_id FROM fx_dq ORDER BY scan_date DESC, run_id DESC LIMIT 1)""",
+    "fx_latest_of_table": """
+        SELECT *, rows_error * 100.0 / nullif(total_rows, 0) AS rate FROM fx_dq d
+        WHERE run_id = (SELECT run_id FROM fx_dq x WHERE x.table_name = d.table_name
+                        ORDER BY scan_date DESC, run_id DESC LIMIT 1)""",
     "fx_registry": """
         SELECT 'BC-' || c_custkey AS billing_code, c_name AS client_name,
                'dq@' || c_custkey || '.example.com' AS contact_email,
@@ -238,6 +249,16 @@ def _scan_sql(*rule_names: str, table: str | None = None) -> str:
     return "\nUNION ALL ".join(lines)
 
 
+_EXCLUDED = ", ".join(f"'main.sales.{t}'" for t, value in SCAN_EXCLUSIONS if value == "true")
+_FAILED = " UNION ALL ".join(
+    f"SELECT 'main.sales.{table}', '{column}', '{rule}', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), "
+    "CAST(NULL AS BIGINT), true"
+    for table, column, tag in SCANNED_COLUMNS
+    for tag_value, rule, _, _ in FAILING_RULES
+    if tag == tag_value
+)
+
+
 def _units_and_cost(owner: str, tag: str) -> str:
     return f"""
         SELECT d.tag_value AS {owner}, CAST(date_trunc('month', u.usage_date) AS DATE) AS usage_month,
@@ -304,32 +325,37 @@ _TREND_ROWS = f"""
     GROUP BY ALL"""
 
 
-def _buckets(rows: str, keys: str, ts: str, as_of: str, null_keys: str = "") -> str:
+def _buckets(rows: str, keys: str, ts: str, as_of: str) -> str:
     """Rows per key and 24-hour bucket, with the empty buckets up to the oldest filled in."""
     return f"""
         found AS (
             SELECT {keys}, CAST(floor((epoch_us(TIMESTAMP '{as_of}') - epoch_us({ts}))
                                 / 86400000000.0) AS BIGINT) AS bucket, count(*) AS n
             FROM {rows}
-            WHERE {ts} <= TIMESTAMP '{as_of}' AND {ts} > TIMESTAMP '{as_of}' - INTERVAL 15 DAY
+            WHERE {ts} <= TIMESTAMP '{as_of}' AND {ts} > TIMESTAMP '{as_of}' - INTERVAL 29 DAY
             GROUP BY ALL),
         days AS (
             SELECT s.{keys}, s.bucket, coalesce(f.n, 0) AS n
             FROM (SELECT {keys}, unnest(range(0, max(bucket) + 1)) AS bucket FROM found GROUP BY {keys}) s
             LEFT JOIN found f ON s.{keys} = f.{keys} AND s.bucket = f.bucket),
+        likened AS (
+            SELECT *, CASE WHEN count(*) FILTER (WHERE bucket > 0 AND bucket % 7 = 0) OVER (PARTITION BY {keys}) >= 3
+                           THEN bucket % 7 ELSE 0 END AS alike FROM days),
+        medians AS (
+            SELECT {keys}, alike, median(n) AS med FROM likened WHERE bucket > 0 GROUP BY {keys}, alike),
         volume AS (
-            SELECT {keys}, max(n) FILTER (WHERE bucket = 0) AS actual_rows,
+            SELECT l.{keys}, max(n) FILTER (WHERE bucket = 0) AS actual_rows,
                    count(*) FILTER (WHERE bucket > 0) AS baseline_days,
-                   avg(n) FILTER (WHERE bucket > 0) AS avg_rows,
-                   stddev_samp(n) FILTER (WHERE bucket > 0) AS sd
-            FROM days GROUP BY {keys}),
+                   max(med) FILTER (WHERE l.alike = 0) AS expected_rows,
+                   median(abs(n - med)) FILTER (WHERE bucket > 0) AS mad_rows
+            FROM likened l LEFT JOIN medians m ON l.{keys} = m.{keys} AND l.alike = m.alike GROUP BY l.{keys}),
         known AS (SELECT DISTINCT {keys} FROM {rows} WHERE {ts} <= TIMESTAMP '{as_of}'),
         judged AS (
             SELECT k.{keys}, coalesce(v.actual_rows, 0) AS actual_rows,
-                   coalesce(v.baseline_days, 0) AS baseline_days, v.avg_rows, v.sd,
+                   coalesce(v.baseline_days, 0) AS baseline_days, v.expected_rows, v.mad_rows,
                    v.{keys} IS NULL AS silent,
-                   CASE WHEN v.baseline_days >= 7
-                        THEN greatest(0.0, v.avg_rows - 3 * v.sd) END AS floor_rows
+                   CASE WHEN v.baseline_days >= 7 THEN greatest(0.0, v.expected_rows
+                        - greatest(3 * 1.4826::DOUBLE * v.mad_rows, 0.1::DOUBLE * v.expected_rows)) END AS floor_rows
             FROM known k LEFT JOIN volume v ON k.{keys} = v.{keys})"""
 
 
@@ -345,18 +371,26 @@ _AUDIT_STATUS = "CASE WHEN len(scanned) > 0 THEN 'SUBMITTED' ELSE 'REJECTED' END
 _FRESHNESS = f"""
     ordered AS (
         SELECT user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn,
-               (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts))) / 1e6 AS gap
+               lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev
         FROM events WHERE ts <= TIMESTAMP '{EVENTS_AS_OF}'),
+    newest AS (
+        SELECT user_id, (epoch_us(ts) - epoch_us(prev)) / 1e6 AS gap, isodow(prev) AS dow
+        FROM ordered WHERE rn <= 30 AND prev IS NOT NULL),
+    last AS (SELECT user_id, max(ts) AS last_commit FROM ordered GROUP BY user_id),
+    same AS (
+        SELECT n.*, dow = isodow(last_commit) AS is_same,
+               count(*) FILTER (WHERE dow = isodow(last_commit)) OVER (PARTITION BY n.user_id) AS n_same
+        FROM newest n JOIN last l ON n.user_id = l.user_id),
+    chosen AS (SELECT *, median(gap) OVER (PARTITION BY user_id) AS med FROM same WHERE is_same OR n_same < 3),
+    spread AS (SELECT user_id, max(med) AS med, median(abs(gap - med)) AS mad FROM chosen GROUP BY user_id),
     gaps AS (
-        SELECT user_id, max(ts) AS last_commit, count(gap) FILTER (WHERE rn <= 30) AS num_gaps,
-               avg(gap) FILTER (WHERE rn <= 30) AS mean,
-               stddev_samp(gap) FILTER (WHERE rn <= 30) AS sd
-        FROM ordered GROUP BY user_id),
+        SELECT l.user_id, last_commit, (SELECT count(*) FROM newest n WHERE n.user_id = l.user_id) AS num_gaps, med, mad,
+               last_commit + to_microseconds(CAST(round((med + greatest(3 * 1.4826::DOUBLE * mad, 0.1::DOUBLE * med)) * 1e6) AS BIGINT)) AS due
+        FROM last l LEFT JOIN spread s ON l.user_id = s.user_id),
     fresh AS (
-        SELECT *, CASE WHEN num_gaps < 5 THEN 'Unknown'
-                       WHEN epoch_us(TIMESTAMP '{EVENTS_AS_OF}')
-                            > epoch_us(last_commit) + (mean + 3 * sd) * 1e6 THEN 'Unhealthy'
-                       ELSE 'Healthy' END AS freshness_status
+        SELECT *, CASE WHEN num_gaps >= 5 THEN due END AS predicted,
+               CASE WHEN num_gaps < 5 THEN 'Unknown' WHEN TIMESTAMP '{EVENTS_AS_OF}' > due THEN 'Unhealthy'
+                    ELSE 'Healthy' END AS freshness_status
         FROM gaps)"""
 
 _COMPLETENESS_STATUS = """CASE WHEN silent THEN 'Unhealthy' WHEN floor_rows IS NULL THEN 'Unknown'
@@ -387,6 +421,17 @@ _DETAIL_ORDER = """usage_date DESC NULLS LAST, workspace_id, sku_name, usage_qua
 _CHARGED = """
     SELECT billing_code, requesting_team, CAST(date_trunc('month', usage_date) AS DATE) AS usage_month,"""
 
+_BILLING_UNITS = f"""{_CHARGED}
+               {rounded("sum(usage_quantity)", 4)} AS total_dbus,
+               count(DISTINCT job_run_id) AS scan_runs, count(*) AS billing_events
+        FROM fx_scanning WHERE billing_code IS NOT NULL GROUP BY ALL"""
+_AUDIT_ROWS = f"""
+    WITH {_AUDIT}
+    SELECT request_id, billing_code, client_name, nullif(array_to_string(scanned, ','), '') AS schemas_scanned,
+           'scan-' || billing_code || '-' || request_id AS job_run_id, requested_by,
+           DATE '{EVENTS_AS_OF[:10]}' AS request_time, {_AUDIT_STATUS} AS status
+    FROM entries"""
+
 
 ORACLE: dict[str, str] = {
     # --- rule scan
@@ -408,6 +453,12 @@ ORACLE: dict[str, str] = {
         FROM customer""",
     "rule_scan_summary": _scan_sql(table="customer"),
     "universal_scan": _scan_sql(),
+    "scan_with_exclusions": f"""
+        SELECT * FROM ({_scan_sql()})
+        WHERE table_name NOT IN ({_EXCLUDED})""",
+    "scan_with_bad_rules": f"""
+        SELECT * EXCLUDE (scan_date, run_id), false AS failed FROM ({_scan_sql()})
+        UNION ALL {_FAILED}""",
     "name_conformance": _scan_sql("Name Conformance"),
     "email_conformance": _scan_sql("Email Conformance"),
     "warn_rules": _scan_sql("Balance Not Negative", "Priority Specified", "Text Long Enough"),
@@ -421,6 +472,15 @@ ORACLE: dict[str, str] = {
         "SELECT run_id FROM fx_dq ORDER BY scan_date DESC, run_id DESC LIMIT 1"
     ),
     "error_rate_largest_run_id": _latest_rates("SELECT max(run_id) FROM fx_dq"),
+    "error_rate_latest_per_table": f"""
+        SELECT table_name, rule_name, total_rows, rows_error, {rounded("rate", 2)} AS error_rate_pct
+        FROM fx_latest_of_table""",
+    "dq_score_latest_per_table": _score_rows("scan_date").replace("fx_latest", "fx_latest_of_table"),
+    "top_error_tables_per_table": f"""
+        SELECT table_name, CAST(sum(total_rows) AS BIGINT) AS total_rows,
+               CAST(sum(rows_error) AS BIGINT) AS rows_error,
+               {rounded("sum(rows_error) * 100.0 / nullif(sum(total_rows), 0)", 2)} AS error_rate_pct
+        FROM fx_latest_of_table GROUP BY table_name ORDER BY error_rate_pct DESC NULLS LAST, table_name LIMIT 5""",
     "dq_daily_trend": f"""
         SELECT CAST(scan_date AS DATE) AS scan_day, table_name, rule_name,
                {rounded("avg(rows_error * 100.0 / nullif(total_rows, 0))", 2)} AS avg_error_rate
@@ -459,7 +519,7 @@ ORACLE: dict[str, str] = {
     "tagged_schemas_audit": """
         SELECT DISTINCT * FROM fx_schema_tags
         WHERE tag_name = 'dqm_monitor' AND tag_value = 'enabled'""",
-    "tag_listing": "SELECT * FROM fx_schema_tags WHERE catalog_name = 'EUROPE'",
+    "tag_listing": "SELECT * FROM fx_schema_tags WHERE catalog_name = 'SALES_EU'",
     "tag_value_listing": """
         SELECT catalog_name, schema_name, tag_value AS dqm_tag_value
         FROM fx_schema_tags WHERE tag_name = 'dqm_monitor'""",
@@ -503,12 +563,13 @@ ORACLE: dict[str, str] = {
     "freshness_check": f"""
         WITH {_FRESHNESS}
         SELECT CAST(user_id AS VARCHAR) AS table_id, last_commit, num_gaps,
-               {rounded("mean", 3)} AS avg_gap_sec, {rounded("sd", 3)} AS stddev_gap_sec,
-               freshness_status
+               {rounded("med", 3)} AS median_gap_sec, {rounded("mad", 3)} AS mad_gap_sec,
+               {_millis("predicted", "predicted_commit")}, freshness_status
         FROM fresh""",
     "completeness_check": f"""
         WITH {_buckets("events", "event_type", "ts", VOLUME_AS_OF)}
-        SELECT event_type, actual_rows, baseline_days, {rounded("avg_rows", 4)} AS avg_rows,
+        SELECT event_type, actual_rows, baseline_days, {rounded("expected_rows", 4)} AS expected_rows,
+               {rounded("mad_rows", 4)} AS mad_rows,
                {rounded("floor_rows", 4)} AS min_predicted_rows,
                {_COMPLETENESS_STATUS} AS completeness_status
         FROM judged""",
@@ -538,15 +599,19 @@ ORACLE: dict[str, str] = {
                     ELSE 'Healthy' END AS null_status
         FROM stats""",
     "table_results": f"""
-        WITH {_FRESHNESS},
+        WITH RECURSIVE {_FRESHNESS},
         {_buckets("events", "user_id", "ts", VOLUME_AS_OF)},
         edges AS (
-            SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS root,
-                   CAST(CASE WHEN l_linenumber < 4 THEN (l_partkey + 2) // 3
-                             ELSE (l_partkey + 4) // 5 END AS VARCHAR) AS table_id
-            FROM lineitem),
-        fan_out AS (SELECT root, count(*) AS n FROM edges GROUP BY root),
-        affected AS (SELECT * FROM edges UNION SELECT table_id, table_id FROM fx_tables),
+            SELECT DISTINCT * FROM (
+                SELECT CAST(l_partkey AS VARCHAR) AS root,
+                       CAST(CASE WHEN l_linenumber < 4 THEN (l_partkey + 2) // 3
+                                 ELSE (l_partkey + 4) // 5 END AS VARCHAR) AS table_id
+                FROM lineitem) WHERE root <> table_id),
+        reach AS (
+            SELECT root, table_id FROM edges
+            UNION SELECT r.root, e.table_id FROM reach r JOIN edges e ON r.table_id = e.root WHERE e.table_id <> r.root),
+        fan_out AS (SELECT root, count(*) AS n FROM reach GROUP BY root),
+        affected AS (SELECT * FROM reach UNION SELECT table_id, table_id FROM fx_tables),
         said AS (
             SELECT statement_id, regexp_extract(upper(statement_text),
                    'FROM ([A-Z0-9_]+\\.[A-Z0-9_]+\\.[A-Z0-9_]+) ', 1) AS name FROM fx_history),
@@ -559,25 +624,56 @@ ORACLE: dict[str, str] = {
             SELECT coalesce(f.user_id, j.user_id) AS user_id, f.last_commit,
                    coalesce(f.freshness_status, 'Unknown') AS freshness_status,
                    CASE WHEN j.user_id IS NULL THEN 'Unknown'
-                        ELSE {_COMPLETENESS_STATUS} END AS completeness_status,
+                        ELSE {_COMPLETENESS_STATUS} END AS daily_status,
                    actual_rows, CAST(ceil(floor_rows) AS BIGINT) AS min_expected_rows
-            FROM fresh f FULL JOIN judged j ON f.user_id = j.user_id)
+            FROM fresh f FULL JOIN judged j ON f.user_id = j.user_id),
+        totals AS (
+            SELECT user_id, CAST(sum(floor(value)) AS BIGINT) AS total_rows,
+                   CAST(ceil(sum(floor(value)) FILTER (WHERE ts <= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 1 DAY)
+                             * 0.9::DOUBLE) AS BIGINT) AS min_total_rows
+            FROM events WHERE ts <= TIMESTAMP '{EVENTS_AS_OF}' GROUP BY user_id),
+        checked AS (
+            SELECT c.*, total_rows, min_total_rows,
+                   CASE WHEN min_total_rows IS NULL THEN 'Unknown' WHEN total_rows < min_total_rows THEN 'Unhealthy'
+                        ELSE 'Healthy' END AS total_status
+            FROM both_checks c LEFT JOIN totals t ON c.user_id = t.user_id),
+        last_write AS (
+            SELECT CAST(l_partkey AS VARCHAR) AS table_id, run_name, result_state
+            FROM lineitem JOIN fx_timeline ON l_orderkey = run_id WHERE end_time <= TIMESTAMP '{EVENTS_AS_OF}'
+            QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY end_time DESC, run_id DESC) = 1),
+        failed AS (SELECT * FROM last_write WHERE result_state = 'FAILED'),
+        walk AS (
+            SELECT CAST(user_id AS VARCHAR) AS root, CAST(user_id AS VARCHAR) AS table_id, 0 AS depth
+            FROM both_checks WHERE 'Unhealthy' IN (freshness_status, daily_status)
+            UNION SELECT w.root, e.root, depth + 1 FROM walk w JOIN edges e ON e.table_id = w.table_id),
+        blamed AS (
+            SELECT w.root, run_name, rank() OVER (PARTITION BY w.root ORDER BY depth) AS near
+            FROM walk w JOIN failed f ON w.table_id = f.table_id),
+        causes AS (
+            SELECT root, string_agg(DISTINCT run_name, ',' ORDER BY run_name) AS upstream_jobs
+            FROM blamed WHERE near = 1 GROUP BY root)
         SELECT DATE '{EVENTS_AS_OF[:10]}' AS event_day, t.catalog_name, t.schema_name, t.table_name,
                s.schema_id, t.table_id,
-               CASE WHEN 'Unhealthy' IN (freshness_status, completeness_status) THEN 'Unhealthy'
-                    WHEN freshness_status = 'Unknown' AND completeness_status = 'Unknown'
+               CASE WHEN 'Unhealthy' IN (freshness_status, daily_status, total_status) THEN 'Unhealthy'
+                    WHEN freshness_status = 'Unknown' AND daily_status = 'Unknown' AND total_status = 'Unknown'
                     THEN 'Unknown' ELSE 'Healthy' END AS status,
-               freshness_status, last_commit, completeness_status, actual_rows, min_expected_rows,
+               freshness_status, last_commit,
+               CASE WHEN 'Unhealthy' IN (daily_status, total_status) THEN 'Unhealthy'
+                    WHEN daily_status = 'Unknown' AND total_status = 'Unknown' THEN 'Unknown'
+                    ELSE 'Healthy' END AS completeness_status,
+               actual_rows, min_expected_rows, total_status, total_rows, min_total_rows,
+               CASE WHEN total_status = 'Unhealthy' THEN 'ROWS_LOST' END AS total_error,
                CASE WHEN coalesce(o.n, 0) >= 10 OR coalesce(a.n, 0) >= 100 THEN 'HIGH'
                     WHEN coalesce(o.n, 0) > 0 OR coalesce(a.n, 0) > 0 THEN 'MEDIUM'
                     ELSE 'LOW' END AS impact_level,
                coalesce(o.n, 0) AS num_downstream_tables,
-               coalesce(a.n, 0) AS num_queries_on_affected_tables
-        FROM both_checks c
+               coalesce(a.n, 0) AS num_queries_on_affected_tables, upstream_jobs
+        FROM checked c
         JOIN fx_tables t ON t.table_id = CAST(c.user_id AS VARCHAR)
         LEFT JOIN fx_schemata s ON s.catalog_name = t.catalog_name AND s.schema_name = t.schema_name
         LEFT JOIN fan_out o ON o.root = t.table_id
-        LEFT JOIN asked a ON a.root = t.table_id""",
+        LEFT JOIN asked a ON a.root = t.table_id
+        LEFT JOIN causes ON causes.root = t.table_id""",
     "health_recent": f"""
         SELECT event_time, {_RESULT} FROM fx_results
         ORDER BY event_time DESC, catalog_name, schema_name, table_name, status NULLS FIRST,
@@ -598,8 +694,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN l.last_scan_time IS NOT NULL THEN 'DQM ENABLED' ELSE 'NOT ENABLED' END AS dqm_status,
                l.last_scan_time, l.tables_monitored
         FROM fx_schemata s LEFT JOIN fx_scans l
-          ON s.catalog_name = l.catalog_name AND s.schema_name = l.schema_name
-        WHERE s.catalog_name NOT IN ('system', 'MIDDLE_EAST') AND s.catalog_name NOT LIKE 'EUR%'""",
+          ON s.catalog_name = l.catalog_name AND s.schema_name = l.schema_name""",
     "tag_vs_scan": """
         SELECT coalesce(t.catalog_name, s.catalog_name) AS catalog_name,
                coalesce(t.schema_name, s.schema_name) AS schema_name,
@@ -658,6 +753,10 @@ ORACLE: dict[str, str] = {
                {rounded("sum(u.usage_quantity * p.price)", 2)} AS total_cost,
                min(u.usage_start_time) AS first_start, max(u.usage_start_time) AS last_start
         FROM fx_usage u JOIN fx_prices p ON {_PRICED} GROUP BY ALL""",
+    "price_usage_daily": f"""
+        SELECT u.sku_name, count(*) AS usage_rows, {rounded("sum(u.usage_quantity * p.price)", 2)} AS total_cost
+        FROM fx_usage u JOIN fx_daily_prices p ON u.sku_name = p.sku_name
+          AND u.usage_start_time >= p.day AND u.usage_start_time < p.day + INTERVAL 1 DAY GROUP BY ALL""",
     "chargeback_cost": _units_and_cost("tenant", "tenant"),
     "chargeback_project": _units_and_cost("askid", "askid"),
     "chargeback_by_table": f"""
@@ -713,10 +812,8 @@ ORACLE: dict[str, str] = {
         FROM fx_scanning WHERE billing_code IS NOT NULL
         ORDER BY usage_date DESC, billing_code, requesting_team, cost_center, sku_name,
                  billing_origin_product, usage_quantity, job_id, job_run_id LIMIT 50""",
-    "billing_units": f"""{_CHARGED}
-               {rounded("sum(usage_quantity)", 4)} AS total_dbus,
-               count(DISTINCT job_run_id) AS scan_runs, count(*) AS billing_events
-        FROM fx_scanning WHERE billing_code IS NOT NULL GROUP BY ALL""",
+    "billing_units": _BILLING_UNITS,
+    "billing_units_promoted": _BILLING_UNITS,
     "billing_cost": f"""{_CHARGED}
                {rounded("sum(usage_quantity)", 4)} AS total_dbus,
                {rounded("sum(usage_quantity * p.price)", 2)} AS estimated_cost_usd
@@ -745,7 +842,7 @@ ORACLE: dict[str, str] = {
                {rounded("sum(usage_quantity)", 4)} AS total_dbus,
                count(DISTINCT job_run_id) AS scan_runs
         FROM fx_scanning
-        WHERE billing_code = 'ACME-001' AND usage_date >= DATE '{USAGE_AS_OF[:10]}' - INTERVAL 24 MONTH
+        WHERE billing_code = 'ORCHID-11' AND usage_date >= DATE '{USAGE_AS_OF[:10]}' - INTERVAL 24 MONTH
         GROUP BY ALL""",
     "fn_dq_chargeback": f"""{_CHARGED}
                {rounded("sum(usage_quantity)", 4)} AS total_dbus,
@@ -758,9 +855,9 @@ ORACLE: dict[str, str] = {
             SELECT p_partkey % 5 AS n, min(p_brand) AS brand FROM part GROUP BY ALL),
         resolved AS (
             SELECT is_serverless, usage_quantity, 'billing_code' AS k, 'POL-' || n AS v
-            FROM fx_usage JOIN policies ON policy_id = 'pol-' || n WHERE is_serverless AND n <> 4
+            FROM fx_usage JOIN policies ON policy_id = 'pol-' || n WHERE is_serverless
             UNION ALL SELECT is_serverless, usage_quantity, 'cost_center', brand
-            FROM fx_usage JOIN policies ON policy_id = 'pol-' || n WHERE is_serverless AND n <> 4
+            FROM fx_usage JOIN policies ON policy_id = 'pol-' || n WHERE is_serverless
             UNION ALL SELECT is_serverless, usage_quantity, 'billing_code', 'JOB-' || s_nationkey
             FROM fx_usage JOIN supplier ON job_id = CAST(s_suppkey AS VARCHAR) WHERE NOT is_serverless
             UNION ALL SELECT is_serverless, usage_quantity, 'cost_center', 'DQ-Scanning'
@@ -794,15 +891,13 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT request_id, billing_code, schema_full_name, 'Schema not allowed for this client'
         FROM fx_wanted WHERE NOT is_allowed""",
-    "audit_append": f"""
-        WITH {_AUDIT}
-        SELECT request_id, billing_code, client_name, nullif(array_to_string(scanned, ','), '') AS schemas_scanned,
-               'scan-' || billing_code || '-' || request_id AS job_run_id, requested_by,
-               DATE '{EVENTS_AS_OF[:10]}' AS request_time, {_AUDIT_STATUS} AS status
-        FROM entries""",
+    "audit_append": _AUDIT_ROWS,
+    "request_stream": _AUDIT_ROWS,
     "audit_view": f"""
         WITH {_AUDIT}
-        SELECT request_id, client_name, DATE '{EVENTS_AS_OF[:10]}' AS request_time, {_AUDIT_STATUS} AS status
+        SELECT request_id, client_name, DATE '{EVENTS_AS_OF[:10]}' AS request_time,
+               CASE WHEN len(scanned) = 0 THEN 'REJECTED' WHEN CAST(request_id AS BIGINT) % 3 = 0 THEN 'COMPLETED'
+                    WHEN CAST(request_id AS BIGINT) % 3 = 1 THEN 'FAILED' ELSE 'SUBMITTED' END AS status
         FROM entries""",
     # --- profiling
     "table_counts": " UNION ALL ".join(
@@ -836,6 +931,7 @@ def statement(key: str) -> str:
     ctes = [f"{name} AS ({VIEWS[name].strip()})" for name in _needed(sql)]
     if not ctes:
         return sql
-    if sql.startswith("WITH "):
-        return "WITH " + ",\n".join(ctes) + ",\n" + sql.removeprefix("WITH ")
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if sql.startswith(head):
+            return head + ",\n".join(ctes) + ",\n" + sql.removeprefix(head)
     return "WITH " + ",\n".join(ctes) + "\n" + sql

@@ -11,12 +11,16 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagquality.constants import EMAIL_RULE, NAME_RULE
-from tagquality.schemas import COLUMN_TAGS, RULE_MAPPING
+from tagquality.constants import EMAIL_RULE, EXCLUDE_TAG, NAME_RULE
+from tagquality.schemas import COLUMN_TAGS, RULE_MAPPING, TABLE_TAGS
 from tagquality.sources.tables import rows_of
 
 SCAN_TAG = "dq"
 
+# Regions as catalogs; two names have the wildcard of LIKE near their end.
+CATALOG = """CASE r_name WHEN 'ASIA' THEN 'DEV_U1' WHEN 'EUROPE' THEN 'SALES_EU'
+             ELSE replace(r_name, ' ', '_') END"""
+
 # Tags of the scanned columns: table, column, tag value.
 SCANNED_COLUMNS = [
     ("customer", "c_name", "personName"),
@@ -52,6 +56,15 @@ SCAN_RULES = [
     ("ruleWithoutTag", "Never Bound", "{col} IS NOT NULL", "error"),
 ]
 
+# Rules that analyse but fail on values of their columns.
+FAILING_RULES = [
+    ("balance", "Balance Digits", "CAST(CAST({col} AS STRING) AS INT) >= 0", "error"),
+    ("priority", "Priority Number", "CAST({col} AS INT) > 0", "warn"),
+]
+
+# Tables of the scan with a tag that may exclude them: table, tag value.
+SCAN_EXCLUSIONS = [("part", "true"), ("orders", "false"), ("documents", "true")]
+
 # List prices: SKU, start, end, price per unit. One SKU has no price.
 PRICES = [
     ("A_F", "1990-01-01", "1998-07-01", 0.55),
@@ -97,7 +110,7 @@ class SampleTables:
                 "s_suppkey",
                 "s_acctbal",
                 "n_nationkey",
-                "replace(r_name, ' ', '_') AS catalog_name",
+                f"{CATALOG} AS catalog_name",
                 "if(s_acctbal < 0, 'SCHEMAX', 'SCHEMA_') || s_suppkey AS schema_name",
             )
         )
@@ -113,7 +126,7 @@ class SampleTables:
         # Tag name, value, and which schemas carry it.
         tags = [
             ("tenant", "'TENANT_' || (n_nationkey % 7)", "catalog_name <> 'AMERICA'"),
-            ("askid", "'ASK-' || n_nationkey", "catalog_name <> 'ASIA'"),
+            ("askid", "'ASK-' || n_nationkey", "catalog_name <> 'DEV_U1'"),
             ("askid", "'ASK-SHARED'", "s_acctbal > 9000"),
             ("dqm_monitor", "'enabled'", "s_acctbal >= 5000"),
             ("dqm_monitor", "'paused'", "s_acctbal < 0"),
@@ -131,7 +144,7 @@ class SampleTables:
             self.base("nation")
             .join(self.base("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .selectExpr(
-                "replace(r_name, ' ', '_') AS catalog_name",
+                f"{CATALOG} AS catalog_name",
                 "'RETIRED_' || n_name AS schema_name",
                 "'dqm_monitor' AS tag_name",
                 "'enabled' AS tag_value",
@@ -210,7 +223,7 @@ class SampleTables:
             .unionByName(rules(types, "dq_type", "Short", "LENGTH({col}) <= 40", "warn"))
             .unionByName(
                 rules(
-                    brands.where("tag_value LIKE 'Brand#1%'"),
+                    brands,
                     "dq_brand",
                     "Brand",
                     "{col} IS NOT NULL",
@@ -240,6 +253,16 @@ class SampleTables:
         rows = [(SCAN_TAG, *r) for r in SCAN_RULES]
         return rows_of(self.spark, RULE_MAPPING, columns, rows)
 
+    @cached_property
+    def failing_rules(self) -> DataFrame:
+        columns = ["tag_name", "tag_value", "rule_name", "sql_expression", "criticality"]
+        return rows_of(self.spark, RULE_MAPPING, columns, [(SCAN_TAG, *r) for r in FAILING_RULES])
+
+    @cached_property
+    def scan_table_tags(self) -> DataFrame:
+        rows = [("main", "sales", t, EXCLUDE_TAG, v) for t, v in SCAN_EXCLUSIONS]
+        return self.spark.createDataFrame(rows, TABLE_TAGS)
+
     @cached_property
     def contacts(self) -> DataFrame:
         """Customers with an e-mail address, good or bad depending on balance and segment."""
@@ -272,14 +295,14 @@ class SampleTables:
             "if(l_tax > 0.065, 'ext-' || l_partkey, CAST(l_partkey AS STRING)) AS table_id",
             "CAST(l_suppkey AS STRING) AS job_id",
             "CAST(l_orderkey AS STRING) AS job_run_id",
-            """CASE l_suppkey % 4 WHEN 0 THEN 'ACME-001' WHEN 1 THEN 'GLOBEX-002'
-               WHEN 2 THEN 'INITECH-003' END AS billing_code""",
-            """CASE l_suppkey % 4 WHEN 0 THEN 'ACME Corp' WHEN 1 THEN 'Globex Inc'
-               WHEN 2 THEN 'Initech LLC' END AS requesting_team""",
+            """CASE l_suppkey % 4 WHEN 0 THEN 'ORCHID-11' WHEN 1 THEN 'BASALT-22'
+               WHEN 2 THEN 'HARBOR-33' END AS billing_code""",
+            """CASE l_suppkey % 4 WHEN 0 THEN 'Orchid Mills' WHEN 1 THEN 'Basalt Works'
+               WHEN 2 THEN 'Harbor Lane' END AS requesting_team""",
             "if(l_partkey % 3 = 0, 'DQ-Scanning', 'Other') AS cost_center",
             "if(l_linenumber < 4, 'ad-hoc', 'scheduled') AS scan_type",
             "l_linenumber > 4 AS is_serverless",
-            "'pol-' || (l_partkey % 5) AS policy_id",
+            "'pol-' || (l_partkey % 6) AS policy_id",
         )
 
     @cached_property
@@ -309,9 +332,23 @@ class SampleTables:
             """named_struct('effective_list', named_struct('default', price)) AS pricing""",
         )
 
+    @cached_property
+    def daily_prices(self) -> DataFrame:
+        """A price for every SKU and day on which it was used."""
+        days = self.base("lineitem").selectExpr(
+            "l_returnflag || '_' || l_linestatus AS sku_name", "CAST(l_shipdate AS DATE) AS day"
+        ).distinct()
+        return days.selectExpr(
+            "sku_name",
+            "CAST(day AS TIMESTAMP_NTZ) AS price_start_time",
+            "CAST(date_add(day, 1) AS TIMESTAMP_NTZ) AS price_end_time",
+            """named_struct('effective_list', named_struct('default',
+                 CAST((dayofyear(day) % 50 + 1) / 100 AS DOUBLE))) AS pricing""",
+        )
+
     @cached_property
     def policies(self) -> DataFrame:
-        """A budget policy per type of part."""
+        """A budget policy per type of part; one policy of the usage is not among them."""
         of_type = self.base("part").groupBy(F.expr("p_partkey % 5 AS k")).agg(
             F.min("p_brand").alias("brand")
         )
@@ -320,7 +357,7 @@ class SampleTables:
             "'Policy ' || k AS policy_name",
             """array(named_struct('key', 'billing_code', 'value', 'POL-' || k),
                      named_struct('key', 'cost_center', 'value', brand)) AS custom_tags""",
-        ).where("policy_id <> 'pol-4'")
+        )
 
     @cached_property
     def jobs(self) -> DataFrame:
@@ -422,6 +459,11 @@ class SampleTables:
             "CAST(floor(value) AS BIGINT) AS rows_added",
         )
 
+    @cached_property
+    def writes(self) -> DataFrame:
+        """Which run wrote which table: the orders of a part."""
+        return self.base("lineitem").selectExpr("CAST(l_partkey AS STRING) AS table_id", "l_orderkey AS run_id")
+
     @cached_property
     def lineage(self) -> DataFrame:
         """Each table feeds one of two summary tables per line, many lines to an edge."""

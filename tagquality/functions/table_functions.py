@@ -70,7 +70,12 @@ def register_chargeback_function(
     name: str = "fn_dq_chargeback",
     cost_center: str = SCANNING_COST_CENTER,
 ) -> None:
-    """`name(code, months_back, as_of)`: units and runs per code and month."""
+    """`name(code, months_back, as_of)`: units and runs per code and month; promoted tags are read as columns."""
+    columns = spark.table(usage_table).columns
+
+    def tag(key: str) -> str:
+        return key if key in columns else f"element_at(custom_tags, '{key}')"
+
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(
             target_billing_code STRING DEFAULT NULL COMMENT 'One billing code, or NULL for all',
@@ -86,9 +91,9 @@ def register_chargeback_function(
             SELECT code, team, month, CAST(round(sum(usage_quantity), 4) AS DOUBLE),
                    count(DISTINCT run)
             FROM (
-                SELECT element_at(custom_tags, 'billing_code') AS code,
-                       element_at(custom_tags, 'requesting_team') AS team,
-                       element_at(custom_tags, 'cost_center') AS center,
+                SELECT {tag('billing_code')} AS code,
+                       {tag('requesting_team')} AS team,
+                       {tag('cost_center')} AS center,
                        trunc(usage_date, 'month') AS month,
                        usage_metadata.job_run_id AS run,
                        usage_quantity, usage_date

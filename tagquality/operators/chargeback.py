@@ -18,19 +18,53 @@ from tagquality.plans.joins import lookup_join
 SCHEMA_ID = "usage_metadata.schema_id"
 
 
-def _top(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """Top rows in an order made total by the other columns, so the cut is well defined."""
-    return df.orderBy(*order, *df.columns).limit(n)
+def _top(df: DataFrame, n: int | None, *order: Column) -> DataFrame:
+    """The first `n` rows, or all, in an order made total by the other columns."""
+    rows = df.orderBy(*order, *df.columns)
+    return rows if n is None else rows.limit(n)
 
 
 def _units(column: str = "usage_quantity") -> Column:
     return F.sum(column)
 
 
-def price_usage(usage: DataFrame, prices: DataFrame) -> DataFrame:
+# Periods of a SKU up to which a usage row is compared with all of them.
+FEW_PERIODS = 16
+
+
+def _at(moment: str | Column) -> Column:
+    return F.unix_micros((F.col(moment) if isinstance(moment, str) else moment).cast("timestamp"))
+
+
+def price_grid(periods: DataFrame) -> DataFrame:
+    """(sku_name, _first, _width, _bins): time of each SKU cut into as many bins as it has periods.
+
+    Bins are even between its first and its last start; the last one has no end.
+    """
+    grid = periods.groupBy("sku_name").agg(
+        F.min(_at("_from")).alias("_first"), F.max(_at("_from")).alias("_last"), F.count(F.lit(1)).alias("_bins")
+    )
+    width = F.greatest(F.lit(1), F.ceil((F.col("_last") - F.col("_first")) / F.col("_bins")))
+    return grid.select("sku_name", "_first", width.alias("_width"), "_bins")
+
+
+def _bin(at: Column) -> Column:
+    place = F.floor((at - F.col("_first")) / F.col("_width"))
+    return F.greatest(F.lit(0), F.least(F.col("_bins"), place))
+
+
+def binned_periods(periods: DataFrame, grid: DataFrame) -> DataFrame:
+    """A row for each period and bin that it touches: about two per period where none overlap."""
+    last = _bin(_at("_until") - 1)
+    cut = periods.where(F.col("_from") < F.col("_until")).join(grid, "sku_name")
+    return cut.withColumn("_bin", F.explode(F.sequence(_bin(_at("_from")), last))).drop("_first", "_width", "_bins")
+
+
+def price_usage(usage: DataFrame, prices: DataFrame, few: int = FEW_PERIODS) -> DataFrame:
     """Usage rows with the list price in force when they started.
 
-    Usage without a price disappears; overlapping price periods repeat it.
+    Usage without a price disappears; overlapping price periods repeat it. Where a SKU has more than `few`
+    periods, usage meets only the periods that touch its bin of time: an equal-key join.
     """
     periods = prices.select(
         "sku_name",
@@ -42,9 +76,16 @@ def price_usage(usage: DataFrame, prices: DataFrame) -> DataFrame:
         F.col("pricing.effective_list.default").alias("unit_price"),
     )
     started = F.col("usage_start_time")
+    most = periods.groupBy("sku_name").count().agg(F.max("count")).first()[0] or 0
+    if most <= few:
+        met = lookup_join(usage, periods, ["sku_name"])
+    else:
+        grid = price_grid(periods)
+        placed = lookup_join(usage, grid, ["sku_name"]).withColumn("_bin", _bin(_at("usage_start_time")))
+        placed = placed.drop("_first", "_width", "_bins")
+        met = lookup_join(placed, binned_periods(periods, grid), ["sku_name", "_bin"]).drop("_bin")
     return (
-        lookup_join(usage, periods, ["sku_name"])
-        .where((started >= F.col("_from")) & (started < F.col("_until")))
+        met.where((started >= F.col("_from")) & (started < F.col("_until")))
         .drop("_from", "_until")
         .withColumn("cost_usd", F.col("usage_quantity") * F.col("unit_price"))
     )
@@ -78,8 +119,8 @@ def product_usage(usage: DataFrame, product: str = MONITORING_PRODUCT) -> DataFr
     return usage.where(F.col("billing_origin_product") == product)
 
 
-def usage_detail(usage: DataFrame, product: str = MONITORING_PRODUCT, n: int = 50) -> DataFrame:
-    """The newest `n` usage rows of a product."""
+def usage_detail(usage: DataFrame, product: str = MONITORING_PRODUCT, n: int | None = None) -> DataFrame:
+    """The usage rows of a product, newest first; `n` of them, or all."""
     rows = product_usage(usage, product).select(
         "usage_date",
         "workspace_id",
@@ -170,9 +211,10 @@ def chargeback_by_table(
     )
     path = F.concat("catalog_name", F.lit("."), "schema_name", F.lit("."), "table_name")
     names = tables.select("table_id", path.alias("_path"))
+    # Sums without a schema, or without a table, do not wait in one task for a match.
+    owned = lookup_join(per_table, dim.select(owner, "schema_id"), ["schema_id"], "left")
     return (
-        per_table.join(dim.select(owner, "schema_id"), "schema_id", "left")
-        .join(names, "table_id", "left")
+        lookup_join(owned, names, ["table_id"], "left")
         .groupBy(owner, F.coalesce("_path", "table_id").alias("table_path"), "usage_month")
         .agg(
             F.round(_units("_units"), 4).alias("total_dbus"),
@@ -210,9 +252,9 @@ def scanning_usage(
 
 
 def tagged_usage(
-    usage: DataFrame, cost_center: str = SCANNING_COST_CENTER, n: int = 50
+    usage: DataFrame, cost_center: str = SCANNING_COST_CENTER, n: int | None = None
 ) -> DataFrame:
-    """The newest `n` tagged usage rows."""
+    """The tagged usage rows, newest first; `n` of them, or all."""
     rows = scanning_usage(usage, cost_center).select(
         "usage_date",
         F.col("_billing_code").alias("billing_code"),
@@ -269,9 +311,9 @@ def billing_cost(
 
 
 def run_detail(
-    usage: DataFrame, cost_center: str = SCANNING_COST_CENTER, n: int = 100
+    usage: DataFrame, cost_center: str = SCANNING_COST_CENTER, n: int | None = None
 ) -> DataFrame:
-    """One line per tagged usage row, newest first."""
+    """One line per tagged usage row, newest first; `n` of them, or all."""
     rows = scanning_usage(usage, cost_center).select(
         F.col("_billing_code").alias("billing_code"),
         F.col("_requesting_team").alias("requesting_team"),
@@ -286,9 +328,9 @@ def run_detail(
 
 
 def run_cost(
-    timeline: DataFrame, usage: DataFrame, cost_center: str = SCANNING_COST_CENTER, n: int = 50
+    timeline: DataFrame, usage: DataFrame, cost_center: str = SCANNING_COST_CENTER, n: int | None = None
 ) -> DataFrame:
-    """Units per job run with its state and whole minutes, newest `n` runs.
+    """Units per job run with its state and whole minutes, newest first; `n` runs, or all.
 
     Usage is summed per run first: a run with very many usage rows meets the
     timeline as one row. Several timeline rows of a run repeat its units.

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tagquality.constants import (
     HEALTHY,
-    INTERNAL_CATALOG_PATTERN,
     MONITOR_TAG,
     NOT_SCANNED,
     PROJECT_TAG,
@@ -29,8 +28,8 @@ def is_anomaly() -> Column:
     return F.upper("status") != HEALTHY
 
 
-def recent_results(results: DataFrame, n: int = 50) -> DataFrame:
-    """The newest `n` results, nested fields flattened."""
+def recent_results(results: DataFrame, n: int | None = None) -> DataFrame:
+    """Results with nested fields flattened, newest first; `n` of them, or all."""
     columns = [
         F.col("event_time"),
         F.col("catalog_name"),
@@ -42,7 +41,8 @@ def recent_results(results: DataFrame, n: int = 50) -> DataFrame:
         F.col("downstream_impact.impact_level").alias("impact_level"),
     ]
     flat = results.select(*columns)
-    return flat.orderBy(F.desc("event_time"), *flat.columns[1:]).limit(n)
+    rows = flat.orderBy(F.desc("event_time"), *flat.columns[1:])
+    return rows if n is None else rows.limit(n)
 
 
 def anomalies(results: DataFrame) -> DataFrame:
@@ -96,9 +96,12 @@ def coverage(
     schemata: DataFrame,
     results: DataFrame,
     system_catalogs: Sequence[str] = SYSTEM_CATALOGS,
-    internal_like: str = INTERNAL_CATALOG_PATTERN,
+    internal_like: str = "",
 ) -> DataFrame:
-    """Every user schema with its scan state; never scanned ones have no time and no count."""
+    """Every user schema with its scan state; never scanned ones have no time and no count.
+
+    Catalogs like `internal_like` are left out, too; the empty pattern leaves out none.
+    """
     user_schemas = schemata.where(
         ~F.col("catalog_name").isin(*system_catalogs) & ~F.col("catalog_name").like(internal_like)
     ).select(*SCHEMA_KEY)

@@ -1,13 +1,15 @@
 """Table health judged from history: freshness, completeness, null share, assembled records.
 
-All three checks compare the newest observation with the mean and the sample
-deviation of a bounded baseline. Time is cut into 24-hour buckets counted back
-from `as_of`; bucket 0 is the newest.
+Freshness and completeness compare the newest observation with the median and the median
+deviation of a bounded baseline, taken from the same weekday where there are enough of it, so
+that a table that rests on some days is not flagged on them. Null shares are compared with mean and
+sample deviation. Time is cut into 24-hour buckets counted back from `as_of`; bucket 0 is the newest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,11 +17,20 @@ from pyspark.sql import functions as F
 from tagquality.operators.query_usage import IDENTIFIER_3, dotted_name, identifiers
 from tagquality.plans.calendar import AsOf, as_of_ts, days_before, instant
 from tagquality.plans.joins import lookup_join
+from tagquality.plans.session import cut
 from tagquality.schemas import TABLE_RESULTS
 
 DAY_MICROS = 24 * 60 * 60 * 1_000_000
 HEALTHY, UNHEALTHY, UNKNOWN = "Healthy", "Unhealthy", "Unknown"
 NEWEST_SALTS = 32
+# The deviation of a normal distribution is this multiple of its median absolute deviation.
+MAD_SCALE = 1.4826
+# Observations of the same weekday that are enough for a baseline, and the part of the median that
+# an observation may always be off by.
+MIN_SAME_WEEKDAY = 3
+TOLERANCE = 0.1
+# States of a run that did not do its work.
+FAILED_STATES = ("FAILED", "ERROR", "TIMEDOUT", "CANCELED", "INTERNAL_ERROR", "UPSTREAM_FAILED")
 
 
 def _micros(moment: Column) -> Column:
@@ -29,16 +40,37 @@ def _micros(moment: Column) -> Column:
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
     """The `n` newest rows per key.
 
-    Each key is first cut down inside salted parts, so that one task never sorts
-    all rows of a hot key.
+    Rows are counted per key and day first; only the newest days that hold `n` rows are read
+    again and sorted. These are cut down inside salted parts before, so that one task never
+    sorts all rows of a key that is hot on one day.
     """
-    parts = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(NEWEST_SALTS)))
-    for partition in ([*keys, "_part"], list(keys)):
+    keys = list(keys)
+    day = F.to_date(order)
+    newer = Window.partitionBy(*keys).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    days = (
+        df.groupBy(*keys, day.alias("_day"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_newer", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
+        .where(F.col("_newer") < n)
+        .groupBy(*keys)
+        .agg(F.min("_day").alias("_first_day"))
+    )
+    parts = lookup_join(df, days, keys).where(day >= F.col("_first_day")).drop("_first_day")
+    parts = parts.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(NEWEST_SALTS)))
+    for partition in ([*keys, "_part"], keys):
         rank = F.row_number().over(Window.partitionBy(*partition).orderBy(F.desc(order)))
         parts = parts.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
     return parts.drop("_part")
 
 
+def _median(values: Column) -> Column:
+    """The median of an array of numbers without nulls; null if it is empty."""
+    in_order, n = F.array_sort(values), F.size(values)
+    low = F.get(in_order, F.floor((n - 1) / 2).cast("int"))
+    high = F.get(in_order, F.floor(n / 2).cast("int"))
+    return F.when(n > 0, (low + high) / 2.0)
+
+
 def freshness(
     commits: DataFrame,
     as_of: AsOf = None,
@@ -46,33 +78,51 @@ def freshness(
     min_gaps: int = 5,
     sigmas: float = 3.0,
 ) -> DataFrame:
-    """Predict each table's next commit from its last gaps; stale once that time has passed."""
+    """Predict each table's next commit from its last gaps; stale once that time has passed.
+
+    Of the last `gaps` gaps those count that began on the weekday of the last commit, or all if they
+    are fewer than MIN_SAME_WEEKDAY. The next commit is due after their median and `sigmas` deviations, at
+    least TOLERANCE of the median.
+    """
     known = commits.where(F.col("commit_time") <= instant(commits, "commit_time", as_of)).select(
         "table_id", "commit_time"
     )
-    in_order = Window.partitionBy("table_id").orderBy("commit_time")
-    at = _micros(F.col("commit_time"))
-    gap = (at - F.lag(at).over(in_order)) / F.lit(1e6)
-    stats = (
-        newest_per_key(known, ["table_id"], "commit_time", gaps + 1)
-        .withColumn("_gap", gap)
-        .groupBy("table_id")
-        .agg(
-            F.max("commit_time").alias("last_commit"),
-            F.count("_gap").alias("num_gaps"),
-            F.avg("_gap").alias("avg_gap_sec"),
-            F.stddev_samp("_gap").alias("stddev_gap_sec"),
-        )
+    # At most gaps + 1 entries per table.
+    times = newest_per_key(known, ["table_id"], "commit_time", gaps + 1).groupBy("table_id").agg(
+        F.max("commit_time").alias("last_commit"),
+        F.sort_array(
+            F.collect_list(F.struct(_micros(F.col("commit_time")).alias("at"), F.weekday("commit_time").alias("weekday")))
+        ).alias("_times"),
     )
-    allowance = ((F.col("avg_gap_sec") + sigmas * F.col("stddev_gap_sec")) * 1e6).cast("long")
+
+    def gap(i: Column) -> Column:
+        before, after = F.get("_times", i), F.get("_times", i + 1)
+        return F.struct(((after["at"] - before["at"]) / F.lit(1e6)).alias("sec"), before["weekday"].alias("weekday"))
+
+    count = F.size("_times") - 1
+    all_gaps = F.when(count > 0, F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), gap))
+    rows = times.select(
+        "table_id", "last_commit", count.cast("long").alias("num_gaps"),
+        F.coalesce(all_gaps, F.array().cast("array<struct<sec: double, weekday: int>>")).alias("_gaps"),
+    )
+    same = F.filter("_gaps", lambda g: g["weekday"] == F.weekday("last_commit"))
+    chosen = F.when(F.size(same) >= MIN_SAME_WEEKDAY, same).otherwise(F.col("_gaps"))
+    rows = rows.withColumn("_chosen", F.transform(chosen, lambda g: g["sec"]))
+    rows = rows.withColumn("median_gap_sec", _median(F.col("_chosen")))
+    off = F.transform("_chosen", lambda x: F.abs(x - F.col("median_gap_sec")))
+    rows = rows.withColumn("mad_gap_sec", _median(off))
+    spread = F.greatest(sigmas * MAD_SCALE * F.col("mad_gap_sec"), TOLERANCE * F.col("median_gap_sec"))
+    allowance = F.round((F.col("median_gap_sec") + spread) * 1e6).cast("long")
     predicted = F.timestamp_micros(_micros(F.col("last_commit")) + allowance)
-    return stats.withColumn(
-        "predicted_commit", F.when(F.col("num_gaps") >= min_gaps, predicted)
-    ).withColumn(
-        "freshness_status",
-        F.when(F.col("predicted_commit").isNull(), UNKNOWN)
-        .when(as_of_ts(as_of) > F.col("predicted_commit"), UNHEALTHY)
-        .otherwise(HEALTHY),
+    return (
+        rows.withColumn("predicted_commit", F.when(F.col("num_gaps") >= min_gaps, predicted))
+        .withColumn(
+            "freshness_status",
+            F.when(F.col("predicted_commit").isNull(), UNKNOWN)
+            .when(as_of_ts(as_of) > F.col("predicted_commit"), UNHEALTHY)
+            .otherwise(HEALTHY),
+        )
+        .drop("_gaps", "_chosen")
     )
 
 
@@ -89,13 +139,17 @@ def completeness(
     keys: Sequence[str],
     ts_col: str,
     as_of: AsOf = None,
-    baseline: int = 14,
+    baseline: int = 28,
     min_baseline: int = 7,
     sigmas: float = 3.0,
     known: DataFrame | None = None,
 ) -> DataFrame:
     """Expected row volume of the newest day per table; unhealthy below the predicted minimum.
 
+    Expected is the median of the days of the same weekday, and the deviation is that of all days from
+    the medians of their weekdays; with fewer than MIN_SAME_WEEKDAY of the same weekday, both are of
+    all days. The minimum is `sigmas` deviations below, at least TOLERANCE of what is expected.
+
     Buckets without rows count as zero. The baseline of a table starts at its oldest
     bucket with rows among the `baseline` ones. Only that many days are read, so that a
     table without rows in all of them is seen only if `known` has its keys: it is then
@@ -108,22 +162,34 @@ def completeness(
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     # At most baseline + 1 entries per table; the empty buckets are filled in from them.
-    days = (
-        counts.groupBy(*keys)
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("_bucket", "_rows"))).alias("_filled"),
-            F.max("_bucket").alias("_oldest"),
-        )
-        .withColumn("_day", F.explode(F.sequence(F.lit(0), "_oldest")))
-        .withColumn("_rows", F.coalesce(F.element_at("_filled", F.col("_day")), F.lit(0)))
+    filled = F.map_from_entries(F.collect_list(F.struct("_bucket", "_rows")))
+    stats = counts.groupBy(*keys).agg(filled.alias("_filled"), F.max("_bucket").alias("_oldest"))
+
+    def on_day(day: Column) -> Column:
+        return F.coalesce(F.try_element_at("_filled", day), F.lit(0))
+
+    stats = stats.select(
+        *keys,
+        on_day(F.lit(0)).alias("actual_rows"),
+        F.col("_oldest").cast("long").alias("baseline_days"),
+        # The counts of each weekday, that of bucket 0 first.
+        F.transform(
+            F.sequence(F.lit(0), F.lit(6)),
+            lambda w: F.transform(
+                F.filter(F.sequence(F.lit(0), "_oldest"), lambda d: (d > 0) & (d % 7 == w)), on_day
+            ),
+        ).alias("_weekdays"),
     )
-    past = F.when(F.col("_day") > 0, F.col("_rows"))
-    stats = days.groupBy(*keys).agg(
-        F.max(F.when(F.col("_day") == 0, F.col("_rows"))).alias("actual_rows"),
-        F.count(past).alias("baseline_days"),
-        F.avg(past).alias("avg_rows"),
-        F.stddev_samp(past).alias("stddev_rows"),
+    same = F.get("_weekdays", F.lit(0))
+    enough = F.size(same) >= MIN_SAME_WEEKDAY
+    stats = stats.withColumn("_groups", F.when(enough, F.col("_weekdays")).otherwise(F.array(F.flatten("_weekdays"))))
+    off = F.flatten(
+        F.transform("_groups", lambda days: F.transform(days, lambda x: F.abs(x - _median(days))))
     )
+    stats = stats.select(
+        *keys, "actual_rows", "baseline_days",
+        _median(F.get("_groups", F.lit(0))).alias("expected_rows"), _median(off).alias("mad_rows"),
+    )
     silent = F.lit(False)
     if known is not None:
         # Both sides have one row per table.
@@ -132,7 +198,8 @@ def completeness(
             0, ["actual_rows", "baseline_days"]
         )
         silent = F.col("_silent")
-    floor = F.greatest(F.lit(0.0), F.col("avg_rows") - sigmas * F.col("stddev_rows"))
+    spread = F.greatest(sigmas * MAD_SCALE * F.col("mad_rows"), TOLERANCE * F.col("expected_rows"))
+    floor = F.greatest(F.lit(0.0), F.col("expected_rows") - spread)
     return stats.withColumn(
         "min_predicted_rows", F.when(F.col("baseline_days") >= min_baseline, floor)
     ).withColumn(
@@ -144,6 +211,21 @@ def completeness(
     ).drop("_silent")
 
 
+def table_totals(commits: DataFrame, as_of: AsOf = None, tolerance: float = TOLERANCE) -> DataFrame:
+    """All rows of each table, from what its commits added; a table must not lose more than `tolerance` in a day."""
+    end = instant(commits, "commit_time", as_of)
+    added = F.coalesce("rows_added", F.lit(0))
+    before = F.sum(F.when(F.col("commit_time") <= days_before(end, 1), added))
+    return (
+        commits.where(F.col("commit_time") <= end)
+        .groupBy("table_id")
+        .agg(F.sum(added).alias("total_rows"), before.alias("_before"))
+        .select(
+            "table_id", "total_rows", F.ceil(F.col("_before") * (1.0 - tolerance)).cast("long").alias("min_total_rows")
+        )
+    )
+
+
 def percent_null(
     df: DataFrame,
     columns: Sequence[str],
@@ -197,6 +279,31 @@ def table_mentions(history: DataFrame, tables: DataFrame) -> DataFrame:
     return lookup_join(spoken, names, ["_name"]).select("statement_id", "table_id")
 
 
+def _edges(lineage: DataFrame) -> DataFrame:
+    """Distinct lineage without loops of a table to itself."""
+    named = lineage.where("upstream_table_id <> downstream_table_id")
+    return named.select("upstream_table_id", "downstream_table_id").distinct()
+
+
+def downstream_tables(lineage: DataFrame) -> DataFrame:
+    """(root, table_id): every table that can be reached from another, however many steps away.
+
+    Level by level: each round follows the edges of what the last one found first, so that cycles
+    end; a table does not count as downstream of itself. Each level is written to the shared folder.
+    """
+    edges = cut(_edges(lineage))
+    step = edges.select(F.col("upstream_table_id").alias("table_id"), F.col("downstream_table_id").alias("_next"))
+    new = edges.select(F.col("upstream_table_id").alias("_root"), F.col("downstream_table_id").alias("table_id"))
+    found = [new]
+    while not new.isEmpty():
+        known = reduce(DataFrame.unionByName, found)
+        ahead = new.join(step, "table_id").where("_next <> _root")
+        ahead = ahead.select("_root", F.col("_next").alias("table_id")).distinct()
+        new = cut(ahead.join(known, ["_root", "table_id"], "left_anti"))
+        found.append(new)
+    return reduce(DataFrame.unionByName, found)
+
+
 def downstream_impact(
     tables: DataFrame,
     lineage: DataFrame,
@@ -204,16 +311,12 @@ def downstream_impact(
     high_tables: int = 10,
     high_queries: int = 100,
 ) -> DataFrame:
-    """Direct downstream tables, and statements that name the table or one of those."""
-    edges = lineage.select("upstream_table_id", "downstream_table_id").distinct()
-    fan_out = edges.groupBy(F.col("upstream_table_id").alias("table_id")).agg(
+    """All downstream tables, and statements that name the table or one of those."""
+    reached = cut(downstream_tables(lineage))
+    fan_out = reached.groupBy(F.col("_root").alias("table_id")).agg(
         F.count(F.lit(1)).alias("num_downstream_tables")
     )
-    affected = (
-        edges.select(F.col("upstream_table_id").alias("_root"), F.col("downstream_table_id").alias("table_id"))
-        .unionByName(tables.select(F.col("table_id").alias("_root"), "table_id"))
-        .distinct()
-    )
+    affected = reached.unionByName(tables.select(F.col("table_id").alias("_root"), "table_id").distinct())
     # Many statements name the same tables: each distinct set of them meets the lineage once.
     spoken = table_mentions(history, tables).where(F.col("statement_id").isNotNull())
     sets = (
@@ -248,6 +351,53 @@ def downstream_impact(
     )
 
 
+def failed_writers(writes: DataFrame, timeline: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """(table_id, run_name) of the tables whose newest run, of those that wrote them, failed.
+
+    `writes` has (table_id, run_id).
+    """
+    ended = timeline.where(F.col("end_time") <= instant(timeline, "end_time", as_of))
+    runs = ended.select("run_id", "run_name", F.upper("result_state").alias("_state"), "end_time")
+    newest = F.max_by(F.struct("run_name", "_state"), F.struct("end_time", "run_id"))
+    latest = writes.select("table_id", "run_id").join(runs, "run_id").groupBy("table_id").agg(newest.alias("_run"))
+    return latest.where(F.col("_run._state").isin(*FAILED_STATES)).select("table_id", "_run.run_name")
+
+
+def root_causes(
+    unhealthy: DataFrame, lineage: DataFrame, writes: DataFrame, timeline: DataFrame, as_of: AsOf = None
+) -> DataFrame:
+    """(table_id, upstream_jobs): the nearest failed runs upstream of each unhealthy table.
+
+    The walk begins with the run that wrote the table itself and goes back level by level, until a level has
+    a table whose newest run failed; all failed runs of that level are named. A table
+    with none upstream is not in the result.
+    """
+    back = cut(_edges(lineage)).select(F.col("downstream_table_id").alias("table_id"), F.col("upstream_table_id").alias("_up"))
+    failed = cut(failed_writers(writes, timeline, as_of))
+    here = cut(unhealthy.select(F.col("table_id").alias("_root"), "table_id").distinct())
+    seen, found = [here], []
+    while not here.isEmpty():
+        blamed = cut(here.join(failed, "table_id").select("_root", "run_name").distinct())
+        found.append(blamed)
+        going = here.join(blamed.select("_root").distinct(), "_root", "left_anti")
+        ahead = going.join(back, "table_id").select("_root", F.col("_up").alias("table_id")).distinct()
+        here = cut(ahead.join(reduce(DataFrame.unionByName, seen), ["_root", "table_id"], "left_anti"))
+        seen.append(here)
+    if not found:
+        return unhealthy.select("table_id", F.array().cast("array<string>").alias("upstream_jobs")).where("false")
+    every = reduce(DataFrame.unionByName, found)
+    return every.groupBy(F.col("_root").alias("table_id")).agg(
+        F.sort_array(F.collect_set("run_name")).alias("upstream_jobs")
+    )
+
+
+def unhealthy_tables(freshness_df: DataFrame, completeness_df: DataFrame) -> DataFrame:
+    """Ids of the tables that fail one of the checks."""
+    stale = freshness_df.where(F.col("freshness_status") == UNHEALTHY).select("table_id")
+    short = completeness_df.where(F.col("completeness_status") == UNHEALTHY).select("table_id")
+    return stale.unionByName(short).distinct()
+
+
 def assemble_results(
     freshness_df: DataFrame,
     completeness_df: DataFrame,
@@ -255,59 +405,81 @@ def assemble_results(
     schemata: DataFrame,
     impact: DataFrame,
     as_of: AsOf = None,
+    totals: DataFrame | None = None,
+    causes: DataFrame | None = None,
 ) -> DataFrame:
-    """One nested health record per checked table, in the shape of `schemas.TABLE_RESULTS`."""
-    fresh, full = F.col("freshness_status"), F.col("completeness_status")
+    """One nested health record per checked table, in the shape of `schemas.TABLE_RESULTS`.
+
+    `totals` are those of `table_totals`; without them the total count repeats the daily one. `causes` are
+    those of `root_causes`; a table without one has a null there.
+    """
+    fresh, daily = F.col("freshness_status"), F.col("completeness_status")
+    total, lost = F.col("_total_status"), F.lit("ROWS_LOST")
     no_code = F.lit(None).cast("string")
-    volume = F.struct(
-        full.alias("status"),
-        no_code.alias("error_code"),
-        F.col("actual_rows").alias("last_value"),
-        # A count is below the predicted minimum if and only if it is below its ceiling.
-        F.ceil("min_predicted_rows").cast("long").alias("min_predicted_value"),
-    )
-    status = (
-        F.when((fresh == UNHEALTHY) | (full == UNHEALTHY), UNHEALTHY)
-        .when((fresh == UNKNOWN) & (full == UNKNOWN), UNKNOWN)
-        .otherwise(HEALTHY)
-    )
     record = (
         freshness_df.join(completeness_df, "table_id", "full_outer")
         .withColumns(
             {
                 "freshness_status": F.coalesce(fresh, F.lit(UNKNOWN)),
-                "completeness_status": F.coalesce(full, F.lit(UNKNOWN)),
+                "completeness_status": F.coalesce(daily, F.lit(UNKNOWN)),
             }
         )
         .join(tables, "table_id")
         .join(impact, "table_id", "left")
         .join(schemata, ["catalog_name", "schema_name"], "left")
-        .select(
-            as_of_ts(as_of).alias("event_time"),
-            "catalog_name",
-            "schema_name",
-            "table_name",
-            "schema_id",
-            "table_id",
-            status.alias("status"),
+    )
+    # A count is below the predicted minimum if and only if it is below its ceiling.
+    at_least = F.ceil("min_predicted_rows").cast("long")
+    if totals is None:
+        record = record.withColumns({"total_rows": F.col("actual_rows"), "min_total_rows": at_least, "_total_status": daily})
+    else:
+        record = record.join(totals, "table_id", "left").withColumn(
+            "_total_status",
+            F.when(F.col("min_total_rows").isNull(), UNKNOWN)
+            .when(F.col("total_rows") < F.col("min_total_rows"), UNHEALTHY)
+            .otherwise(HEALTHY),
+        )
+    if causes is None:
+        record = record.withColumn("upstream_jobs", F.lit(None).cast("array<string>"))
+    else:
+        record = record.join(causes, "table_id", "left")
+
+    def either(*parts: Column) -> Column:
+        bad = reduce(Column.__or__, [p == UNHEALTHY for p in parts])
+        unknown = reduce(Column.__and__, [p == UNKNOWN for p in parts])
+        return F.when(bad, UNHEALTHY).when(unknown, UNKNOWN).otherwise(HEALTHY)
+
+    def counted(status: Column, code: Column, value: str, least: Column) -> Column:
+        parts = {"status": status, "error_code": code, "last_value": F.col(value), "min_predicted_value": least}
+        return F.struct(*[c.alias(name) for name, c in parts.items()])
+
+    record = record.select(
+        as_of_ts(as_of).alias("event_time"),
+        "catalog_name",
+        "schema_name",
+        "table_name",
+        "schema_id",
+        "table_id",
+        either(fresh, daily, total).alias("status"),
+        F.struct(
+            fresh.alias("status"),
             F.struct(
                 fresh.alias("status"),
-                F.struct(
-                    fresh.alias("status"),
-                    no_code.alias("error_code"),
-                    F.col("last_commit").cast("timestamp").alias("last_value"),
-                    F.col("predicted_commit").alias("predicted_value"),
-                ).alias("commit_freshness"),
-            ).alias("freshness"),
-            F.struct(
-                full.alias("status"),
-                volume.alias("total_row_count"),
-                volume.alias("daily_row_count"),
-            ).alias("completeness"),
-            F.struct(
-                "impact_level", "num_downstream_tables", "num_queries_on_affected_tables"
-            ).alias("downstream_impact"),
-            F.lit(None).cast("struct<upstream_jobs: array<string>>").alias("root_cause_analysis"),
-        )
+                no_code.alias("error_code"),
+                F.col("last_commit").cast("timestamp").alias("last_value"),
+                F.col("predicted_commit").alias("predicted_value"),
+            ).alias("commit_freshness"),
+        ).alias("freshness"),
+        F.struct(
+            either(daily, total).alias("status"),
+            counted(
+                total, F.when(total == UNHEALTHY, lost).otherwise(no_code), "total_rows", F.col("min_total_rows")
+            ).alias("total_row_count"),
+            counted(daily, no_code, "actual_rows", at_least).alias("daily_row_count"),
+        ).alias("completeness"),
+        F.struct(
+            "impact_level", "num_downstream_tables", "num_queries_on_affected_tables"
+        ).alias("downstream_impact"),
+        F.when(F.col("upstream_jobs").isNotNull(), F.struct("upstream_jobs")).alias("root_cause_analysis"),
     )
     return record.select(*[F.col(f.name).cast(f.dataType) for f in TABLE_RESULTS.fields])

@@ -3,12 +3,15 @@
 Two ways to find the schemas. `like` finds the text `CATALOG.SCHEMA` anywhere, with
 the wildcards of LIKE, so `a.s1` is also found in `a.s10`. `identifier` cuts whole
 names out of the text and matches those. Both are joins on equal keys, so no
-statement is compared with every schema: `like` turns each schema name into a
-length and the places of its wildcards, and cuts keys of those shapes from the text.
+statement is compared with every schema: `like` gives each catalog a key of literal
+characters near the dot, turns each schema name into a length and the places of its
+wildcards, and cuts keys of those shapes from the text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +19,13 @@ from tagquality.constants import MONITORING_PRODUCT, PROJECT_TAG
 from tagquality.operators.health import is_anomaly
 from tagquality.operators.tags import SCHEMA_KEY
 from tagquality.plans.calendar import AsOf, as_of_date, days_before, instant, month_of
-from tagquality.plans.joins import lookup_join
+from tagquality.plans.joins import BROADCAST_BYTES, lookup_join
 
-# Characters taken before the dot: the longest step that is free of wildcards.
-ANCHOR_STEPS = (8, 3, 0)
+# Literal characters of a key: the lengths to which a run of them is cut, longest first; a run of
+# at least STRONG characters is a key by itself. Runs are looked for within REACH characters of the dot.
+RUN_STEPS = (8, 5, 3, 2, 1)
+STRONG = 3
+REACH = 24
 
 # A dotted name starts where no name is under way; its parts are taken whole or not at all.
 _START = r"(?<![\p{L}\p{N}_`.])"
@@ -53,35 +59,74 @@ def identifiers(text: str, pattern: str) -> Column:
     return F.explode(F.array_distinct(F.transform(found, lambda n: plain(n))))
 
 
-def _step(literal: Column) -> Column:
-    """The longest anchor step that fits into a run of literal characters."""
-    long, short, none = ANCHOR_STEPS
-    size = F.length(literal)
-    return F.when(size >= long, long).when(size >= short, short).otherwise(none)
+def _best_run(side: Column) -> Column:
+    """(at, step): the longest run of literal characters of a side read from the dot, and its place.
+
+    Runs end at the wildcard `_`; they are compared after they are cut to a step, and of equal ones
+    the nearest to the dot counts. Both are 0 where the side has none.
+    """
+
+    def better(best: Column, piece: Column) -> Column:
+        size = F.length(piece)
+        step = F.lit(0)
+        for n in reversed(RUN_STEPS):
+            step = F.when(size >= n, n).otherwise(step)
+        more = step > best["step"]
+        return F.struct(
+            (best["next"] + size + 1).alias("next"),
+            F.when(more, best["next"]).otherwise(best["at"]).alias("at"),
+            F.when(more, step).otherwise(best["step"]).alias("step"),
+        )
+
+    start = F.struct(F.lit(0).alias("next"), F.lit(0).alias("at"), F.lit(0).alias("step"))
+    return F.aggregate(F.split(F.left(side, F.lit(REACH)), "_"), start, better)
+
+
+def _key(shape: Column, before: Column, after: Column) -> Column:
+    """The literal characters that a shape (la, ls, ra, rs) takes from both sides of a dot."""
+    left = F.substr(before, shape["la"] + 1, shape["ls"])
+    right = F.substr(after, shape["ra"] + 1, shape["rs"])
+    places = F.concat_ws(",", *[shape[c].cast("string") for c in ("la", "ls", "ra", "rs")])
+    return F.concat_ws(".", places, left, right)
 
 
 def _patterns(dim: DataFrame) -> DataFrame:
-    """The dimension with the parts of its LIKE pattern on either side of the dot.
+    """The dimension with the parts of its LIKE pattern on either side of the dot, and a key.
 
-    A part ends where a `%` or an escape stands; the full pattern is then tested too.
+    A part ends where a `%` or an escape stands; the full pattern is then tested too. The key is a run
+    of literal characters of the catalog, the one whose step is longest. If the catalog has
+    only short runs, a run of the schema is added.
     """
     catalog, schema = F.upper("catalog_name"), F.upper("schema_name")
     whole = ~F.concat(catalog, schema).rlike(r"[%\\]")
-    return dim.withColumns(
+    parts = dim.withColumns(
         {
             "_tail": F.regexp_extract(catalog, r"[^%\\]*$", 0),
             "_head": F.regexp_extract(schema, r"^[^%\\]*", 0),
             "_pattern": F.when(~whole, F.concat(F.lit("%"), catalog, F.lit("."), schema, F.lit("%"))),
         }
     )
+    runs = parts.withColumn("_left", _best_run(F.reverse("_tail"))).withColumn("_right", _best_run(F.col("_head")))
+    strong = F.col("_left.step") >= STRONG
+
+    def of_schema(field: str) -> Column:
+        return F.when(strong, 0).otherwise(F.col("_right")[field])
+
+    shape = F.struct(
+        F.col("_left.at").alias("la"),
+        F.col("_left.step").alias("ls"),
+        of_schema("at").alias("ra"),
+        of_schema("step").alias("rs"),
+    )
+    keyed = runs.withColumn("_shape", shape)
+    return keyed.withColumn("_key", _key(F.col("_shape"), F.reverse("_tail"), F.col("_head"))).drop("_left", "_right")
 
 
 def _catalogs(patterns: DataFrame) -> DataFrame:
-    """Per catalog: an anchor, a regex for what follows its dots, and the shapes of its schemas.
+    """Per catalog and key: a regex for what follows the catalog's dots, and the shapes of its schemas.
 
     The shape of a schema name is its length and the places of its wildcards.
     """
-    literal = F.regexp_extract("_tail", r"[^_.]*$", 0)
     escaped = F.regexp_replace("_tail", r"[\p{Punct}&&[^_]]", r"\\$0")
     size = F.length("_head")
     places = F.filter(F.sequence(F.lit(1), size), lambda i: F.substr("_head", i, F.lit(1)) == "_")
@@ -89,7 +134,7 @@ def _catalogs(patterns: DataFrame) -> DataFrame:
         size.alias("size"), F.when(size > 0, places).otherwise(F.array()).alias("wild")
     )
     return (
-        patterns.groupBy("_tail")
+        patterns.groupBy("_tail", "_key")
         .agg(
             F.collect_set(shape).alias("_shapes"),
             F.max(size).alias("_longest"),
@@ -97,9 +142,9 @@ def _catalogs(patterns: DataFrame) -> DataFrame:
         )
         .select(
             "_tail",
+            "_key",
             "_shapes",
             "_retest",
-            F.right(literal, _step(literal)).alias("_anchor"),
             # Looks ahead only, so places that overlap are all found.
             F.concat(
                 F.lit("(?s)(?="),
@@ -112,14 +157,35 @@ def _catalogs(patterns: DataFrame) -> DataFrame:
     )
 
 
-def _anchors(text: Column) -> Column:
-    """Distinct endings, of every anchor step, of what stands before the dots of a text."""
+def _dots(text: Column) -> Column:
+    """What stands on both sides of each dot of a text, read from the dot, up to REACH characters."""
     pieces = F.split(text, r"\.")
-    before = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
-    endings = F.transform(
-        before, lambda piece: F.array(*[F.right(piece, F.lit(n)) for n in ANCHOR_STEPS])
-    )
-    return F.array_distinct(F.flatten(endings))
+    ends = F.transform(pieces, lambda p: F.right(p, F.lit(REACH)))
+    begins = F.transform(pieces, lambda p: F.left(p, F.lit(REACH)))
+
+    def sides(k: Column) -> Column:
+        first = F.greatest(F.lit(1), k - REACH)
+        before = F.right(F.array_join(F.slice(ends, first, k - first + 1), "."), F.lit(REACH))
+        after = F.left(F.array_join(F.slice(begins, k + 1, F.lit(REACH + 1)), "."), F.lit(REACH))
+        return F.struct(F.reverse(before).alias("before"), after.alias("after"))
+
+    places = F.when(F.size(pieces) > 1, F.sequence(F.lit(1), F.size(pieces) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, sides))
+
+
+def _text_keys(text: Column, shapes: Sequence[tuple[int, int, int, int]]) -> Column:
+    """The distinct keys that a text has at its dots, of the shapes that occur."""
+    names = ("la", "ls", "ra", "rs")
+    known = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(s, names, strict=True)]) for s in shapes])
+
+    def keys(dot: Column) -> Column:
+        fits = F.filter(
+            known,
+            lambda s: (s["la"] + s["ls"] <= F.length(dot["before"])) & (s["ra"] + s["rs"] <= F.length(dot["after"])),
+        )
+        return F.transform(fits, lambda s: _key(s, dot["before"], dot["after"]))
+
+    return F.array_distinct(F.flatten(F.transform(_dots(text), keys)))
 
 
 def _heads() -> Column:
@@ -140,36 +206,46 @@ def _heads() -> Column:
     return F.array_distinct(F.flatten(F.transform(after, cuts)))
 
 
-def match_by_like(history: DataFrame, dim: DataFrame) -> DataFrame:
+def catalog_candidates(history: DataFrame, patterns: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Statements with each (catalog, key) whose key they have at one of their dots.
+
+    A key is never empty: it holds a dot and the literal characters nearest to it that are
+    worth most. Shapes of keys are few: places and lengths of a run within REACH characters.
+    """
+    found = patterns.select("_shape.*").dropna().distinct().collect()
+    text = history.withColumn("_text", F.upper("statement_text"))
+    keys = _text_keys(F.col("_text"), sorted(tuple(r) for r in found))
+    if not found:
+        keys = F.array().cast("array<string>")
+    return lookup_join(text.withColumn("_key", F.explode(keys)), _catalogs(patterns), ["_key"], max_bytes=max_bytes)
+
+
+def match_by_like(history: DataFrame, dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Statements with each dimension row whose `CATALOG.SCHEMA` pattern the text is like.
 
-    First the catalogs a text may name, then the schemas of those: both are equal-key
-    joins. A catalog has one anchor and a schema one head, and the keys of a statement
+    Patterns are walked like a trie that begins at the dot: first the catalogs a text may name, by their
+    keys, then the schemas of those, by their names with wildcard places blanked. Both are equal-key
+    joins. A pattern has one key and one head, and the keys of a statement
     are distinct, so a statement meets a dimension row once, however often it names it.
     """
     patterns = _patterns(dim)
-    text = history.withColumn("_text", F.upper("statement_text"))
-    near = lookup_join(
-        text.withColumn("_anchor", F.explode(_anchors(F.col("_text")))),
-        _catalogs(patterns),
-        ["_anchor"],
-    )
+    near = catalog_candidates(history, patterns, max_bytes)
     # The text travels on only where a full pattern is still to be tested.
     keyed = near.withColumn("_head", F.explode(_heads())).withColumn(
         "_text", F.when(F.col("_retest"), F.col("_text"))
     )
     found = lookup_join(
-        keyed.drop("_anchor", "_regex", "_shapes", "_retest"), patterns, ["_tail", "_head"]
+        keyed.drop("_regex", "_shapes", "_retest"), patterns.drop("_shape"), ["_tail", "_key", "_head"], max_bytes=max_bytes
     )
     full = F.col("_pattern").isNull() | F.like(F.col("_text"), F.col("_pattern"))
-    return found.where(full).drop("_text", "_tail", "_head", "_pattern")
+    return found.where(full).drop("_text", "_tail", "_head", "_key", "_pattern")
 
 
-def match_by_identifier(history: DataFrame, dim: DataFrame) -> DataFrame:
+def match_by_identifier(history: DataFrame, dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Statements with each dimension row whose schema they name in full."""
     named = history.withColumn("_name", identifiers("statement_text", IDENTIFIER_2))
     return lookup_join(
-        named, dim.withColumn("_name", dotted_name(*SCHEMA_KEY)), ["_name"]
+        named, dim.withColumn("_name", dotted_name(*SCHEMA_KEY)), ["_name"], max_bytes=max_bytes
     ).drop("_name")
 
 

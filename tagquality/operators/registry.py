@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagquality.constants import SCANNING_COST_CENTER
 from tagquality.operators.scan import ResolveTable, scan_bindings
 from tagquality.plans.calendar import AsOf, as_of_ts
 from tagquality.plans.joins import lookup_join
+from tagquality.schemas import SCAN_AUDIT_LOG
 
 UNKNOWN_CODE = "Unknown or inactive billing code"
 NOT_ALLOWED = "Schema not allowed for this client"
@@ -54,10 +57,15 @@ def _names(schemas: str | Column) -> Column:
 
 
 def validate_requests(requests: DataFrame, registry: DataFrame) -> DataFrame:
-    """Requests with their client, target schemas and verdict; works on a stream of requests too."""
+    """Requests with their client, target schemas and verdict; works on a stream of requests too.
+
+    A request without an id gets one. It is made anew whenever the result is computed: store
+    the result, or name the requests before, if it is used more than once.
+    """
     clients = registry.where(F.col("is_active")).select(
         "billing_code", "client_name", "schemas_allowed", F.lit(True).alias("_registered")
     )
+    requests = requests.withColumn("request_id", F.coalesce("request_id", F.expr("uuid()")))
     valid = F.coalesce("_registered", F.lit(False))
     asked = F.nullif(F.col("schemas"), F.lit(""))
     return lookup_join(requests, clients, ["billing_code"], "left").select(
@@ -120,6 +128,35 @@ def dispatch(
     )
 
 
+def dispatch_summary(
+    requests: DataFrame, registry: DataFrame, bindings: DataFrame, enforce_allowed: bool = True
+) -> DataFrame:
+    """How many requests and (request, binding) pairs each client has per schema and rule.
+
+    Requests are counted per client and schema, and bindings per schema and rule, before they meet;
+    `dispatch` lists the pairs.
+    """
+    wanted = requested_schemas(validate_requests(requests, registry))
+    if enforce_allowed:
+        wanted = wanted.where("is_allowed")
+    asked = wanted.groupBy("billing_code", "client_name", "schema_full_name").agg(
+        F.countDistinct("request_id").alias("requests"), F.count(F.lit(1)).alias("_asked")
+    )
+    place = F.concat("catalog_name", F.lit("."), "schema_name").alias("schema_full_name")
+    offered = bindings.groupBy(place, "catalog_name", "schema_name", "rule_name").agg(F.count(F.lit(1)).alias("_offered"))
+    return lookup_join(asked, offered, ["schema_full_name"]).select(
+        "billing_code",
+        F.col("client_name").alias("requesting_team"),
+        "catalog_name",
+        "schema_name",
+        "rule_name",
+        "requests",
+        (F.col("_asked") * F.col("_offered")).alias("bindings"),
+        F.lit(SCANNING_COST_CENTER).alias("cost_center"),
+        F.lit("ad-hoc").alias("scan_type"),
+    )
+
+
 def run_requests(
     requests: DataFrame,
     registry: DataFrame,
@@ -169,19 +206,49 @@ def audit_rows(validated: DataFrame, as_of: AsOf = None, enforce_allowed: bool =
     if enforce_allowed:
         allowed = F.coalesce(_names("schemas_allowed"), F.array().cast("array<string>"))
         scanned = F.array_intersect(scanned, allowed)
-    rows = validated.where("is_valid").withColumn("_id", F.coalesce("request_id", F.expr("uuid()")))
-    return rows.select(
-        F.col("_id").alias("request_id"),
+    return validated.where("is_valid").select(
+        "request_id",
         "billing_code",
         "client_name",
         F.nullif(F.array_join(scanned, ","), F.lit("")).alias("schemas_scanned"),
-        F.concat(F.lit("scan-"), "billing_code", F.lit("-"), "_id").alias("job_run_id"),
+        F.concat(F.lit("scan-"), "billing_code", F.lit("-"), "request_id").alias("job_run_id"),
         "requested_by",
         as_of_ts(as_of).alias("request_time"),
         F.when(F.size(scanned) > 0, "SUBMITTED").otherwise("REJECTED").alias("status"),
     )
 
 
-def audit_log(log: DataFrame) -> DataFrame:
-    """The whole audit log, newest first."""
+def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A log below `path`; empty where nothing has been appended yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def append_audit(rows: DataFrame, path: str) -> None:
+    """Append the entries of requests that the log does not have yet, one for each; to append twice is harmless."""
+    spark = rows.sparkSession
+    known = read_log(spark, path, SCAN_AUDIT_LOG).select("request_id")
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCAN_AUDIT_LOG.fields])
+    typed.dropDuplicates(["request_id"]).join(known, "request_id", "left_anti").select(
+        *SCAN_AUDIT_LOG.fieldNames()
+    ).write.mode("append").parquet(path)
+
+
+def audit_states(done: DataFrame, state: str | Column, as_of: AsOf = None) -> DataFrame:
+    """Rows for the log of states: what became of the requests in `done`."""
+    state = F.lit(state) if isinstance(state, str) else state
+    return done.select("request_id", state.alias("status"), as_of_ts(as_of).alias("state_time"))
+
+
+def audit_log(log: DataFrame, states: DataFrame | None = None) -> DataFrame:
+    """The whole audit log, newest first, each request with its newest state."""
+    if states is not None:
+        newest = F.max_by("status", F.struct("state_time", "status"))
+        latest = states.groupBy("request_id").agg(newest.alias("_state"))
+        log = log.join(latest, "request_id", "left")
+        log = log.withColumn("status", F.coalesce("_state", "status")).drop("_state")
     return log.orderBy(F.desc("request_time"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagquality.constants import RATE_PASS, RATE_WARN, SCORE_PASS, SCORE_WARN
 from tagquality.plans.calendar import AsOf, days_before, instant
+from tagquality.plans.joins import lookup_join
 
 # Decimal arithmetic: a rate does not depend on the order in which rows arrive.
 _RATE = "rows_error * 100.0 / nullif(total_rows, 0)"
@@ -21,14 +22,18 @@ def latest_run(results: DataFrame, latest_by: str = "scan_date") -> DataFrame:
     """Rows of the newest run.
 
     Run ids are random, so the largest id is not the newest run. `latest_by="scan_date"`
-    takes the run with the newest scan; `"run_id"` takes the largest id.
+    takes the run with the newest scan; `"run_id"` takes the largest id; `"table"` takes for each
+    table the run that scanned it last, so that tables that are scanned apart are all seen.
     """
+    if latest_by == "table":
+        newest = results.groupBy("table_name").agg(F.max(F.struct("scan_date", "run_id"))["run_id"].alias("run_id"))
+        return lookup_join(results, newest.where(F.col("run_id").isNotNull()), ["table_name", "run_id"], "left_semi")
     if latest_by == "scan_date":
         newest = results.agg(F.max(F.struct("scan_date", "run_id"))["run_id"])
     elif latest_by == "run_id":
         newest = results.agg(F.max("run_id"))
     else:
-        raise ValueError(f"latest_by must be 'scan_date' or 'run_id', got {latest_by!r}")
+        raise ValueError(f"latest_by must be 'scan_date', 'run_id' or 'table', got {latest_by!r}")
     return results.where(F.col("run_id") == newest.scalar())
 
 
@@ -148,9 +153,9 @@ def scorecard(results: DataFrame, only: str | None = None) -> DataFrame:
     return card.orderBy("score", "table_name")
 
 
-def top_tables(results: DataFrame, n: int = 5, latest_by: str = "scan_date") -> DataFrame:
-    """The `n` tables with the highest error rate in the latest run."""
-    return (
+def top_tables(results: DataFrame, n: int | None = None, latest_by: str = "scan_date") -> DataFrame:
+    """Tables of the latest run by error rate, highest first; `n` of them, or all."""
+    ranked = (
         latest_run(results, latest_by)
         .groupBy("table_name")
         .agg(
@@ -159,5 +164,5 @@ def top_tables(results: DataFrame, n: int = 5, latest_by: str = "scan_date") ->
             _rounded(_SUM_RATE).alias("error_rate_pct"),
         )
         .orderBy(F.desc("error_rate_pct"), "table_name")
-        .limit(n)
     )
+    return ranked if n is None else ranked.limit(n)

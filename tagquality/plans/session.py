@@ -1,8 +1,10 @@
-"""Session settings the operators rely on."""
+"""Session settings the operators rely on, and the folder that all executors share."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -21,3 +23,26 @@ def build_session(app_name: str = "tagquality", **extra: str) -> SparkSession:
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by `spark.checkpoint.dir`.
+
+    Where none is named, a session on one machine gets a temporary one; on a cluster that is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tagquality-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder and read from there: what follows does not repeat its plan."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint()

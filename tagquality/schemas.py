@@ -97,6 +97,7 @@ CLIENT_REGISTRY = struct(
     created_at=TIMESTAMP,
 )
 SCAN_REQUESTS = struct(**strings("request_id", "billing_code", "schemas", "requested_by"))
+SCAN_STATES = struct(**strings("request_id", "status"), state_time=TIMESTAMP)
 SCAN_AUDIT_LOG = struct(
     **strings(
         "request_id", "billing_code", "client_name", "schemas_scanned", "job_run_id", "requested_by"

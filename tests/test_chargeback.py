@@ -3,11 +3,13 @@ from __future__ import annotations
 from datetime import date, datetime
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tagquality.functions import table_functions
 from tagquality.operators import chargeback
 from tagquality.schemas import JOB_RUN_TIMELINE, JOBS, LIST_PRICES, POLICIES, USAGE
-from tagquality.sources.tables import promote_tags
+from tagquality.sources.tables import promote_tags, write_promoted
 
 PRODUCT = "DATA_QUALITY_MONITORING"
 SCAN = {"cost_center": "DQ-Scanning"}
@@ -59,6 +61,78 @@ def test_price_edges(spark):
     assert [r["sku_name"] for r in overlaps] == ["TWICE"]
 
 
+def test_many_periods_of_a_sku_are_met_by_time(spark):
+    """10,000 hourly prices of one SKU, overlapping and open ones beside: a usage row meets a few of them."""
+    listed = spark.range(10_000).selectExpr(
+        "'A' AS sku_name", "TIMESTAMP '2023-01-01' + make_dt_interval(0, CAST(id AS INT)) AS price_start_time",
+        "TIMESTAMP '2023-01-01' + make_dt_interval(0, CAST(id AS INT) + 1) AS price_end_time",
+        "named_struct('effective_list', named_struct('default', CAST(id % 7 + 1 AS DECIMAL(18, 6)))) AS pricing",
+    )
+    more = prices(
+        spark, ("A", datetime(2023, 1, 1), None, "100"), ("A", datetime(2023, 3, 1), datetime(2023, 3, 9), "50"),
+        ("B", datetime(2023, 1, 1), None, "2"), ("A", datetime(2023, 5, 1), datetime(2023, 4, 1), "999"),
+    )
+    listed = listed.unionByName(more.select(listed.columns))
+    df = spark.range(400).selectExpr(
+        "CAST(TIMESTAMP '2022-12-30' + make_dt_interval(0, CAST(id AS INT) * 31) AS TIMESTAMP) AS usage_start_time",
+        "IF(id % 10 = 0, 'B', 'A') AS sku_name", "CAST(1 AS DECIMAL(18, 6)) AS usage_quantity", "id",
+    )
+    by_time = chargeback.price_usage(df, listed)
+    plain = chargeback.price_usage(df, listed, few=1_000_000)
+    assert by_time.columns == plain.columns
+    assert sorted(map(str, by_time.collect())) == sorted(map(str, plain.collect()))
+    periods = listed.selectExpr(
+        "sku_name", "price_start_time AS _from", "COALESCE(price_end_time, TIMESTAMP '2099-12-31') AS _until"
+    )
+    placed = chargeback.binned_periods(periods, chargeback.price_grid(periods))
+    met = placed.groupBy("sku_name", "_bin").count().orderBy(F.desc("count")).first()["count"]
+    assert met <= 6 and placed.count() <= 4 * 10_000
+    assert chargeback.price_usage(df, listed.where("false")).isEmpty()
+
+
+def test_promoted_tags_let_the_scan_skip_row_groups(spark, tmp_path):
+    rows = [
+        (at(1 + i % 28), "A", 1, "1", "t", f"{i}", {"cost_center": f"center {i % 50:02}", "billing_code": f"code {i % 997}"})
+        for i in range(6000)
+    ]
+    df = usage(spark, *rows)
+    path = str(tmp_path / "usage")
+    spark.conf.set("parquet.block.size", "4096")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "4096")
+    try:
+        write_promoted(df, path, ["cost_center", "billing_code", "requesting_team"], partitions=2)
+    finally:
+        spark.conf.unset("parquet.block.size")
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    stored = spark.read.parquet(path)
+    files = [f for f in (tmp_path / "usage").glob("*.parquet")]
+    assert sum(pq.ParquetFile(f).num_row_groups for f in files) >= 10
+    report = chargeback.billing_units(stored, "center 07")
+    text = report._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(cost_center)" in text and "EqualTo(cost_center,center 07)" in text
+    assert rows_read(stored.where("cost_center = 'center 07'")) <= 6000 / 4
+    assert rows_read(stored.where("billing_code = 'code 5'")) <= 6000 / 2
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, chargeback.billing_units(df, "center 07").collect()))
+    stored.createOrReplaceTempView("promoted_usage")
+    df.createOrReplaceTempView("mapped_usage")
+    answers = []
+    for view in ("promoted_usage", "mapped_usage"):
+        table_functions.register_chargeback_function(spark, view, f"fn_{view}", "center 07")
+        answers.append(sorted(map(tuple, spark.sql(f"SELECT * FROM fn_{view}(NULL, 3, DATE '2024-02-01')").collect())))
+    assert answers[0] == answers[1] != []
+    sql = spark.sql("SELECT * FROM fn_promoted_usage(NULL, 3, DATE '2024-02-01')")._jdf.queryExecution().toString()
+    assert "EqualTo(cost_center,center 07)" in sql
+
+
+def rows_read(df):
+    """Rows that the parquet scan of a plan has handed on, after row groups were left out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().apply(0)
+    return plan.metrics().apply("numOutputRows").value()
+
+
 def test_overlap_with_an_early_long_period(spark):
     listed = prices(
         spark, ("A", at(1), at(30), "1"), ("A", at(2), at(3), "1"), ("A", at(5), at(6), "1"),
@@ -110,14 +184,14 @@ def test_cost_by_table_keeps_all_usage(spark):
 
 
 def tagged(spark):
-    acme = {**SCAN, "billing_code": "ACME", "requesting_team": "Acme"}
+    orchid = {**SCAN, "billing_code": "ORCHID", "requesting_team": "Orchid"}
     return usage(
         spark,
-        (at(1), "A", 1, "1", "t", "7", acme),
-        (at(2), "A", 2, "1", "t", "7", acme),
+        (at(1), "A", 1, "1", "t", "7", orchid),
+        (at(2), "A", 2, "1", "t", "7", orchid),
         (at(3), "A", 4, "1", "t", "8", SCAN),
-        (at(4), "A", 8, "1", "t", "9", {**acme, "cost_center": "Other"}),
-        (at(5, month=6), "A", 16, "1", "t", None, {**acme, "billing_code": "GLOBEX"}),
+        (at(4), "A", 8, "1", "t", "9", {**orchid, "cost_center": "Other"}),
+        (at(5, month=6), "A", 16, "1", "t", None, {**orchid, "billing_code": "BASALT"}),
     )
 
 
@@ -126,9 +200,9 @@ def test_tags_on_usage(spark):
     assert [float(r["dbus"]) for r in chargeback.tagged_usage(df).collect()] == [16.0, 2.0, 1.0]
     assert chargeback.tagged_usage(df, n=1).count() == 1
     units = {(r[0], r[2].month): (float(r[3]), r[4], r[5]) for r in chargeback.billing_units(df).collect()}
-    assert units == {("ACME", 1): (3.0, 1, 2), ("GLOBEX", 6): (16.0, 0, 1)}
+    assert units == {("ORCHID", 1): (3.0, 1, 2), ("BASALT", 6): (16.0, 0, 1)}
     summary = {r["billing_code"]: float(r["dbus"]) for r in chargeback.billing_summary(df).collect()}
-    assert summary == {"ACME": 3.0, None: 4.0, "GLOBEX": 16.0}
+    assert summary == {"ORCHID": 3.0, None: 4.0, "BASALT": 16.0}
     listed = prices(spark, ("A", at(1), at(2), "0.5"))
     assert [float(r["estimated_cost_usd"]) for r in chargeback.billing_cost(df, listed).collect()] == [0.5]
     assert [r["scan_type"] for r in chargeback.run_detail(df).collect()] == [None] * 3
@@ -146,8 +220,8 @@ def test_months_back(spark):
     df = tagged(spark)
     assert chargeback.fn_chargeback(df, as_of="2024-06-30").count() == 1
     assert chargeback.fn_chargeback(df, months_back=6, as_of="2024-06-30").count() == 2
-    one = chargeback.fn_chargeback(df, "ACME", 6, "2024-06-30").collect()
-    assert [(r["billing_code"], r["total_dbus"], r["scan_runs"]) for r in one] == [("ACME", 3.0, 1)]
+    one = chargeback.fn_chargeback(df, "ORCHID", 6, "2024-06-30").collect()
+    assert [(r["billing_code"], r["total_dbus"], r["scan_runs"]) for r in one] == [("ORCHID", 3.0, 1)]
 
 
 def test_run_cost(spark):
@@ -162,7 +236,7 @@ def test_run_cost(spark):
     )
     rows = chargeback.run_cost(timeline, tagged(spark)).collect()
     got = [(r["run_name"], r["duration_minutes"], r["billing_code"], float(r["total_dbus"])) for r in rows]
-    assert got == [("eight", 120, None, 4.0), ("seven", 0, "ACME", 3.0), ("seven", 1, "ACME", 3.0)]
+    assert got == [("eight", 120, None, 4.0), ("seven", 0, "ORCHID", 3.0), ("seven", 1, "ORCHID", 3.0)]
 
 
 def test_tags_come_from_policy_or_job(spark):

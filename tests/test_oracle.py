@@ -19,11 +19,21 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+#: Queries that SQL cannot express. Each has a test in tests/llm against a brute-force version, the library
+#: that it must equal, an exact round trip, or held-out accuracy.
+WITHOUT_SQL = {
+    "op1_warc", "op2_line_dedup", "op4_secrets", "op5_bpe", "op6_language_id", "op7_simhash", "op8_fingerprint",
+    "op9_toxicity", "op10_token_counts", "op11_licenses", "pipeline",
+}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_queries_have_sql_or_are_known_to_have_none():
+    queries, sql = set(entry.queries()), set(entry.oracle_sql())
+    assert sql <= queries
+    assert queries - sql <= WITHOUT_SQL
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, con, name):
     assert compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) == ""
 

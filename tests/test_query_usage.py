@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagquality.operators import query_usage
-from tagquality.plans import joins
 
 DIM = "askid STRING, schema_id STRING, catalog_name STRING, schema_name STRING"
 HISTORY = (
@@ -69,16 +68,49 @@ def test_like_equals_comparing_all_pairs(spark):
     assert pairs(query_usage.match_by_like(history, dim)) == expected
 
 
-def test_ways_beyond_the_broadcast_bound_agree(spark, monkeypatch):
+def test_ways_beyond_the_broadcast_bound_agree(spark):
     dim = dims(spark, *[("cat", f"s{i}") for i in range(30)])
     history = texts(spark, *[f"select 1 from cat.s{i % 7}.t, cat.s{i % 31}.u" for i in range(60)])
     like, exact = brute_force(history, dim), pairs(query_usage.match_by_identifier(history, dim))
-    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", 0, 4))
-    assert pairs(query_usage.match_by_like(history, dim)) == like
-    assert pairs(query_usage.match_by_identifier(history, dim)) == exact
+    assert pairs(query_usage.match_by_like(history, dim, max_bytes=0)) == like
+    assert pairs(query_usage.match_by_identifier(history, dim, max_bytes=0)) == exact
     assert set(exact) <= set(like)
 
 
+def test_wildcards_may_stand_for_dots_and_runs_may_be_short(spark):
+    rng = random.Random(23)
+    parts = ["DEV_U1", "dev.u1", "DEVxU1", "SALES_EU", "sales1eu", "_", "__", "A_B", "a.b", "_x", "é_ü", "s", ".", "a%_b", "ab_"]
+    names = sorted({(rng.choice(parts), rng.choice(parts) + rng.choice(["", "1", "_", "_q"])) for _ in range(90)})
+    dim = dims(spark, *names)
+    statements = [rng.choice(["", " ", "x"]).join(rng.choice([*parts, ".", ".", "1"]) for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    statements += [f"from {c.replace('_', '.')}.{s.replace('_', 'k')}" for c, s in names]
+    statements += ["." * 60, "x" * 200 + ".".join("abcdefgh" * 6), "Dev.U1." * 40]
+    history = texts(spark, *statements)
+    expected = brute_force(history, dim)
+    assert len(expected) > 300
+    assert pairs(query_usage.match_by_like(history, dim)) == expected
+
+
+def test_candidates_of_a_statement_are_the_catalogs_it_names(spark):
+    """Catalogs that end in a wildcard place, many schemas each: no statement meets what it does not name."""
+    catalogs = ["DEV_U1", "DEV_U2", "SALES_EU", "SALES_US", "A_1", "PROD_"]
+    dim = dims(spark, *[(c, f"SCHEMA_{i}") for c in catalogs for i in range(150)])
+    history = texts(
+        spark,
+        "select * from other.thing.t join more.of.this",
+        "select * from dev_u1.schema_7.t",
+        "select * from dev_u1.schema_7.t, sales_eu.schema_149.t, u1.schema_7, 1.schema_7, x.eu",
+        "select 1",
+        "from a_1.schema_12.t where x.y = 1.5",
+    )
+    near = query_usage.catalog_candidates(history, query_usage._patterns(dim))
+    met = {r["statement_id"]: r["count"] for r in near.groupBy("statement_id").count().collect()}
+    assert met.get("0", 0) == 0 and met.get("3", 0) == 0
+    assert met["1"] <= 3 and met["2"] <= 6 and met["4"] <= 3
+    assert near.where(F.length(F.regexp_replace("_key", "^[0-9,]+[.]", "")) <= 1).isEmpty()
+    assert pairs(query_usage.match_by_like(history, dim)) == brute_force(history, dim)
+
+
 def test_identifiers_may_be_quoted_or_foreign(spark):
     dim = dims(spark, ("my cat", "sch"), ("données", "été"), ("a", "b.c"))
     history = texts(

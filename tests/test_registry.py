@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tagquality.operators import registry
 from tagquality.schemas import CLIENT_REGISTRY, SCAN_AUDIT_LOG, SCAN_REQUESTS
@@ -17,7 +18,7 @@ T0 = datetime(2020, 1, 1)
 def clients(spark):
     return spark.createDataFrame(
         [
-            ("A", "Acme", "a@a.co", "c.s, c.t", True, T0),
+            ("A", "Orchid", "a@a.co", "c.s, c.t", True, T0),
             ("B", "Busy", None, None, True, T0),
             ("X", "Gone", None, "c.s", False, T0),
         ],
@@ -56,7 +57,7 @@ def bindings(spark):
 def test_merge_never_changes_a_client(spark):
     new = spark.createDataFrame([("A", "Renamed"), ("N", "New")], "billing_code STRING, client_name STRING")
     rows = {r["billing_code"]: r for r in registry.register_clients(clients(spark), new, "2024-05-05").collect()}
-    assert rows["A"]["client_name"] == "Acme" and rows["A"]["created_at"] == T0
+    assert rows["A"]["client_name"] == "Orchid" and rows["A"]["created_at"] == T0
     assert rows["N"]["is_active"] is True and rows["N"]["created_at"] == datetime(2024, 5, 5)
     assert rows["N"]["contact_email"] is None and len(rows) == 4
 
@@ -91,6 +92,25 @@ def test_dispatch_and_rejects(spark):
     assert registry.rejected(requests(spark), clients(spark), enforce_allowed=False).count() == 3
 
 
+def test_summary_counts_pairs_without_making_them(spark):
+    args = requests(spark), clients(spark), bindings(spark)
+    pairs = registry.dispatch(*args).groupBy("billing_code", "schema_name", "rule_name").agg(
+        F.countDistinct("request_id"), F.count(F.lit(1))
+    )
+    summary = registry.dispatch_summary(*args)
+    got = summary.select("billing_code", "schema_name", "rule_name", "requests", "bindings")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pairs.collect()))
+    # A thousand requests of one client make no more rows in the join than one.
+    known = clients(spark)
+    many = spark.createDataFrame([(f"{i}", "A", "c.s", "me") for i in range(1000)], SCAN_REQUESTS)
+    work = spark.range(500).selectExpr(
+        "'c' AS catalog_name", "'s' AS schema_name", "'t' || id AS table_name", "'n' AS column_name",
+        "'R' || id % 5 AS rule_name", "'{col} > 0' AS sql_expression", "'error' AS criticality",
+    )
+    rows = registry.dispatch_summary(many, known, work).collect()
+    assert len(rows) == 5 and {(r["requests"], r["bindings"]) for r in rows} == {(1000, 100_000)}
+
+
 def test_requests_share_one_scan_per_table(spark):
     read = []
 
@@ -121,5 +141,24 @@ def test_audit(spark):
     unnamed = spark.createDataFrame([(None, "A", None, "me")], SCAN_REQUESTS)
     entry = registry.audit_rows(registry.validate_requests(unnamed, clients(spark))).first()
     assert len(entry["request_id"]) == 36 and entry["job_run_id"] == f"scan-A-{entry['request_id']}"
+    assert entry["request_id"] != ""
     log = spark.createDataFrame([("a", T0), ("b", datetime(2021, 1, 1))], "request_id STRING, request_time TIMESTAMP")
     assert [r["request_id"] for r in registry.audit_log(log).collect()] == ["b", "a"]
+
+
+def test_audit_rows_are_appended_once_and_get_states(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    assert registry.read_log(spark, path, SCAN_AUDIT_LOG).isEmpty()
+    rows = registry.audit_rows(registry.validate_requests(requests(spark), clients(spark)), "2024-01-01")
+    registry.append_audit(rows.where("request_id <> 'two'"), path)
+    registry.append_audit(rows.unionByName(rows), path)
+    log = registry.read_log(spark, path, SCAN_AUDIT_LOG)
+    assert log.count() == 6 and log.select("request_id").distinct().count() == 6
+    states = registry.audit_states(log.where("request_id = 'two'"), "RUNNING", "2024-01-02").unionByName(
+        registry.audit_states(log.where("request_id IN ('two', 'known')"), "COMPLETED", "2024-01-03")
+    )
+    got = {r["request_id"]: r["status"] for r in registry.audit_log(log, states).collect()}
+    assert got == {
+        "two": "COMPLETED", "known": "COMPLETED", "default": "SUBMITTED", "empty": "SUBMITTED",
+        "outside": "REJECTED", "nothing": "REJECTED",
+    }

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 from tagquality.constants import EMAIL_RULE, NAME_RULE
 from tagquality.operators import rules, scan
 from tagquality.operators.rules import BoundRule, bind_rule
-from tagquality.schemas import COLUMN_TAGS, RULE_MAPPING
-from tagquality.sources.tables import rows_of
+from tagquality.schemas import COLUMN_TAGS, RULE_MAPPING, TABLE_TAGS
+from tagquality.sources.tables import append_results, rows_of
 
 AS_OF = "2024-01-31 00:00:00"
 RULE_COLUMNS = ["tag_name", "tag_value", "rule_name", "sql_expression", "criticality"]
@@ -193,6 +194,83 @@ def test_bad_rules_raise_or_are_reported(spark):
     }
 
 
+def number_tags(spark, tables, column="n"):
+    return spark.createDataFrame([("c", "s", t, column, "dq", "x") for t in tables], COLUMN_TAGS)
+
+
+def test_rules_that_fail_on_data_are_taken_out(spark, tmp_path):
+    """99 rules run, one fails on a value: it is reported, everything else is appended once."""
+    table = spark.createDataFrame([(i, f"{i}" if i != 77 else "x") for i in range(200)], "n INT, v STRING")
+    tags = number_tags(spark, ["t"], "v")
+    rows = [("dq", "x", f"R{i}", f"LENGTH({{col}}) > {i % 4}", ("error", "warn")[i % 2]) for i in range(99)]
+    rows.append(("dq", "x", "Bad", "CAST({col} AS INT) >= 0", "error"))
+    mapping = rows_of(spark, RULE_MAPPING, RULE_COLUMNS, rows)
+    resolve = {"c.s.t": table}.__getitem__
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        scan.run_scan_into(tags, mapping, resolve, pytest.fail, as_of=AS_OF)
+    out, failed = str(tmp_path / "out"), []
+    scan.run_scan_into(
+        tags, mapping, resolve, lambda df: append_results(df, out), as_of=AS_OF, on_error="report", report=failed.append
+    )
+    got = spark.read.parquet(out)
+    assert got.count() == 99 and got.select("rule_name").distinct().count() == 99
+    assert [tuple(r)[:3] for df in failed for r in df.collect()] == [("c.s.t", "v", "Bad")]
+    assert "CAST_INVALID_INPUT" in failed[0].first()["reason"]
+
+
+def test_all_kinds_of_bad_rules_at_once(spark):
+    good = spark.createDataFrame([(1, "a"), (0, "b")], "n INT, v STRING")
+    tables = {"c.s.a": good, "c.s.b": good, "c.s.empty": good.where("false")}
+    tags = number_tags(spark, ["a", "b", "empty"]).unionByName(number_tags(spark, ["b"], "gone"))
+    mapping = rows_of(
+        spark, RULE_MAPPING, RULE_COLUMNS,
+        [("dq", "x", "Positive", "{col} > 0", "error"), ("dq", "x", "Inverse", "1 DIV {col} > 0", "warn"),
+         ("dq", "x", "Sum", "sum({col}) > 0", "error"), ("dq", "x", "Level", "{col} > 0", "fatal")],
+    )
+    done, failed = [], []
+    scan.run_scan_into(
+        tags, mapping, tables.__getitem__, done.append, as_of=AS_OF, on_error="report", report=failed.append, tables_per_write=2
+    )
+    assert sorted(tuple(r)[:6] for df in done for r in df.collect()) == [
+        ("c.s.a", "n", "Positive", 2, 1, 0), ("c.s.b", "n", "Positive", 2, 1, 0),
+    ]
+    names = {tuple(r)[:3] for df in failed for r in df.collect()}
+    assert {("c.s.a", "n", "Inverse"), ("c.s.b", "n", "Sum"), ("c.s.empty", "n", "Level"), ("c.s.b", "gone", "Positive")} <= names
+    assert ("c.s.empty", "n", "Inverse") not in names
+
+
+def test_a_table_that_cannot_be_read_is_not_blamed_on_rules(spark):
+    broken = spark.createDataFrame([("x",)], "v STRING").selectExpr("CAST(v AS INT) AS n")
+    mapping = rows_of(spark, RULE_MAPPING, RULE_COLUMNS, [("dq", "x", "Positive", "{col} > 0", "error")])
+    tables = {"c.s.t": broken.where("n > 0")}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        scan.run_scan_into(number_tags(spark, ["t"]), mapping, tables.__getitem__, pytest.fail, on_error="report")
+
+
+def test_many_small_tables_make_few_files_with_one_instant(spark, tmp_path):
+    table = spark.createDataFrame([(i,) for i in range(-5, 5)], "n INT")
+    names = [f"t{i:03}" for i in range(200)]
+    mapping = rows_of(spark, RULE_MAPPING, RULE_COLUMNS, [("dq", "x", "Positive", "{col} > 0", "error")])
+    excluded = spark.createDataFrame([("c", "s", n, "dqm_exclude", "true") for n in names[:10]], TABLE_TAGS)
+    out, threads = tmp_path / "out", set()
+
+    def resolve(name):
+        threads.add(threading.get_ident())
+        return table
+
+    run_id = scan.run_scan_into(
+        number_tags(spark, names), mapping, resolve, lambda df: append_results(df, str(out)),
+        table_tags=excluded, tables_per_write=50, workers=3, pool="scans",
+    )
+    got = spark.read.parquet(str(out))
+    assert got.count() == 190 and got.select("table_name").distinct().count() == 190
+    assert got.where("total_rows = 10 AND rows_error = 6").count() == 190
+    assert got.select("scan_date", "run_id").distinct().collect()[0]["run_id"] == run_id
+    assert got.select("scan_date").distinct().count() == 1
+    assert len(list(out.rglob("part-*.parquet"))) == 4
+    assert 1 <= len(threads) <= 3 and threading.get_ident() not in threads
+
+
 def test_several_rules_of_a_tag_multiply(spark):
     tags = spark.createDataFrame([("c", "s", "t", "n", "dq", "x")] * 2, COLUMN_TAGS)
     mapping = rows_of(

@@ -1,14 +1,21 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tagquality.operators import registry
 from tagquality.schemas import CLIENT_REGISTRY, SCAN_REQUESTS, TABLE_RESULTS
-from tagquality.streaming import events
+from tagquality.streaming import events, requests, table_stream
+
+BINDINGS = (
+    "catalog_name STRING, schema_name STRING, table_name STRING, column_name STRING, rule_name STRING, "
+    "sql_expression STRING, criticality STRING"
+)
 
 
 def results(spark, *rows):
@@ -94,7 +101,7 @@ def test_requests_are_validated_on_a_stream(spark, tmp_path):
     source = str(tmp_path / "requests")
     asked = spark.createDataFrame([("1", "A", None, "me"), ("2", "Z", None, "me")], SCAN_REQUESTS)
     asked.write.parquet(source)
-    known = spark.createDataFrame([("A", "Acme", None, "c.s", True, None)], CLIENT_REGISTRY)
+    known = spark.createDataFrame([("A", "Orchid", None, "c.s", True, None)], CLIENT_REGISTRY)
     stream = spark.readStream.schema(SCAN_REQUESTS).parquet(source)
     checked = registry.validate_requests(stream, known).select(
         "request_id", F.col("is_valid").cast("string").alias("is_valid")
@@ -106,6 +113,85 @@ def test_requests_are_validated_on_a_stream(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("1", "true"), ("2", "false")]
 
 
+def asked(spark, path, *rows):
+    spark.createDataFrame([(i, code, None, "me") for i, code in rows], SCAN_REQUESTS).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_requests_are_logged_and_scanned_once_however_often_a_batch_runs(spark, tmp_path):
+    source, log = str(tmp_path / "requests"), requests.RequestLog(str(tmp_path / "log"))
+    known = spark.createDataFrame([("A", "Orchid", None, "c.s", True, None), ("B", "Basalt", None, None, True, None)], CLIENT_REGISTRY)
+    work = spark.createDataFrame([("c", "s", "t", "n", "Positive", "{col} > 0", "error")], BINDINGS)
+    broken = [True]
+
+    def resolve(name):
+        if broken[0]:
+            raise OSError("the table is away")
+        return spark.createDataFrame([(1,), (-1,)], "n INT")
+
+    def run():
+        stream = requests.read_requests_stream(spark, source, max_files=1)
+        requests.process_requests(
+            stream, "scans", log, lambda: known, lambda: work, resolve, as_of="2024-01-01", available_now=True
+        ).awaitTermination()
+
+    asked(spark, source, ("1", "A"), ("2", "Z"), (None, "A"))
+    with pytest.raises(StreamingQueryException, match="the table is away"):
+        run()
+    # The entries are there, the requests have failed, and the batch is not done.
+    assert {r["status"] for r in log.audit(spark).collect()} == {"FAILED"}
+    broken[0] = False
+    asked(spark, source, ("3", "A"), ("4", "B"))
+    run()
+    run()
+    entries = log.audit(spark).collect()
+    states = sorted((r["client_name"], r["status"]) for r in entries)
+    assert states == [("Basalt", "REJECTED"), ("Orchid", "COMPLETED"), ("Orchid", "COMPLETED"), ("Orchid", "COMPLETED")]
+    results = log.results(spark).collect()
+    # Each scanned request has one result row, also the one that came without an id.
+    assert sorted(r["run_id"] for r in results) == sorted(r["request_id"] for r in entries if r["status"] == "COMPLETED")
+    assert {(r["total_rows"], r["rows_error"]) for r in results} == {(2, 1)}
+
+
+def test_triggers_of_requests(spark):
+    with pytest.raises(ValueError):
+        requests.process_requests(None, "x", requests.RequestLog("x"), None, available_now=True, every="1 second")
+
+
+@pytest.mark.parametrize("on_rewrite", ["refuse", "skip"])
+def test_a_rewritten_table_is_refused_or_skipped(spark, tmp_path, on_rewrite):
+    table, out = f"streamed_{on_rewrite}_t", str(tmp_path / "out")
+    spark.range(0, 5).write.mode("overwrite").saveAsTable(table)
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(f"{out}/b={number}")
+
+    def run():
+        handler = table_stream.append_only(keep, table, str(tmp_path / "seen"), on_rewrite)
+        rows = table_stream.read_table_stream(spark, table)
+        query = rows.writeStream.foreachBatch(handler).option("checkpointLocation", str(tmp_path / "cp"))
+        query.trigger(availableNow=True).start().awaitTermination()
+        return sorted(r["id"] for r in spark.read.parquet(out).collect())
+
+    try:
+        assert run() == [0, 1, 2, 3, 4]
+        spark.range(10, 12).write.mode("append").saveAsTable(table)
+        assert run() == [0, 1, 2, 3, 4, 10, 11]
+        spark.range(20, 24).write.mode("overwrite").insertInto(table)
+        time.sleep(1.1)
+        spark.range(30, 32).write.mode("append").saveAsTable(table)
+        if on_rewrite == "refuse":
+            with pytest.raises(StreamingQueryException, match="overwritten"):
+                run()
+        else:
+            assert run() == [0, 1, 2, 3, 4, 10, 11, 30, 31]
+            spark.range(40, 41).write.mode("append").saveAsTable(table)
+            assert run() == [0, 1, 2, 3, 4, 10, 11, 30, 31, 40]
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    with pytest.raises(ValueError):
+        table_stream.append_only(keep, table, "x", "ignore")
+
+
 def test_flow_feeds_the_sink(spark, tmp_path):
     pytest.importorskip("pyspark.pipelines")
     from pyspark.pipelines.graph_element_registry import (
