@@ -106,7 +106,9 @@ def difference(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column
 
     def of_part(pair: Column) -> Column:
         tries = [_count(subtract(sketch(pair["a"], s), sketch(pair["b"], s)), s) for s in range(1, RETRIES + 1)]
-        return F.coalesce(*tries, F.size(pair["a"]) + F.size(pair["b"]))
+        # Where the largest sketch does not peel either, the digests themselves are compared.
+        apart = F.size(F.array_except(pair["a"], pair["b"])) + F.size(F.array_except(pair["b"], pair["a"]))
+        return F.coalesce(*tries, apart)
 
     def parted(n: Column) -> Column:
         def part(r: Column) -> Column:

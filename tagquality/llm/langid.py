@@ -13,19 +13,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tagquality.llm.common import held_out, written
+from tagquality.llm.common import fresh, held_out, sized, written
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBED = 8
-#: Bounds of the labelled sample: documents of a language, windows of a document.
-SAMPLE_DOCS = 800
+#: Bounds of the labelled sample: documents of a language and of all languages, windows of a document. Where
+#: there are more languages than fit, each gets fewer documents, but every one at least one.
+SAMPLE_DOCS = 1600
+SAMPLE_ALL = 40_000
 SAMPLE_WINDOWS = 4
-LANGUAGES = 500
+#: Parts of a language whose sample is cut side by side.
+PARTS = 64
 EPOCHS = 6
 #: Windows that go through the network at once.
 BLOCK = 128
@@ -157,37 +161,48 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def learn(docs: DataFrame) -> Network | None:
     """The network learned from a bounded sample of labelled documents that are not held out.
 
-    About SAMPLE_DOCS documents of each of the LANGUAGES most frequent languages are drawn by
-    a hash of their id; only text and language are used. None where nothing is labelled.
+    Of each language the documents with the smallest hash of their id are drawn, SAMPLE_DOCS or an even share of
+    SAMPLE_ALL; only text and language are used. None where nothing is labelled.
     """
     known = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     known = known.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    # Twice as many rows as wanted pass the hash, so that chance leaves enough of each.
-    share = written(counts.select("lang", (F.lit(2.0 * SAMPLE_DOCS) / F.col("count")).alias("share")), "languages")
+    counts = written(known.groupBy("lang").agg(F.count("*").alias("count")), "languages")
+    each = max(1, min(SAMPLE_DOCS, SAMPLE_ALL // max(1, counts.count())))
+    # Twice as many rows as wanted pass the hash, so that chance leaves enough of each; of a language
+    # with few documents all do.
+    share = counts.select("lang", (F.lit(2.0 * each) / F.col("count")).alias("share"))
     drawn = known.withColumn("h", F.xxhash64("doc_id", F.lit("sample")))
-    drawn = drawn.join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
+    drawn = drawn.join(sized(share), "lang").where(
+        (F.col("share") >= 0.05) | (F.pmod("h", F.lit(1_000_003)) < F.col("share") * 1_000_003)
+    )
     rows = drawn.select("lang", "h", "text").mapInArrow(_sample_windows, "lang string, h long, window binary")
-    rows = rows.orderBy("h", "lang", "window").limit(share.count() * SAMPLE_DOCS * SAMPLE_WINDOWS * 2).collect()
-    if not rows:
+    # A hash part of a language is cut to its firsts before the language is, so that none is sorted by one task.
+    for part in (["lang", F.pmod(F.xxhash64("h"), F.lit(PARTS))], ["lang"]):
+        order = Window.partitionBy(*part).orderBy("h", "window")
+        rows = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= each * SAMPLE_WINDOWS).drop("k")
+    sample = rows.select("lang", "window").orderBy("lang", "window").toArrow()
+    if not sample.num_rows:
         return None
-    classes = sorted({r["lang"] for r in rows})
+    langs = sample.column("lang").to_pylist()
+    classes = sorted(set(langs))
     code = {c: k for k, c in enumerate(classes)}
-    x = np.frombuffer(b"".join(bytes(r["window"]) for r in rows), np.uint8).reshape(-1, WINDOW)
+    x = np.frombuffer(b"".join(sample.column("window").to_pylist()), np.uint8).reshape(-1, WINDOW)
     network = Network(classes)
-    network.train(x, np.array([code[r["lang"]] for r in rows]))
+    network.train(x, np.array([code[lang] for lang in langs]))
     return network
 
 
 def predict(docs: DataFrame, network: Network | None) -> DataFrame:
-    """`docs` with lang_pred and lang_score of each row's whole text.
+    """`docs` with two more columns: the language of each row's whole text, and its score.
 
-    lang_pred is `und` with score 0 where the text is null or has no letter, or nothing was
-    learned. `docs` must not have columns of these names; all others pass through.
+    They are lang_pred and lang_score, with underscores after these names where `docs` has them; all of its
+    columns pass through. The language is `und` with score 0 where the text is null or has no
+    letter, or nothing was learned.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    names = [fresh(docs, "lang_pred"), fresh(docs, "lang_score")]
+    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(network)
-    columns = docs.columns
+    columns = [*docs.columns, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = sent.value
@@ -207,9 +222,9 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
                         best = int(mean[k].argmax())
                         chosen[k], scores[k] = net.classes[best], mean[k, best]
             own = [*batch.columns, pa.array(chosen, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(own, names=[*columns, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays(own, names=columns)
 
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, lang_score double")
+    return docs.mapInArrow(run, schema)
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -250,5 +265,6 @@ MIN_SCORE = 0.4
 
 def drop_unknown(docs: DataFrame) -> DataFrame:
     """`docs` without those that have no letter or no language of at least MIN_SCORE."""
-    kept = predict(docs, learn(docs)).where((F.col("lang_pred") != NONE) & (F.col("lang_score") >= MIN_SCORE))
-    return kept.select(docs.columns)
+    found = predict(docs, learn(docs))
+    lang, score = found.columns[-2:]
+    return found.where((F.col(lang) != NONE) & (F.col(score) >= MIN_SCORE)).drop(lang, score)

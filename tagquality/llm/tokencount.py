@@ -7,6 +7,7 @@ the block: a prefix scan over the blocks, which have one small row each.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +22,21 @@ from tagquality.llm.common import scratch, written
 BLOCK_BYTES = 4 * 1024 * 1024
 #: Unsigned integers of two bytes, which hold ids below 65,536.
 DTYPE = "<u2"
-#: Fixed value: the id of <|endoftext|> in the vocabulary.
-END = 49407
+#: Fixed value: the added token whose id ends a document.
+END_TOKEN = "<|endoftext|>"
 #: A row of the names of a token file: the place of the document in it, whether it has an id, the id, the separator.
 NAME = np.dtype([("doc_no", "<i8"), ("held", "u1"), ("doc_id", "<i8"), ("end", DTYPE)])
 
 
-def write_token_files(docs: DataFrame, vocabulary: str, path: str, end: int = END) -> None:
+def end_id(vocabulary: str) -> int:
+    """The id that ends a document in the token files of a vocabulary."""
+    added = {t["content"]: t["id"] for t in json.loads(load_spec(vocabulary))["added_tokens"]}
+    if END_TOKEN not in added:
+        raise ValueError(f"the vocabulary has no {END_TOKEN}")
+    return added[END_TOKEN]
+
+
+def write_token_files(docs: DataFrame, vocabulary: str, path: str, end: int) -> None:
     """A flat file of token ids for each partition of `docs`, below `path`/kind=tokens, each document
     followed by `end`, and beside it, below kind=names, a file of the doc_id of each.
 
@@ -38,10 +47,11 @@ def write_token_files(docs: DataFrame, vocabulary: str, path: str, end: int = EN
     spec = docs.sparkSession.sparkContext.broadcast(load_spec(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = automaton(spec.value).encode
+        encode = automaton(spec.value).encode_all
         done = 0
         for batch in batches:
-            ids = [np.frombuffer(encode(t.as_py() or "", False)[0], "<u4") for t in batch.column("text")]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            ids = [np.frombuffer(raw, "<u4") for raw in encode(texts, False)]
             if any(len(x) and x.max() > np.iinfo(DTYPE).max for x in ids):
                 raise ValueError("an id does not fit the width of the token files")
             n, doc_id = len(ids), batch.column("doc_id")
@@ -81,7 +91,7 @@ def read_names(spark: SparkSession, path: str, block_rows: int = BLOCK_BYTES //
     return files.dealt(blocks).mapInArrow(scan, "path string, doc_no long, doc_id long")
 
 
-def count_tokens(spark: SparkSession, path: str, end: int = END, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def count_tokens(spark: SparkSession, path: str, end: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(path, doc_no, first_token, n_tokens) of each document in the files below `path`, but those of names.
 
     doc_no counts from 0 in a file, first_token is a place in it. Tokens after the last
@@ -131,8 +141,9 @@ def document_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """
     spark = docs.sparkSession
     path = scratch(spark, "tokens")
-    write_token_files(docs, vocabulary, path)
-    return _named(read_names(spark, path), written(count_tokens(spark, path), "counts"))
+    end = end_id(vocabulary)
+    write_token_files(docs, vocabulary, path, end)
+    return _named(read_names(spark, path), written(count_tokens(spark, path, end), "counts"))
 
 
 def _named(names: DataFrame, counts: DataFrame) -> DataFrame:

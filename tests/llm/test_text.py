@@ -6,6 +6,8 @@ import base64
 import hashlib
 import random
 import re
+import time
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -43,6 +45,55 @@ def test_encoding_equals_the_library(make):
     assert bpe.encode_documents(make([]), VOCABULARY).collect() == []
 
 
+def test_every_mark_and_letter_equals_the_library():
+    library, machine = Tokenizer.from_file(VOCABULARY), bpe.automaton(bpe.load_spec(VOCABULARY))
+    library.no_truncation()
+    every = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    marks = [c for c in every if unicodedata.combining(c) or unicodedata.category(c)[0] == "M"]
+    texts = [f"a{c}b" for c in every] + [f"e{c}\u0301x é{c}" for c in marks]
+    texts += [f"o{c}{RNG.choice(marks)}Q{RNG.choice(marks)}" for c in marks for _ in range(2)]
+    pool = [*map(chr, range(0x20, 0x600)), *marks]
+    texts += ["".join(RNG.choices(pool, k=RNG.randint(1, 30))) for _ in range(5000)]
+    got = machine.encode_all(texts)
+    for text, ids, want in zip(texts, got, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids, text.encode("unicode_escape")
+
+
+def test_both_walks_of_the_automaton_agree():
+    machine = bpe.automaton(bpe.load_spec(VOCABULARY))
+    words = ["".join(RNG.choices("aeinorstlhé東'", k=RNG.randint(1, 60))) for _ in range(3000)] + [x for x in machine.finals if x.isascii()][::50]
+    alone = [np.array(machine.encode_word(w), "<u4").tobytes() for w in words]
+    assert machine.encode_words(words) == alone
+    assert machine.encode_words([]) == []
+    long = "".join(RNG.choices("abcdefgh", k=200_000))
+    start = time.process_time()
+    ids = machine.encode(long)
+    assert time.process_time() - start < 20
+    library = Tokenizer.from_file(VOCABULARY)
+    library.no_truncation()
+    assert np.frombuffer(machine.encode(long[:30_000]), "<u4").tolist() == library.encode(long[:30_000], add_special_tokens=False).ids
+    assert len(ids) > 4
+
+
+def test_caches_that_start_anew_do_not_change_ids(monkeypatch):
+    machine = bpe.Automaton(bpe.load_spec(VOCABULARY))
+    texts = [" ".join(RNG.choices("the Cat, sat: on a mat! <|endoftext|> x9 été".split(), k=40)) for _ in range(60)]
+    want = [machine.encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 3)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 2)
+    monkeypatch.setattr(bpe, "KEPT_CHARS", 3)
+    again = bpe.Automaton(bpe.load_spec(VOCABULARY))
+    assert [again.encode(t) for t in texts] == want == again.encode_all(texts)
+
+
+def test_the_separator_is_that_of_the_vocabulary(tmp_path):
+    assert tokencount.end_id(VOCABULARY) == 49407
+    other = tmp_path / "v.json"
+    other.write_text('{"added_tokens": []}')
+    with pytest.raises(ValueError, match="endoftext"):
+        tokencount.end_id(str(other))
+
+
 def test_decoding_spells_the_ids(make):
     encoded = bpe.encode_ids(make([(1, "the cat"), (2, None)]), VOCABULARY)
     assert {r.doc_id: r.text for r in bpe.decode_ids(encoded, VOCABULARY).collect()} == {1: "the</w> cat</w>", 2: ""}
@@ -52,7 +103,7 @@ def test_token_counts_equal_the_encoder(make):
     rows = ODD + [(k, "word " * RNG.randint(0, 40)) for k in range(20, 60)]
     docs = make(rows).repartition(3).cache()
     machine = bpe.automaton(bpe.load_spec(VOCABULARY))
-    want = sorted(((d, len(machine.encode(t or "", False)[0]) // 4) for d, t in rows), key=str)
+    want = sorted(((d, len(machine.encode(t or "", False)) // 4) for d, t in rows), key=str)
     got = sorted(((r.doc_id, r.n_tokens) for r in tokencount.document_counts(docs, VOCABULARY).collect()), key=str)
     assert got == want
     assert tokencount.document_counts(make([]), VOCABULARY).collect() == []
@@ -103,10 +154,53 @@ def test_language_of_held_out_texts(llm, make):
     assert {(got[k].lang_pred, got[k].score) for k in (500, 501, 502)} == {("und", 0.0)}
     assert got[None].lang_pred == got[503].lang_pred == "aa" and not got[None].held_out
     assert langid.drop_unknown(docs.unionByName(odd)).count() == 122
+    named = docs.unionByName(odd).selectExpr("*", "1 AS lang_pred", "2 AS LANG_SCORE")
+    kept = langid.drop_unknown(named)
+    assert kept.columns == named.columns and kept.count() == 122
     assert langid.identify(make([])).collect() == []
     assert [r.lang_pred for r in langid.identify(make([(1, "abc")], lang=None)).collect()] == ["und"]
 
 
+def test_many_languages_are_all_learned(llm, monkeypatch):
+    """No language is left out of the sample, however many there are."""
+    monkeypatch.setattr(langid, "SAMPLE_ALL", 30)
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    rows = [(k, f"{chr(97 + k % 20)}{chr(97 + k % 7)} " * 30, f"l{k % 20:02}") for k in range(400)]
+    network = langid.learn(llm.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert network.classes == [f"l{k:02}" for k in range(20)]
+
+
+def test_pooling_equals_a_plain_convolution():
+    rng = np.random.default_rng(3)
+    network = langid.Network(["a", "b", "c"], seed=5)
+    for name in network.parts:
+        network.parts[name] = rng.normal(0, 1, network.parts[name].shape).astype(np.float32)
+    x = rng.integers(0, 256, (4, langid.WINDOW)).astype(np.uint8)
+    found = network.logits(network.pooled(x, network.tables())[0])
+    for row, got in zip(x, found, strict=True):
+        tops = []
+        for w in langid.WIDTHS:
+            filters = network.parts[f"filter{w}"]
+            for f in range(langid.FILTERS):
+                sums = [
+                    sum(network.parts["embed"][row[i + k]][e] * filters[k * langid.EMBED + e, f] for k in range(w) for e in range(langid.EMBED))
+                    for i in range(langid.WINDOW - w + 1)
+                ]
+                tops.append(max(0.0, max(sums) + network.parts[f"shift{w}"][f]))
+        want = np.array(tops) @ network.parts["out"] + network.parts["bias"]
+        assert np.allclose(got, want, rtol=1e-3, atol=1e-2)
+
+
+def test_logit_equals_a_plain_loop():
+    rng = np.random.default_rng(4)
+    scorer = toxicity.Scorer(rng.normal(0, 1, toxicity.BUCKETS), 0.25)
+    for n in (0, 1, 12, 13, 40):
+        words = ["".join(RNG.choices("abcé", k=RNG.randint(1, 9))) for _ in range(n)]
+        means = [float(np.mean([scorer.effect[g] for g in toxicity.grams(w)])) for w in words]
+        parts = [sum(means[k : k + toxicity.SEGMENT]) / toxicity.SEGMENT for k in range(0, n, toxicity.SEGMENT)]
+        assert scorer.logit(" ".join(words)) == pytest.approx(max(parts, default=0.0) + 0.25)
+
+
 def test_toxic_words_and_their_misspellings(llm, make):
     plain = [f"w{c}{d}o" for c in "abcdefgh" for d in "klmnp"]
     rows, labels = [], []
@@ -172,6 +266,15 @@ def test_sketches_equal_sets(make):
     assert [r.near_next for r in fingerprint.edited_pairs(make([(1, "x y")])).collect()] == [1.0]
 
 
+def test_differences_beyond_all_retries_are_exact(llm, monkeypatch):
+    """Sketches that never peel: the digests themselves are compared."""
+    monkeypatch.setattr(fingerprint, "_count", lambda cells, salt: F.lit(None).cast("int"))
+    rows = llm.createDataFrame([([1, 2, 3, 4], [3, 4, 5]), ([], [7]), ([8], [8])], "a array<bigint>, b array<bigint>")
+    cells = [fingerprint.sketch(F.col(c)) for c in ("a", "b")]
+    got = rows.select(fingerprint.difference(F.col("a"), F.col("b"), *cells).alias("d")).collect()
+    assert [r.d for r in got] == [3, 1, 0]
+
+
 def test_next_document_over_many_ranges(make, monkeypatch):
     monkeypatch.setattr(fingerprint, "RANGE_ROWS", 3)
     ids = RNG.sample(range(10**12), 50)
