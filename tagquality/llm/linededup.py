@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tagquality.llm.common import fresh, scratch, sized, written
 
@@ -140,7 +141,7 @@ def _later(runs: DataFrame) -> DataFrame:
     return runs.select("*", chunk).join(least, [*run, "chunk"]).where("place > least")
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = True) -> DataFrame:
     """(ord, th, runs) by document: the runs (i, need) of lines that are later copies."""
     lines = written(_keyed(docs).mapInArrow(_line_rows(min_words, whole), _LINES), "lines")
     levels = suffix_levels(_single(lines), min_words)
@@ -172,7 +173,7 @@ def _cut(text: str, runs: list[dict]) -> tuple[str, int, int]:
     return "\n".join([x for k, x in enumerate(lines) if k not in lost]), len(places), len(lost)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = True) -> DataFrame:
     """`docs` (doc_id, text, others) without later copies, with n_lines and n_removed.
 
     A run of lines with at least `min_words` words stays where it occurs first, by doc_id
@@ -189,8 +190,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
     same = (key == F.col(names["_ord"])) & (F.xxhash64(F.col("text").cast("string")) == F.col(names["_th"]))
     joined = docs.join(sized(written(runs, "runs")), same, "left").drop(names["_ord"], names["_th"])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    schema = f"{fields}, `{names['n_lines']}` int, `{names['n_removed']}` int"
+    counts = [StructField(names[c], IntegerType()) for c in ("n_lines", "n_removed")]
+    schema = StructType([*docs.schema.fields, *counts])
 
     columns_in, runs_in = docs.columns, names["_runs"]
     columns_out = [*columns_in, names["n_lines"], names["n_removed"]]

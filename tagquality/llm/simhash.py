@@ -6,6 +6,11 @@ unlike parity, so that it is enough if all emit their variants within 1 bit, and
 of odd parity also the ones at 2 bits. The shuffle is on the leading bits of the variants:
 a fingerprint goes once to each bucket that its variants fall into, and the variants
 themselves are made there, block by block.
+
+`drop_near_duplicates` goes by sets of five-word shingles that are alike to 0.8 at least, which differ in more bits than a ball of
+radius 3 holds. It takes the same search over several short fingerprints: of 256 bits of a SimHash, each 32 are a table,
+and a pair of 0.8 is within 3 bits in one of the 8 tables in 9 of 10 cases, one of 0.9 nearly always. Pairs that
+meet are compared in all bits, and what is left by their shingles.
 """
 
 from __future__ import annotations
@@ -16,10 +21,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagquality.llm.common import components, fresh, sized, written
+from tagquality.llm.common import BROADCAST_BYTES, components, fresh, sized, written
+from tagquality.llm.phrases import Block
+from tagquality.plans.joins import lookup_join
 
 SHINGLE = 3
 SEED = 42
@@ -27,6 +34,15 @@ RADIUS = 3
 #: Leading bits tried in turn, until no bucket has more fingerprints of its own than BUCKET.
 BUCKET_BITS = (8, 12, 16, 20)
 BUCKET = 20_000
+#: Near duplicates: words of a shingle, least likeness of two sets of shingles, bits and number of tables, and
+#: the bits of all tables in which a pair may differ to be looked at by its shingles.
+NEAR_WORDS = 5
+LIKENESS = 0.8
+TABLE_BITS = 32
+TABLES = 8
+MOST_APART = 64
+#: Words of a text that are worked at once.
+TEXT_WORDS = 50_000
 #: Fingerprints whose outer variants are made at once in a task.
 BLOCK = 512
 
@@ -92,40 +108,50 @@ def _roots(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
     return parent
 
 
-def _linker(bits: int):
-    """For one bucket, a spanning forest of its fingerprints as rows (a, b)."""
-    rest = 64 - bits
+def _pairs_in(bucket: int, fps: np.ndarray, bits: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (u, v) in `fps`, distinct and sorted, whose fingerprints are within RADIUS bits.
+
+    Of fingerprints that share a variant each is paired with the least one, so that pairs connect all
+    that are near through others and are no more than the variants.
+    """
+    rest = width - bits
     one, two = (np.array(x, dtype=np.uint64) for x in _flips(rest, 2)[1:])
     low = np.uint64((1 << rest) - 1)
+    prefix = np.uint64(bucket)
+    value = (prefix << np.uint64(rest)) | (fps & low)
+    used = np.bitwise_count((fps >> np.uint64(rest)) ^ prefix)
+    own, near = np.flatnonzero(used == 0), np.flatnonzero(used == 1)
+    # Variants within one bit, each with the least of its fingerprints.
+    inner = np.concatenate([value[own], value[near], (value[own][:, None] ^ one).ravel()])
+    whose = np.concatenate([own, near, np.repeat(own, len(one))])
+    order = np.lexsort((whose, inner))
+    inner, whose = inner[order], whose[order]
+    first = np.flatnonzero(np.concatenate(([True], inner[1:] != inner[:-1]))[: len(inner)])
+    met, least = inner[first], whose[first]
+    links = [(whose, np.repeat(least, np.diff(np.append(first, len(inner)))))]
+    # Variants at two bits of those of odd parity, looked up among the former.
+    odd = (np.bitwise_count(fps) & 1) == 1
+    for step, masks in ((0, two), (1, one), (2, np.zeros(1, np.uint64))):
+        rows = np.flatnonzero(odd & (used == step))
+        for k in range(0, len(rows) if len(met) else 0, BLOCK):
+            part = rows[k : k + BLOCK]
+            outer = (value[part][:, None] ^ masks).ravel()
+            at = np.minimum(np.searchsorted(met, outer), len(met) - 1)
+            hit = np.flatnonzero(met[at] == outer)
+            pair = np.unique(part[hit // len(masks)] * len(fps) + least[at[hit]])
+            links.append((pair // len(fps), pair % len(fps)))
+    u, v = (np.concatenate(x) for x in zip(*links, strict=True))
+    kept = (u != v) & (np.bitwise_count(fps[u] ^ fps[v]) <= RADIUS)
+    return u[kept], v[kept]
+
+
+def _linker(bits: int):
+    """For one bucket, a spanning forest of its fingerprints as rows (a, b)."""
 
     def link(table: pa.Table) -> pa.Table:
-        bucket = np.uint64(table.column("bucket")[0].as_py())
         fps = np.unique(table.column("fp").to_numpy().view(np.uint64))
-        value = (bucket << np.uint64(rest)) | (fps & low)
-        used = np.bitwise_count((fps >> np.uint64(rest)) ^ bucket)
-        own, near = np.flatnonzero(used == 0), np.flatnonzero(used == 1)
-        # Variants within one bit, each with the least of its fingerprints.
-        inner = np.concatenate([value[own], value[near], (value[own][:, None] ^ one).ravel()])
-        whose = np.concatenate([own, near, np.repeat(own, len(one))])
-        order = np.lexsort((whose, inner))
-        inner, whose = inner[order], whose[order]
-        first = np.flatnonzero(np.concatenate(([True], inner[1:] != inner[:-1]))[: len(inner)])
-        met, least = inner[first], whose[first]
-        links = [(whose, np.repeat(least, np.diff(np.append(first, len(inner)))))]
-        # Variants at two bits of those of odd parity, looked up among the former.
-        odd = (np.bitwise_count(fps) & 1) == 1
-        for step, masks in ((0, two), (1, one), (2, np.zeros(1, np.uint64))):
-            rows = np.flatnonzero(odd & (used == step))
-            for k in range(0, len(rows) if len(met) else 0, BLOCK):
-                part = rows[k : k + BLOCK]
-                outer = (value[part][:, None] ^ masks).ravel()
-                at = np.minimum(np.searchsorted(met, outer), len(met) - 1)
-                hit = np.flatnonzero(met[at] == outer)
-                pair = np.unique(part[hit // len(masks)] * len(fps) + least[at[hit]])
-                links.append((pair // len(fps), pair % len(fps)))
-        u, v = (np.concatenate(x) for x in zip(*links, strict=True))
-        kept = (u != v) & (np.bitwise_count(fps[u] ^ fps[v]) <= RADIUS)
-        root = _roots(u[kept], v[kept], len(fps))
+        u, v = _pairs_in(table.column("bucket")[0].as_py(), fps, bits, 64)
+        root = _roots(u, v, len(fps))
         moved = np.flatnonzero(root != np.arange(len(fps)))
         ends = [fps[moved].view(np.int64), fps[root[moved]].view(np.int64)]
         return pa.table([pa.array(x, pa.int64()) for x in ends], names=["a", "b"])
@@ -133,19 +159,31 @@ def _linker(bits: int):
     return link
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect all distinct fingerprints `fp` within RADIUS bits of each other."""
-    for bits in BUCKET_BITS:
-        own = F.shiftrightunsigned("fp", 64 - bits)
-        largest = fps.groupBy(own.alias("k")).count().agg(F.max("count")).first()[0] or 0
-        if largest <= BUCKET:
-            break
+def _spread(fps: DataFrame, own, bits: int):
+    """The buckets of the variants of each fingerprint `fp`, whose leading bits are `own`."""
     masks = _flips(bits, 2)
     near, all_masks = masks[0] + masks[1], sum(masks, [])
     spread = F.when(F.bit_count("fp") % 2 == 1, F.array(*map(F.lit, all_masks)))
     spread = spread.otherwise(F.array(*map(F.lit, near)))
-    bucket = F.explode(F.transform(spread, lambda m: own.bitwiseXOR(m.cast("long"))))
-    return fps.select("fp", bucket.alias("bucket")).groupBy("bucket").applyInArrow(_linker(bits), "a long, b long")
+    return F.explode(F.transform(spread, lambda m: own.bitwiseXOR(m.cast("long"))))
+
+
+def _bucket_bits(fps: DataFrame, width: int, keys: list[str]) -> int:
+    """The first of BUCKET_BITS with which no bucket has more than BUCKET fingerprints of its own, else the last."""
+    for bits in BUCKET_BITS:
+        own = F.shiftrightunsigned("fp", width - bits)
+        largest = fps.groupBy(*keys, own.alias("k")).count().agg(F.max("count")).first()[0] or 0
+        if largest <= BUCKET:
+            break
+    return bits
+
+
+def links(fps: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect all distinct fingerprints `fp` within RADIUS bits of each other."""
+    bits = _bucket_bits(fps, 64, [])
+    own = F.shiftrightunsigned("fp", 64 - bits)
+    spread = fps.select("fp", _spread(fps, own, bits).alias("bucket"))
+    return spread.groupBy("bucket").applyInArrow(_linker(bits), "a long, b long")
 
 
 def _rooted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -171,17 +209,170 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+_WHITE = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
+_SEEDS = np.array([0x9E3779B97F4A7C15 * k & (1 << 64) - 1 for k in (1, 2, 3, 4)], np.uint64)
+
+
+def shingle_hashes(raws: list[bytes]) -> list[np.ndarray]:
+    """For each text the distinct hashes of its shingles of NEAR_WORDS words, sorted.
+
+    Words are those of `fingerprint`; a text of fewer words is one shingle, one without words has none.
+    """
+    found: list[list[np.ndarray]] = [[] for _ in raws]
+    parts: list[tuple[bytes, int, int]] = []
+    size = 0
+
+    def flush() -> None:
+        block = Block(parts)
+        prints, where = block.prints(NEAR_WORDS, np.zeros(len(raws), np.uint64)), block.whole(NEAR_WORDS)
+        rows, prints = block.row[: len(where)][where], prints[where]
+        cuts = np.flatnonzero(np.diff(rows)) + 1
+        for k, mine in zip(rows[np.r_[0, cuts]].tolist() if len(rows) else [], np.split(prints, cuts), strict=False):
+            found[k].append(mine)
+
+    for k, raw in enumerate(raws):
+        raw = raw.translate(_WHITE)
+        words = raw.split()
+        if not words:
+            continue
+        if len(words) < NEAR_WORDS:
+            found[k].append(np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64))
+            continue
+        for begin in range(0, len(words) - NEAR_WORDS + 1, TEXT_WORDS):
+            part = b" ".join(words[begin : begin + TEXT_WORDS + NEAR_WORDS - 1])
+            parts.append((part, 0, k))
+            size += len(part)
+            if size >= 1 << 18:
+                flush()
+                parts.clear()
+                size = 0
+    if parts:
+        flush()
+    return [np.unique(np.concatenate(x)) if x else np.zeros(0, np.uint64) for x in found]
+
+
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """Four words of 64 bits, each set in over half the mixed hashes."""
+    counts = np.zeros(256, np.int64)
+    for k in range(0, len(hashes), 1 << 13):
+        mixed = hashes[k : k + (1 << 13), None] ^ _SEEDS
+        mixed = (mixed ^ (mixed >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+        mixed ^= mixed >> np.uint64(32)
+        bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(len(mixed), 32), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.uint32)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The class of a row, a hash of its set of shingles, and the signature of the set."""
+    for batch in batches:
+        sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
+        classes = np.array([np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), "<i8") for x in sets]).reshape(-1, 2)
+        signed = np.array([signature(x) for x in sets], np.uint64).reshape(-1, 4).view(np.int64)
+        columns = [batch.column("row"), batch.column("id"), *(pa.array(classes[:, k].copy()) for k in (0, 1))]
+        columns += [pa.array(signed[:, k].copy()) for k in range(4)]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "c1", "c2", "s0", "s1", "s2", "s3"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
+        lists = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["node", "set"])
+
+
+def _pairer(bits: int):
+    """For one bucket of a table, pairs of nodes (a, b) whose fingerprints are near."""
+
+    def pair(table: pa.Table) -> pa.Table:
+        raw = table.column("fp").to_numpy().view(np.uint64)
+        nodes = table.column("node").to_numpy()
+        order = np.lexsort((nodes, raw))
+        raw, nodes = raw[order], nodes[order]
+        fps, first, which = np.unique(raw, return_index=True, return_inverse=True)
+        u, v = _pairs_in(table.column("bucket")[0].as_py(), fps, bits, TABLE_BITS)
+        # Nodes of one fingerprint are each paired with its first, and the firsts with each other.
+        a = np.concatenate([nodes, nodes[first][u]])
+        b = np.concatenate([nodes[first][which], nodes[first][v]])
+        ends = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
+        return pa.table([pa.array(ends[:, k].copy(), pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return pair
+
+
+def near_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of `classes` (node, s0 to s3) that meet in a table and differ in at most MOST_APART bits."""
+    words = [F.col(f"s{t // 2}") for t in range(TABLES)]
+    halves = [F.shiftrightunsigned(w, 32) if t % 2 else w.bitwiseAND(F.lit((1 << 32) - 1)) for t, w in enumerate(words)]
+    tables = F.array(*[F.struct(F.lit(t).alias("t"), h.alias("fp")) for t, h in enumerate(halves)])
+    held = classes.select("node", F.inline(tables))
+    bits = _bucket_bits(held, TABLE_BITS, ["t"])
+    own = F.shiftrightunsigned("fp", TABLE_BITS - bits)
+    spread = held.select("t", "node", "fp", _spread(held, own, bits).alias("bucket"))
+    met = spread.groupBy("t", "bucket").applyInArrow(_pairer(bits), "a long, b long").distinct()
+    for end in ("a", "b"):
+        side = classes.select(F.col("node").alias(end), F.array("s0", "s1", "s2", "s3").alias(f"s_{end}"))
+        met = lookup_join(met, side, [end], max_bytes=BROADCAST_BYTES)
+    apart = sum(F.bit_count(F.col("s_a")[k].bitwiseXOR(F.col("s_b")[k])) for k in range(4))
+    return met.where(apart <= MOST_APART).select("a", "b")
+
+
+def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of `pairs` (a, b) whose sets (node, set) have at least LIKENESS of their union in common."""
+    for end in ("a", "b"):
+        side = sets.select(F.col("node").alias(end), F.col("set").alias(f"set_{end}"))
+        pairs = lookup_join(pairs, side, [end], max_bytes=BROADCAST_BYTES)
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    return pairs.where(common >= LIKENESS * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of `pairs` whose ends have different roots; a node without one is its own."""
+    for end in ("a", "b"):
+        side = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        pairs = lookup_join(pairs, side, [end], "left", max_bytes=BROADCAST_BYTES)
+    return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """(row, id, root) of each row of `docs` (row, id, text): rows of one root are connected by near pairs.
+
+    Two texts are near if their sets of shingles have at least LIKENESS of their union in common. Texts of equal
+    sets are one class, and only one row of each is compared with others.
+    """
+    rows = docs.mapInArrow(_signed, "row long, id long, c1 long, c2 long, s0 long, s1 long, s2 long, s3 long")
+    rows = written(rows, "signed")
+    classes = rows.groupBy("c1", "c2").agg(F.min("row").alias("node"), *[F.min(f"s{k}").alias(f"s{k}") for k in range(4)])
+    classes = written(classes, "classes")
+    pairs = written(near_pairs(classes.drop("c1", "c2")), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    sets = written(docs.select("row", "text").join(sized(ends), "row").mapInArrow(_sets, "node long, set array<long>"), "sets")
+    edges, roots, left, most = pairs.limit(0), None, pairs, 1
+    while roots is None or not left.isEmpty():
+        # Each node's first pairs are compared; where they connect, no other pairs between the same two
+        # groups need be. The number taken grows, so that rounds are few and every pair is settled.
+        ranked = left.withColumn("k", F.row_number().over(Window.partitionBy("a").orderBy("b")))
+        found = alike(ranked.where(F.col("k") <= most).drop("k"), sets)
+        edges = edges.unionByName(written(found, "alike"))
+        roots = written(components(edges), "roots")
+        left = written(_apart(ranked.where(F.col("k") > most).drop("k"), roots), "left")
+        most *= 8
+    named = classes.join(sized(roots), "node", "left")
+    named = named.select("c1", "c2", F.coalesce("root", "node").alias("root"))
+    return lookup_join(rows.select("row", "id", "c1", "c2"), named, ["c1", "c2"], max_bytes=BROADCAST_BYTES).drop("c1", "c2")
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """`docs` with one document of each component: that with the smallest doc_id.
+    """`docs` with one row of each group of near copies: that with the smallest doc_id, null last.
 
-    A document is a pair of doc_id and text. Of equal ids the text with the smaller hash
-    stays; ids that are null come last. Rows that repeat the document that stays are kept.
+    See `near_groups`. Texts without a word, null ones too, are one group; of rows that repeat an id any one stays. All columns
+    pass through.
     """
-    rows, nodes = _rooted(docs)
-    found = rows.join(nodes, "fp").select("root", F.struct(F.isnull("doc_id").alias("n"), "doc_id", "th").alias("d"))
-    best = found.groupBy("root").agg(F.min("d").alias("best"))
-    lost = found.join(best, "root").where("d <> best").select("d").distinct()
-    key, hashed = fresh(docs, "_lost_id"), fresh(docs, "_lost_hash")
-    lost = lost.select(F.col("d.doc_id").alias(key), F.col("d.th").alias(hashed))
-    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64(F.col("text")) == F.col(hashed))
-    return docs.join(sized(written(lost, "lost")), same, "left_anti")
+    number = fresh(docs, "_row")
+    numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    rows = numbered.select(
+        F.col(number).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
+    )
+    groups = near_groups(rows).groupBy("root").agg(F.min(F.struct(F.isnull("id"), "id", "row"))["row"].alias(number))
+    return numbered.join(sized(written(groups.select(number), "kept")), number, "left_semi").drop(number)

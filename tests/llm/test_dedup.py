@@ -21,21 +21,19 @@ def sentence(n: int) -> str:
     return " ".join(RNG.choices(WORDS, k=n))
 
 
-def brute_lines(rows, least):
+def brute_whole(rows, least):
+    """Every run of enough words counts, each extended to its maximum."""
     seen, out = set(), {}
-    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+    for doc, text in rows:
         lines = text.split("\n")
         at = [k for k, x in enumerate(lines) if x.split()]
         gone = set()
         for i in range(len(at)):
-            words = 0
             for j in range(i, len(at)):
-                words += len(lines[at[j]].split())
-                if words >= least:
+                if sum(len(lines[k].split()) for k in at[i : j + 1]) >= least:
                     key = tuple(lines[k].strip() for k in at[i : j + 1])
                     gone |= set(at[i : j + 1]) if key in seen else set()
                     seen.add(key)
-                    break
         out[doc] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
@@ -44,7 +42,7 @@ def test_lines_equal_brute_force(make):
     pool = [sentence(RNG.randint(1, 7)) for _ in range(12)] + ["", "  "]
     rows = [(k, "\n".join(RNG.choices(pool, k=RNG.randint(1, 14)))) for k in range(60)]
     got = {r.doc_id: r.text for r in linededup.dedup_lines(make(rows)).collect()}
-    assert got == brute_lines(rows, linededup.MIN_WORDS)
+    assert got == brute_whole(rows, linededup.MIN_WORDS)
 
 
 def test_lines_of_odd_rows(make):
@@ -64,33 +62,16 @@ def test_lines_of_hot_runs_and_repeated_rows(make, monkeypatch):
     hot, other = sentence(12), "\n".join(sentence(4) for _ in range(5))
     rows = [(k, f"{sentence(11)} {k}\n{hot}\n{other}") for k in range(40)]
     got = linededup.dedup_lines(make(rows * 7)).collect()
-    want = brute_lines(rows, linededup.MIN_WORDS)
+    want = brute_whole(rows, linededup.MIN_WORDS)
     assert len(got) == 7 * len(rows) and all(r.text == want[r.doc_id] for r in got)
 
 
-def brute_whole(rows, least):
-    """Every run of enough words counts, each extended to its maximum."""
-    seen, out = set(), {}
-    for doc, text in rows:
-        lines = text.split("\n")
-        at = [k for k, x in enumerate(lines) if x.split()]
-        gone = set()
-        for i in range(len(at)):
-            for j in range(i, len(at)):
-                if sum(len(lines[k].split()) for k in at[i : j + 1]) >= least:
-                    key = tuple(lines[k].strip() for k in at[i : j + 1])
-                    gone |= set(at[i : j + 1]) if key in seen else set()
-                    seen.add(key)
-        out[doc] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
-    return out
-
-
 def test_whole_runs_go_to_their_last_line(make):
     rng = random.Random(11)
     words = lambda n: " ".join(rng.choices(WORDS, k=n))
     shared = "\n".join([words(13), words(13), words(5)])
     rows = [(1, f"{shared}\nfirst one"), (2, f"{shared}\nsecond"), (3, f"third\n{shared}")]
-    got = {r.doc_id: r.text for r in linededup.dedup_lines(make(rows), whole=True).collect()}
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(make(rows)).collect()}
     assert got == {1: rows[0][1], 2: "second", 3: "third"}
 
 
@@ -105,7 +86,7 @@ def test_whole_runs_equal_brute_force(make, least):
             other = rng.choice(rows)[1].split("\n")
             lines[rng.randint(0, len(lines)) :] = [*other[rng.randrange(len(other)) :], f"own {k}", *lines[:3]]
         rows.append((k, "\n".join(lines)))
-    got = {r.doc_id: r.text for r in linededup.dedup_lines(make(rows), least, whole=True).collect()}
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(make(rows), least).collect()}
     assert got == brute_whole(rows, least)
 
 
@@ -167,13 +148,88 @@ def test_near_duplicates_of_odd_rows(make):
     mark = f"{brute_print(text):016x}"
     assert got >= {(5, mark, 3), (3, mark, 3), (None, mark, 3), (9, "0" * 16, 8), (8, "0" * 16, 8)}
     kept = simhash.drop_near_duplicates(make(rows))
-    assert sorted(r.doc_id for r in kept.collect()) == [3, 3, 7, 8] and kept.columns == make([]).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 7, 8] and kept.columns == make([]).columns
     assert simhash.near_duplicates(make([])).collect() == []
     assert [r.doc_id for r in simhash.drop_near_duplicates(make([(None, text)])).collect()] == [None]
     two = simhash.drop_near_duplicates(make([(5, text), (5, sentence(150)), (4, text)])).collect()
     assert sorted(r.doc_id for r in two) == [4, 5]
 
 
+def five_words(text):
+    words = re.findall("[^\x20\x09-\x0d]+", (text or "").lower())
+    return {" ".join(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) > 4 else {" ".join(words)} - {""}
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def changed(words, n, rng):
+    """The words with n of them replaced, dropped or doubled."""
+    words = list(words)
+    for _ in range(n):
+        k = rng.randrange(len(words))
+        words[k : k + 1] = rng.choice([[f"new{rng.randrange(9999)}"], [], [words[k], words[k]]])
+    return words
+
+
+def test_near_groups_hold_pairs_of_five_word_likeness(llm):
+    rng = random.Random(17)
+    pool = [f"w{k}" for k in range(3000)]
+    texts = [None, "", " \n", "one two", "ONE two", "a b c d e", "a b c d e f"]
+    for _ in range(120):
+        words = rng.choices(pool, k=rng.choice([12, 60, 150, 400]))
+        texts.append(" ".join(words))
+        for _ in range(rng.randint(0, 3)):
+            texts.append("\n".join(changed(words, rng.randint(0, max(1, len(words) // 25)), rng)))
+    long = rng.choices(pool, k=120_000)
+    texts += [" ".join(long), " ".join(changed(long, 500, rng)), " ".join(rng.choices(pool, k=120_000))]
+    rows = llm.createDataFrame(list(enumerate(texts)), "row long, text string").selectExpr("row", "row + 1000 AS id", "text")
+    root = {r["row"]: r["root"] for r in simhash.near_groups(rows).collect()}
+    sets = [five_words(t) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if likeness(sets[i], sets[j]) >= 0.8]
+    unequal = [(i, j) for i, j in pairs if sets[i] != sets[j]]
+    assert len(unequal) > 60
+    assert np.mean([root[i] == root[j] for i, j in unequal]) >= 0.9
+    assert all(root[i] == root[j] for i, j in pairs if sets[i] == sets[j])
+    # Nothing is in a group that pairs do not lead to.
+    nodes = linked_by(len(texts), pairs)
+    assert all(nodes[i] == nodes[j] for i in root for j in root if root[i] == root[j])
+
+
+def linked_by(n, pairs):
+    root = list(range(n))
+    for _ in range(n):
+        before = list(root)
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+        if before == root:
+            return root
+    return root
+
+
+def test_a_large_family_of_near_copies_makes_few_pairs(llm, monkeypatch):
+    rng = random.Random(19)
+    words = [f"w{k}" for k in rng.choices(range(5000), k=300)]
+    texts = [" ".join(changed(words, rng.randint(1, 4), rng)) for _ in range(400)] + [" ".join(rng.choices(words, k=300)) for _ in range(50)]
+    rows = llm.createDataFrame(list(enumerate(texts)), "row long, text string").selectExpr("row", "row AS id", "text")
+    compared, real = [], simhash.alike
+
+    def counting(pairs, held):
+        compared.append(pairs.count())
+        return real(pairs, held)
+
+    monkeypatch.setattr(simhash, "alike", counting)
+    root = {r["row"]: r["root"] for r in simhash.near_groups(rows).collect()}
+    # Far fewer pairs are compared by their shingles than the 80,000 of the family.
+    assert sum(compared) <= 10 * 400
+    assert len({root[k] for k in range(400)}) <= 8 and len({root[k] for k in range(400, 450)}) == 50
+    sets = simhash.shingle_hashes([t.encode() for t in texts])
+    signed = [(k, *map(int, simhash.signature(s).view(np.int64))) for k, s in enumerate(sets)]
+    classes = llm.createDataFrame(signed, "node long, s0 long, s1 long, s2 long, s3 long")
+    assert simhash.near_pairs(classes).count() < 100 * 400
+
+
 def brute_contained(docs, items):
     split = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     grams = lambda w, k: {" ".join(w[j : j + k]) for j in range(len(w) - k + 1)}
