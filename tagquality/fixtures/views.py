@@ -1,7 +1,7 @@
 """Input tables of the engine, derived from whole test tables.
 
-`oracle.py` holds the same derivations in SQL. No view drops rows: every row of
-its base table becomes a row of the view.
+`oracle.py` holds the same derivations in SQL. No view filters its base table: every row goes
+into the view, or into one of its distinct values.
 """
 
 from __future__ import annotations
