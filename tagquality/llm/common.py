@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from pathlib import Path
 
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagquality.plans.joins import payload_bytes
+from tagquality.plans.session import shared_folder
 
 #: A side of a join is broadcast only if its measured payload is at most this many bytes.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -41,18 +41,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder.rstrip("/")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share."""
+    return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

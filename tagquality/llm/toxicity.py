@@ -4,8 +4,9 @@ A word is the mean of the vectors of its character n-grams, so that misspelt and
 forms share most of it. The words of a segment are averaged and go through a linear
 softmax of two classes. A text is cut into segments from end to end, and scores as
 its highest segment: one insult in a long text is not averaged away. Training follows
-that: after a first pass over random segments, the gradient of a document goes through
-the segment that decides it.
+that: after first passes over whole documents, each of their words once, the gradient of a document
+goes through the segment that decides it. n-grams that few documents have stay at zero, so that a
+small sample is not learned by heart.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tagquality.llm.common import held_out, written
 
-SEGMENT = 12
+SEGMENT = 5
 GRAMS = (3, 4, 5)
 BUCKETS = 1 << 17
 DIM = 8
@@ -29,6 +30,9 @@ EPOCHS = 8
 #: A small sample is gone through more often, until it has made so many steps.
 STEPS = 600
 BATCH = 32
+#: Passes over whole documents at first, at most half of all; documents that an n-gram must be in.
+FIRST_PASSES = 10
+MIN_DOCS = 4
 THRESHOLD = 0.3
 #: Bounds of the labelled sample: documents of each label, and the length of the texts used for it.
 SAMPLE_DOCS = 3000
@@ -36,7 +40,8 @@ SAMPLE_CHARS = 40_000
 #: Words whose score a worker keeps; it starts anew when full.
 KEPT_WORDS = 300_000
 
-_WORDS = re.compile(r"[^\W\d_]+").findall
+# From a letter or digit to the last one before white space or a mark; symbols within belong to the word.
+_WORDS = re.compile(r"[^\W_](?:[^\s_.,;:!?]*[^\W_])?").findall
 
 
 def grams(word: str) -> list[int]:
@@ -81,7 +86,13 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> Scorer:
     begins = np.concatenate(([0], np.cumsum(sizes)))[:-1]
     features = np.concatenate(lists) if lists else np.zeros(0, np.int32)
     del index, lists
+    held = np.zeros(BUCKETS, np.int64)
+    for doc in docs:
+        own = [features[begins[w] : begins[w] + sizes[w]] for w in np.unique(doc)]
+        held[np.unique(np.concatenate(own)) if own else []] += 1
+    rare = held < MIN_DOCS
     embed = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
+    embed[rare] = 0
     out = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = np.full((BUCKETS, 1), 1e-3, np.float32)
@@ -95,7 +106,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> Scorer:
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         return features[np.repeat(begins[words], n) + inner], whose
 
-    for epoch in range(max(EPOCHS, -(-STEPS * BATCH // max(1, len(docs))))):
+    passes = max(EPOCHS, -(-STEPS * BATCH // max(1, len(docs))))
+    for epoch in range(passes):
         order = rng.permutation(len(docs))
         for k in range(0, len(order), BATCH):
             batch = [i for i in order[k : k + BATCH] if len(docs[i])]
@@ -104,8 +116,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> Scorer:
             segments, whose = [], []
             for i in batch:
                 parts = [docs[i][j : j + SEGMENT] for j in range(0, len(docs[i]), SEGMENT)]
-                if epoch == 0:
-                    chosen = [parts[j] for j in rng.choice(len(parts), min(8, len(parts)), replace=False)]
+                if epoch < min(FIRST_PASSES, passes // 2):
+                    chosen = [np.unique(docs[i])]
                 else:
                     words, at = np.unique(docs[i], return_inverse=True)
                     grams_of, owner = of_words(words)
@@ -119,7 +131,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> Scorer:
             words = np.concatenate(segments)
             segment_of = np.repeat(np.arange(len(segments)), [len(s) for s in segments])
             grams_of, owner = of_words(words)
-            share = (1.0 / (sizes[words] * SEGMENT)).astype(np.float32)[owner]
+            many = np.array([max(SEGMENT, len(s)) for s in segments])[segment_of]
+            share = (1.0 / (sizes[words] * many)).astype(np.float32)[owner]
             into = segment_of[owner]
             mean = np.zeros((len(segments), DIM), np.float32)
             np.add.at(mean, into, embed[grams_of] * share[:, None])
@@ -132,6 +145,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> Scorer:
             seen_out += slope_out**2
             seen_bias += slope_bias**2
             slope = back[into] * share[:, None]
+            slope[rare[grams_of]] = 0
             places, inverse = np.unique(grams_of, return_inverse=True)
             total = np.zeros((len(places), DIM), np.float32)
             np.add.at(total, inverse, slope)

@@ -191,6 +191,10 @@ def test_pooling_equals_a_plain_convolution():
         assert np.allclose(got, want, rtol=1e-3, atol=1e-2)
 
 
+def test_words_keep_their_symbols():
+    assert toxicity._WORDS("st0p1d, so!well (id*ot) x_y 7") == ["st0p1d", "so", "well", "id*ot", "x", "y", "7"]
+
+
 def test_logit_equals_a_plain_loop():
     rng = np.random.default_rng(4)
     scorer = toxicity.Scorer(rng.normal(0, 1, toxicity.BUCKETS), 0.25)
