@@ -41,6 +41,9 @@ LIKENESS = 0.8
 TABLE_BITS = 32
 TABLES = 8
 MOST_APART = 64
+#: Leading bits of a table tried in turn, until no bucket has more than NEAR_BUCKET fingerprints of its own.
+NEAR_BITS = (4, 8, 12, 16, 20)
+NEAR_BUCKET = 1 << 16
 #: Words of a text that are worked at once.
 TEXT_WORDS = 50_000
 #: Fingerprints whose outer variants are made at once in a task.
@@ -168,19 +171,19 @@ def _spread(fps: DataFrame, own, bits: int):
     return F.explode(F.transform(spread, lambda m: own.bitwiseXOR(m.cast("long"))))
 
 
-def _bucket_bits(fps: DataFrame, width: int, keys: list[str]) -> int:
-    """The first of BUCKET_BITS with which no bucket has more than BUCKET fingerprints of its own, else the last."""
-    for bits in BUCKET_BITS:
+def _bucket_bits(fps: DataFrame, width: int, keys: list[str], tried: tuple[int, ...], most: int) -> int:
+    """The first of `tried` leading bits with which no bucket has more than `most` fingerprints of its own, else the last."""
+    for bits in tried:
         own = F.shiftrightunsigned("fp", width - bits)
         largest = fps.groupBy(*keys, own.alias("k")).count().agg(F.max("count")).first()[0] or 0
-        if largest <= BUCKET:
+        if largest <= most:
             break
     return bits
 
 
 def links(fps: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all distinct fingerprints `fp` within RADIUS bits of each other."""
-    bits = _bucket_bits(fps, 64, [])
+    bits = _bucket_bits(fps, 64, [], BUCKET_BITS, BUCKET)
     own = F.shiftrightunsigned("fp", 64 - bits)
     spread = fps.select("fp", _spread(fps, own, bits).alias("bucket"))
     return spread.groupBy("bucket").applyInArrow(_linker(bits), "a long, b long")
@@ -291,7 +294,8 @@ def _pairer(bits: int):
         order = np.lexsort((nodes, raw))
         raw, nodes = raw[order], nodes[order]
         fps, first, which = np.unique(raw, return_index=True, return_inverse=True)
-        u, v = _pairs_in(table.column("bucket")[0].as_py(), fps, bits, TABLE_BITS)
+        bucket = table.column("bucket")[0].as_py() & (1 << bits) - 1
+        u, v = _pairs_in(bucket, fps, bits, TABLE_BITS)
         # Nodes of one fingerprint are each paired with its first, and the firsts with each other.
         a = np.concatenate([nodes, nodes[first][u]])
         b = np.concatenate([nodes[first][which], nodes[first][v]])
@@ -307,10 +311,12 @@ def near_pairs(classes: DataFrame) -> DataFrame:
     halves = [F.shiftrightunsigned(w, 32) if t % 2 else w.bitwiseAND(F.lit((1 << 32) - 1)) for t, w in enumerate(words)]
     tables = F.array(*[F.struct(F.lit(t).alias("t"), h.alias("fp")) for t, h in enumerate(halves)])
     held = classes.select("node", F.inline(tables))
-    bits = _bucket_bits(held, TABLE_BITS, ["t"])
+    bits = _bucket_bits(held, TABLE_BITS, ["t"], NEAR_BITS, NEAR_BUCKET)
     own = F.shiftrightunsigned("fp", TABLE_BITS - bits)
     spread = held.select("t", "node", "fp", _spread(held, own, bits).alias("bucket"))
-    met = spread.groupBy("t", "bucket").applyInArrow(_pairer(bits), "a long, b long").distinct()
+    # Table and bucket as one number: so many of these rows are shuffled that a column counts.
+    spread = spread.select((F.col("t") * (1 << bits) + F.col("bucket")).alias("bucket"), "node", "fp")
+    met = spread.groupBy("bucket").applyInArrow(_pairer(bits), "a long, b long").distinct()
     for end in ("a", "b"):
         side = classes.select(F.col("node").alias(end), F.array("s0", "s1", "s2", "s3").alias(f"s_{end}"))
         met = lookup_join(met, side, [end], max_bytes=BROADCAST_BYTES)
