@@ -41,6 +41,8 @@ LIKENESS = 0.8
 TABLE_BITS = 32
 TABLES = 8
 MOST_APART = 64
+#: Bits in which a pair may differ of the 64 that go beside a table's fingerprint.
+MOST_IN_CHECK = 20
 #: Leading bits of a table tried in turn, until no bucket has more than NEAR_BUCKET fingerprints of its own.
 NEAR_BITS = (4, 8, 12, 16, 20)
 NEAR_BUCKET = 1 << 16
@@ -285,22 +287,42 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["node", "set"])
 
 
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
+    """Places of edges (a, b) between 0..n-1 that connect as much as all of them, and make no circle."""
+    parent, kept = list(range(n)), []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append(k)
+    return kept
+
+
 def _pairer(bits: int):
-    """For one bucket of a table, pairs of nodes (a, b) whose fingerprints are near."""
+    """For one bucket of a table, pairs of nodes (a, b) whose fingerprints are near and whose checks are alike.
+
+    Of a group only as many pairs are given as connect it, so that they grow with its nodes.
+    """
 
     def pair(table: pa.Table) -> pa.Table:
         raw = table.column("fp").to_numpy().view(np.uint64)
-        nodes = table.column("node").to_numpy()
+        nodes, check = table.column("node").to_numpy(), table.column("w").to_numpy()
         order = np.lexsort((nodes, raw))
-        raw, nodes = raw[order], nodes[order]
+        raw, nodes, check = raw[order], nodes[order], check[order]
         fps, first, which = np.unique(raw, return_index=True, return_inverse=True)
         bucket = table.column("bucket")[0].as_py() & (1 << bits) - 1
         u, v = _pairs_in(bucket, fps, bits, TABLE_BITS)
         # Nodes of one fingerprint are each paired with its first, and the firsts with each other.
-        a = np.concatenate([nodes, nodes[first][u]])
-        b = np.concatenate([nodes[first][which], nodes[first][v]])
-        ends = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
-        return pa.table([pa.array(ends[:, k].copy(), pa.int64()) for k in (0, 1)], names=["a", "b"])
+        a = np.concatenate([np.arange(len(nodes)), first[u]])
+        b = np.concatenate([first[which], first[v]])
+        alike = (a != b) & (np.bitwise_count((check[a] ^ check[b]).view(np.uint64)) <= MOST_IN_CHECK)
+        a, b = a[alike], b[alike]
+        kept = _forest(a, b, len(nodes))
+        ends = [nodes[x[kept]] for x in (a, b)]
+        return pa.table([pa.array(f(*ends), pa.int64()) for f in (np.minimum, np.maximum)], names=["a", "b"])
 
     return pair
 
@@ -309,13 +331,15 @@ def near_pairs(classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of `classes` (node, s0 to s3) that meet in a table and differ in at most MOST_APART bits."""
     words = [F.col(f"s{t // 2}") for t in range(TABLES)]
     halves = [F.shiftrightunsigned(w, 32) if t % 2 else w.bitwiseAND(F.lit((1 << 32) - 1)) for t, w in enumerate(words)]
-    tables = F.array(*[F.struct(F.lit(t).alias("t"), h.alias("fp")) for t, h in enumerate(halves)])
+    # Beside the fingerprint of a table goes a word of the signature that it is not from.
+    checks = [F.col(f"s{(t // 2 + 1) % 4}") for t in range(TABLES)]
+    tables = F.array(*[F.struct(F.lit(t).alias("t"), h.alias("fp"), w.alias("w")) for t, (h, w) in enumerate(zip(halves, checks, strict=True))])
     held = classes.select("node", F.inline(tables))
     bits = _bucket_bits(held, TABLE_BITS, ["t"], NEAR_BITS, NEAR_BUCKET)
     own = F.shiftrightunsigned("fp", TABLE_BITS - bits)
-    spread = held.select("t", "node", "fp", _spread(held, own, bits).alias("bucket"))
+    spread = held.select("t", "node", "fp", "w", _spread(held, own, bits).alias("bucket"))
     # Table and bucket as one number: so many of these rows are shuffled that a column counts.
-    spread = spread.select((F.col("t") * (1 << bits) + F.col("bucket")).alias("bucket"), "node", "fp")
+    spread = spread.select((F.col("t") * (1 << bits) + F.col("bucket")).alias("bucket"), "node", "fp", "w")
     met = spread.groupBy("bucket").applyInArrow(_pairer(bits), "a long, b long").distinct()
     for end in ("a", "b"):
         side = classes.select(F.col("node").alias(end), F.array("s0", "s1", "s2", "s3").alias(f"s_{end}"))
