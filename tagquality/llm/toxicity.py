@@ -30,7 +30,7 @@ EPOCHS = 8
 #: A small sample is gone through more often, until it has made so many steps.
 STEPS = 600
 BATCH = 32
-#: Passes over whole documents at first, at most half of all; documents that an n-gram must be in.
+#: Passes over whole documents at first, at most a quarter of all; documents that an n-gram must be in.
 FIRST_PASSES = 10
 MIN_DOCS = 4
 THRESHOLD = 0.3
@@ -116,7 +116,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> Scorer:
             segments, whose = [], []
             for i in batch:
                 parts = [docs[i][j : j + SEGMENT] for j in range(0, len(docs[i]), SEGMENT)]
-                if epoch < min(FIRST_PASSES, passes // 2):
+                if epoch < min(FIRST_PASSES, passes // 4):
                     chosen = [np.unique(docs[i])]
                 else:
                     words, at = np.unique(docs[i], return_inverse=True)
