@@ -7,21 +7,23 @@ of odd parity also the ones at 2 bits. The shuffle is on the leading bits of the
 a fingerprint goes once to each bucket that its variants fall into, and the variants
 themselves are made there, block by block.
 
-`drop_near_duplicates` goes by sets of five-word shingles that are alike to 0.8 at least, which differ in more bits than a ball of
-radius 3 holds. It takes the same search over several short fingerprints: of 256 bits of a SimHash, each 32 are a table,
-and a pair of 0.8 is within 3 bits in one of the 8 tables in 9 of 10 cases, one of 0.9 nearly always. Pairs that
-meet are compared in all bits, and what is left by their shingles.
+`drop_near_duplicates` goes by sets of five-word shingles that are alike to 0.8 at least, and finds every such pair or
+connects its ends through others. First, sets that have 32 bits of a SimHash in common are compared: most near copies are connected
+by that, at eight rows a set. Then the rest is found by prefixes: under one order of all shingles, two sets of that likeness share
+one of the first fifth of each, and more of somewhat longer prefixes. Shingles that are common in a sample come last in the order, which only decides how many
+sets share one. Bounds that hold for every pair (sizes; parities of hashed shingles) part most pairs before their shingles are compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagquality.llm.common import BROADCAST_BYTES, components, fresh, sized, written
@@ -35,17 +37,22 @@ RADIUS = 3
 BUCKET_BITS = (8, 12, 16, 20)
 BUCKET = 20_000
 #: Near duplicates: words of a shingle, least likeness of two sets of shingles, bits and number of tables, and
-#: the bits of all tables in which a pair may differ to be looked at by its shingles.
+#: the bits of all tables in which a pair may differ to be looked at by its shingles at first.
 NEAR_WORDS = 5
 LIKENESS = 0.8
 TABLE_BITS = 32
 TABLES = 8
 MOST_APART = 64
-#: Bits in which a pair may differ of the 64 that go beside a table's fingerprint.
-MOST_IN_CHECK = 20
-#: Leading bits of a table tried in turn, until no bucket has more than NEAR_BUCKET fingerprints of its own.
-NEAR_BITS = (4, 8, 12, 16, 20)
-NEAR_BUCKET = 1 << 16
+#: One row in so many is counted to learn which shingles are common, and so many of these are known to a task.
+#: They only order the shingles; any order gives the same pairs.
+COUNTED_ROWS = 16
+MOST_COMMON = 1 << 17
+#: One of so many of a set's shingles more than the fewest go into its prefix, so that as many must be shared.
+SHARED_PART = 20
+#: Words of 64 bits of a set's parities.
+PARITY_WORDS = 4
+#: Sets of one shingle that a task compares with as many others at once.
+TILE = 256
 #: Words of a text that are worked at once.
 TEXT_WORDS = 50_000
 #: Fingerprints whose outer variants are made at once in a task.
@@ -269,83 +276,143 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The class of a row, a hash of its set of shingles, and the signature of the set."""
-    for batch in batches:
-        sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
-        classes = np.array([np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), "<i8") for x in sets]).reshape(-1, 2)
-        signed = np.array([signature(x) for x in sets], np.uint64).reshape(-1, 4).view(np.int64)
-        columns = [batch.column("row"), batch.column("id"), *(pa.array(classes[:, k].copy()) for k in (0, 1))]
-        columns += [pa.array(signed[:, k].copy()) for k in range(4)]
-        yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "c1", "c2", "s0", "s1", "s2", "s3"])
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Bits that say which places odd numbers of hashes fall on: two sets differ in at least as many hashes as bits."""
+    places = ((hashes * _SEEDS[0]) >> np.uint64(64 - (PARITY_WORDS * 64).bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(places, minlength=PARITY_WORDS * 64) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<u8")
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first of a set's sorted hashes, by their counts and then themselves.
+
+    Of n hashes at most (1 - LIKENESS) * n are missing in a set that is alike. With n / SHARED_PART and one more than these, two
+    sets that are alike have as many in common there as the smaller of them has more.
+    """
+    if not len(hashes):
+        return hashes
+    most = math.floor(len(hashes) * (1 - LIKENESS) + 1e-6) + len(hashes) // SHARED_PART + 1
+    if not len(common):
+        return hashes[:most]
+    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    return hashes[np.argsort(np.where(common[at] == hashes, counts[at], 0), kind="stable")[:most]]
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
-        lists = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["node", "set"])
+        for found in sets:
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["t"])
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
-    """Places of edges (a, b) between 0..n-1 that connect as much as all of them, and make no circle."""
-    parent, kept = list(range(n)), []
-    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        while parent[y] != y:
-            parent[y] = y = parent[parent[y]]
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append(k)
-    return kept
+def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes, in order, that more than one of the counted rows have, and their counts; the most frequent of them."""
+    counted = docs.where(F.pmod(F.xxhash64("row"), F.lit(COUNTED_ROWS)) == 0).select("text")
+    counts = counted.mapInArrow(_shingles, "t long").groupBy("t").agg(F.count("*").alias("n")).where("n > 1")
+    found = counts.orderBy(F.desc("n"), "t").limit(MOST_COMMON).toArrow()
+    hashes = found.column("t").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], found.column("n").to_numpy()[order]
 
 
-def _pairer(bits: int):
-    """For one bucket of a table, pairs of nodes (a, b) whose fingerprints are near and whose checks are alike.
+_SIGNS = [f"s{k}" for k in range(4)]
+_PARITIES = [f"p{k}" for k in range(PARITY_WORDS)]
 
-    Of a group only as many pairs are given as connect it, so that they grow with its nodes.
-    """
 
-    def pair(table: pa.Table) -> pa.Table:
-        raw = table.column("fp").to_numpy().view(np.uint64)
-        nodes, check = table.column("node").to_numpy(), table.column("w").to_numpy()
-        order = np.lexsort((nodes, raw))
-        raw, nodes, check = raw[order], nodes[order], check[order]
-        fps, first, which = np.unique(raw, return_index=True, return_inverse=True)
-        bucket = table.column("bucket")[0].as_py() & (1 << bits) - 1
-        u, v = _pairs_in(bucket, fps, bits, TABLE_BITS)
-        # Nodes of one fingerprint are each paired with its first, and the firsts with each other.
-        a = np.concatenate([np.arange(len(nodes)), first[u]])
-        b = np.concatenate([first[which], first[v]])
-        alike = (a != b) & (np.bitwise_count((check[a] ^ check[b]).view(np.uint64)) <= MOST_IN_CHECK)
-        a, b = a[alike], b[alike]
-        kept = _forest(a, b, len(nodes))
-        ends = [nodes[x[kept]] for x in (a, b)]
-        return pa.table([pa.array(f(*ends), pa.int64()) for f in (np.minimum, np.maximum)], names=["a", "b"])
-
-    return pair
+def _signer(common):
+    """The class of a row, a hash of its set of shingles, with size, signature, parities and prefix of the set."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
+            classes = np.array([np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), "<i8") for x in sets]).reshape(-1, 2)
+            signed = np.array([np.concatenate([signature(x), parities(x)]) for x in sets], np.uint64)
+            signed = signed.reshape(-1, 4 + PARITY_WORDS).view(np.int64)
+            first = pa.array([prefix(x, *common.value).view(np.int64) for x in sets], pa.list_(pa.int64()))
+            columns = [batch.column("row"), batch.column("id"), *(pa.array(classes[:, k].copy()) for k in (0, 1))]
+            columns += [pa.array([len(x) for x in sets], pa.int32()), first]
+            columns += [pa.array(signed[:, k].copy()) for k in range(signed.shape[1])]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "id", "c1", "c2", "n", "first", *_SIGNS, *_PARITIES])
+
+    return sign
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
+        lists = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["node", "set"])
 
 
 def near_pairs(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of `classes` (node, s0 to s3) that meet in a table and differ in at most MOST_APART bits."""
+    """Pairs (a, b) of `classes` (node, s0 to s3) that are neighbours in a table and differ in at most MOST_APART bits.
+
+    Nodes of one fingerprint are a chain, so that pairs grow with the nodes.
+    """
     words = [F.col(f"s{t // 2}") for t in range(TABLES)]
-    halves = [F.shiftrightunsigned(w, 32) if t % 2 else w.bitwiseAND(F.lit((1 << 32) - 1)) for t, w in enumerate(words)]
-    # Beside the fingerprint of a table goes a word of the signature that it is not from.
-    checks = [F.col(f"s{(t // 2 + 1) % 4}") for t in range(TABLES)]
-    tables = F.array(*[F.struct(F.lit(t).alias("t"), h.alias("fp"), w.alias("w")) for t, (h, w) in enumerate(zip(halves, checks, strict=True))])
-    held = classes.select("node", F.inline(tables))
-    bits = _bucket_bits(held, TABLE_BITS, ["t"], NEAR_BITS, NEAR_BUCKET)
-    own = F.shiftrightunsigned("fp", TABLE_BITS - bits)
-    spread = held.select("t", "node", "fp", "w", _spread(held, own, bits).alias("bucket"))
-    # Table and bucket as one number: so many of these rows are shuffled that a column counts.
-    spread = spread.select((F.col("t") * (1 << bits) + F.col("bucket")).alias("bucket"), "node", "fp", "w")
-    met = spread.groupBy("bucket").applyInArrow(_pairer(bits), "a long, b long").distinct()
-    for end in ("a", "b"):
-        side = classes.select(F.col("node").alias(end), F.array("s0", "s1", "s2", "s3").alias(f"s_{end}"))
-        met = lookup_join(met, side, [end], max_bytes=BROADCAST_BYTES)
-    apart = sum(F.bit_count(F.col("s_a")[k].bitwiseXOR(F.col("s_b")[k])) for k in range(4))
-    return met.where(apart <= MOST_APART).select("a", "b")
+    halves = [F.shiftrightunsigned(w, TABLE_BITS) if t % 2 else w.bitwiseAND(F.lit((1 << TABLE_BITS) - 1)) for t, w in enumerate(words)]
+    tables = F.array(*[F.struct(F.lit(t).alias("t"), h.alias("fp")) for t, h in enumerate(halves)])
+    held = classes.select("node", *_SIGNS, F.inline(tables))
+    chain = Window.partitionBy("t", "fp").orderBy(*_SIGNS, "node")
+    met = held.select(F.col("node").alias("a"), *_SIGNS, F.lead(F.struct("node", *_SIGNS)).over(chain).alias("next"))
+    apart = sum(F.bit_count(F.col(s).bitwiseXOR(F.col(f"next.{s}"))) for s in _SIGNS)
+    met = met.where(F.col("next").isNotNull() & (apart <= MOST_APART)).select("a", F.col("next.node").alias("b"))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _possible(a: Column, b: Column) -> Column:
+    """Whether sets of these sizes and parities may be alike: false for no pair that is."""
+    most = F.least(a["n"], b["n"]) + 1e-6 >= LIKENESS * F.greatest(a["n"], b["n"])
+    apart = sum(F.bit_count(a[p].bitwiseXOR(b[p])) for p in _PARITIES)
+    return most & (apart <= (a["n"] + b["n"]) * ((1 - LIKENESS) / (1 + LIKENESS)) + 1e-6)
+
+
+def buckets(classes: DataFrame) -> DataFrame:
+    """(t, node, set) of each shingle t that begins several of `classes` (node, first, n, parities); set holds size and parities."""
+    begun = classes.select(F.explode("first").alias("t"), "node")
+    shared = begun.withColumn("c", F.count("*").over(Window.partitionBy("t"))).where("c > 1").select("t", "node")
+    held = classes.select("node", F.struct("n", *_PARITIES).alias("set"))
+    return lookup_join(written(shared, "shared"), held, ["node"], max_bytes=BROADCAST_BYTES).select("t", "node", "set")
+
+
+def _pairs_of(met: DataFrame, part: int) -> DataFrame:
+    """Pairs (a, b) of `met` (x, y: node and set) that may be alike and meet in one of `part` of the buckets they must share."""
+    x, y = F.col("x"), F.col("y")
+    met = met.where(_possible(x["set"], y["set"])).select(
+        F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b"),
+        F.least(x["set"]["n"], y["set"]["n"]).alias("n"),
+    )
+    met = met.groupBy("a", "b", "n").agg(F.count("*").alias("c"))
+    return met.where(F.col("c") * part >= F.floor(F.col("n") / SHARED_PART) + 1).select("a", "b")
+
+
+def neighbours(held: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that are next to each other in many buckets, in order of size, and may be alike."""
+    chain = Window.partitionBy("t").orderBy("set.n", "node")
+    row = F.struct("node", "set")
+    return _pairs_of(held.select(row.alias("x"), F.lead(row).over(chain).alias("y")).where("y IS NOT NULL"), 2)
+
+
+def crossing(held: DataFrame, roots: DataFrame) -> DataFrame:
+    """All pairs (a, b) of nodes of a bucket that have different roots and may be alike.
+
+    The nodes of a bucket are ordered by root and cut into tiles; each goes to the tiles before and behind
+    its root's, so that a task holds two tiles of a bucket however large that is.
+    """
+    named = lookup_join(held, roots.select("node", "root"), ["node"], "left", max_bytes=BROADCAST_BYTES)
+    named = named.withColumn("root", F.coalesce("root", "node"))
+    several = named.groupBy("t").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c")).where("low < high")
+    placed = lookup_join(named, several.select("t", "c"), ["t"], max_bytes=BROADCAST_BYTES)
+    place = F.row_number().over(Window.partitionBy("t").orderBy("root", "node")) - 1
+    group = Window.partitionBy("t", "root")
+    placed = placed.withColumn("k", place).withColumns({"low": F.min("k").over(group), "high": F.max("k").over(group)})
+    tile = lambda x: F.floor(x / TILE).cast("int")
+    here, row = tile(F.col("k")), F.struct("node", "root", "set")
+    behind = F.explode(F.sequence(tile(F.col("high") + 1), tile(F.col("c") - 1)))
+    before = F.explode(F.sequence(F.lit(0), tile(F.col("low") - 1)))
+    left = placed.where("high + 1 < c").select("t", here.alias("i"), behind.alias("j"), row.alias("x"))
+    right = placed.where("low > 0").select("t", before.alias("i"), here.alias("j"), row.alias("y"))
+    return _pairs_of(left.join(right, ["t", "i", "j"]).where(F.col("x.root") < F.col("y.root")), 1)
 
 
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -365,20 +432,13 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """(row, id, root) of each row of `docs` (row, id, text): rows of one root are connected by near pairs.
-
-    Two texts are near if their sets of shingles have at least LIKENESS of their union in common. Texts of equal
-    sets are one class, and only one row of each is compared with others.
-    """
-    rows = docs.mapInArrow(_signed, "row long, id long, c1 long, c2 long, s0 long, s1 long, s2 long, s3 long")
-    rows = written(rows, "signed")
-    classes = rows.groupBy("c1", "c2").agg(F.min("row").alias("node"), *[F.min(f"s{k}").alias(f"s{k}") for k in range(4)])
-    classes = written(classes, "classes")
-    pairs = written(near_pairs(classes.drop("c1", "c2")), "pairs")
+def _settled(docs: DataFrame, pairs: DataFrame, edges: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """`edges` with those of `pairs` that are alike, but for pairs that others connect, and the roots of their nodes."""
+    pairs = written(pairs, "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     sets = written(docs.select("row", "text").join(sized(ends), "row").mapInArrow(_sets, "node long, set array<long>"), "sets")
-    edges, roots, left, most = pairs.limit(0), None, pairs, 1
+    edges = pairs.limit(0) if edges is None else edges
+    roots, left, most = None, pairs, 1
     while roots is None or not left.isEmpty():
         # Each node's first pairs are compared; where they connect, no other pairs between the same two
         # groups need be. The number taken grows, so that rounds are few and every pair is settled.
@@ -388,7 +448,25 @@ def near_groups(docs: DataFrame) -> DataFrame:
         roots = written(components(edges), "roots")
         left = written(_apart(ranked.where(F.col("k") > most).drop("k"), roots), "left")
         most *= 8
-    named = classes.join(sized(roots), "node", "left")
+    return edges, roots
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """(row, id, root) of each row of `docs` (row, id, text): rows of one root are connected by near pairs.
+
+    Two texts are near if their sets of shingles have at least LIKENESS of their union in common; all that are
+    have one root. Texts of equal sets are one class, and only one row of each is compared with others.
+    """
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
+    signs = ", ".join(f"{c} long" for c in [*_SIGNS, *_PARITIES])
+    rows = docs.mapInArrow(_signer(common), f"row long, id long, c1 long, c2 long, n int, first array<long>, {signs}")
+    rows = written(rows, "signed")
+    named = written(rows.groupBy("c1", "c2").agg(F.min("row").alias("node")), "classes")
+    nodes = rows.withColumnRenamed("row", "node").join(sized(named.select("node")), "node", "left_semi")
+    held = written(buckets(nodes), "buckets")
+    edges, roots = _settled(docs, near_pairs(nodes).unionByName(neighbours(held)).distinct(), None)
+    edges, roots = _settled(docs, crossing(held, roots), edges)
+    named = named.join(sized(roots), "node", "left")
     named = named.select("c1", "c2", F.coalesce("root", "node").alias("root"))
     return lookup_join(rows.select("row", "id", "c1", "c2"), named, ["c1", "c2"], max_bytes=BROADCAST_BYTES).drop("c1", "c2")
 

@@ -208,6 +208,27 @@ def linked_by(n, pairs):
     return root
 
 
+def test_no_pair_of_five_word_likeness_is_lost(llm, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 2)
+    monkeypatch.setattr(simhash, "COUNTED_ROWS", 1)
+    rng = random.Random(23)
+    hot = [f"h{k}" for k in range(8)]  # a passage that most texts hold
+    texts = []
+    for k in range(150):
+        words = [f"w{rng.randrange(9999)}" for _ in range(rng.choice([9, 40, 120]))] + (hot if k % 3 else [])
+        texts += [" ".join(words)] + [" ".join(changed(words, max(1, len(words) // 45), rng)) for _ in range(2)]
+        texts.append(" ".join([*words, *[f"x{rng.randrange(9999)}" for _ in range(round((len(words) - 4) / 4))]]))
+    rows = llm.createDataFrame(list(enumerate(texts)), "row long, text string").selectExpr("row", "row AS id", "text")
+    root = {r["row"]: r["root"] for r in simhash.near_groups(rows).collect()}
+    sets = [five_words(t) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if likeness(sets[i], sets[j]) >= 0.8]
+    assert sum(likeness(sets[i], sets[j]) < 0.83 for i, j in pairs) > 40
+    assert [p for p in pairs if root[p[0]] != root[p[1]]] == []
+    nodes = linked_by(len(texts), pairs)
+    assert all(len({root[k] for k in range(len(texts)) if nodes[k] == n}) == 1 for n in set(nodes))
+    assert len(set(root.values())) == len(set(nodes))
+
+
 def test_a_large_family_of_near_copies_makes_few_pairs(llm, monkeypatch):
     rng = random.Random(19)
     words = [f"w{k}" for k in rng.choices(range(5000), k=300)]
