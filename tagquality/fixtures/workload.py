@@ -39,6 +39,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RUN_ID = "run-0001"
+#: Requests in a file of the stream at most, about.
+REQUESTS_PER_FILE = 250_000
 
 
 def query(build: Callable[[SampleTables], DataFrame]) -> Callable[[SampleTables], DataFrame]:
@@ -734,9 +736,10 @@ def audit_view(t: SampleTables) -> DataFrame:
 def request_stream(t: SampleTables) -> DataFrame:
     """Requests as a stream of several micro-batches into the audit log."""
     root = f"{shared_folder(t.spark)}/request_stream/{uuid.uuid4()}"
-    t.requests.repartition(3).write.parquet(f"{root}/requests")
+    files = max(3, -(-t.requests.count() // REQUESTS_PER_FILE))
+    t.requests.repartition(files, "request_id").write.parquet(f"{root}/requests")
     log = requests.RequestLog(f"{root}/log")
-    stream = requests.read_requests_stream(t.spark, f"{root}/requests", max_files=2)
+    stream = requests.read_requests_stream(t.spark, f"{root}/requests", max_files=-(-2 * files // 3))
     requests.process_requests(
         stream, f"requests_{uuid.uuid4().hex}", log, lambda: t.registry, as_of=EVENTS_AS_OF, available_now=True
     ).awaitTermination()

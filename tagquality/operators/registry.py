@@ -245,10 +245,13 @@ def audit_states(done: DataFrame, state: str | Column, as_of: AsOf = None) -> Da
 
 
 def audit_log(log: DataFrame, states: DataFrame | None = None) -> DataFrame:
-    """The whole audit log, newest first, each request with its newest state."""
+    """The whole audit log, newest first and then by request, each request with its newest state.
+
+    Many requests have one time; by that alone all of them would be sorted in one task.
+    """
     if states is not None:
         newest = F.max_by("status", F.struct("state_time", "status"))
         latest = states.groupBy("request_id").agg(newest.alias("_state"))
         log = log.join(latest, "request_id", "left")
         log = log.withColumn("status", F.coalesce("_state", "status")).drop("_state")
-    return log.orderBy(F.desc("request_time"))
+    return log.orderBy(F.desc("request_time"), "request_id")

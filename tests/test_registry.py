@@ -162,3 +162,15 @@ def test_audit_rows_are_appended_once_and_get_states(spark, tmp_path):
         "two": "COMPLETED", "known": "COMPLETED", "default": "SUBMITTED", "empty": "SUBMITTED",
         "outside": "REJECTED", "nothing": "REJECTED",
     }
+
+
+def test_audit_log_of_one_time_is_sorted_in_several_tasks(spark):
+    rows = spark.range(5000, -1, -1).selectExpr("lpad(id, 6, '0') AS request_id", "TIMESTAMP '2024-01-01' AS request_time")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        log = registry.audit_log(rows)
+        held = log.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r.request_id for r in held] == sorted(r.request_id for r in held)
+    assert len({r.part for r in held}) > 1
