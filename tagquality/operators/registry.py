@@ -233,7 +233,8 @@ def append_audit(rows: DataFrame, path: str) -> None:
     spark = rows.sparkSession
     known = read_log(spark, path, SCAN_AUDIT_LOG).select("request_id")
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCAN_AUDIT_LOG.fields])
-    typed.dropDuplicates(["request_id"]).join(known, "request_id", "left_anti").select(
+    # Shuffled before they are sorted: a task sorts its share of the requests, not a whole input file.
+    typed.repartition("request_id").dropDuplicates(["request_id"]).join(known, "request_id", "left_anti").select(
         *SCAN_AUDIT_LOG.fieldNames()
     ).write.mode("append").parquet(path)
 
