@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,33 @@ def prepare(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+#: Functions of other stages whose results a worker keeps between tasks, and the C library's way to return memory.
+_KEPT: list = []
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+
+
+def kept_by_worker(cached):
+    """Marks a cached function whose results `make_room` lets go."""
+    _KEPT.append(cached)
+    return cached
+
+
+def give_back() -> None:
+    """Returns memory that is free, but still held by Arrow and the C library, to the machine."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def make_room() -> None:
+    """Lets go what earlier stages kept in this worker, such as compiled vocabularies; they make it anew if they come back."""
+    if any(cached.cache_info().currsize for cached in _KEPT):
+        for cached in _KEPT:
+            cached.cache_clear()
+        gc.collect()
+    give_back()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagquality.llm.common import BROADCAST_BYTES, components, fresh, sized, written
+from tagquality.llm.common import BROADCAST_BYTES, components, fresh, make_room, sized, written
 from tagquality.llm.phrases import Block
 from tagquality.plans.joins import lookup_join
 
@@ -299,6 +299,7 @@ def prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.nda
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    make_room()
     for batch in batches:
         sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
         for found in sets:
@@ -323,6 +324,7 @@ def _signer(common):
     """The class of a row, a hash of its set of shingles, with size, signature, parities and prefix of the set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
             classes = np.array([np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), "<i8") for x in sets]).reshape(-1, 2)
@@ -338,6 +340,7 @@ def _signer(common):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    make_room()
     for batch in batches:
         sets = shingle_hashes([raw or b"" for raw in batch.column("text").cast(pa.binary()).to_pylist()])
         lists = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))

@@ -8,8 +8,12 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
+import pyarrow as pa
+
 import __spark_entry__
 import corpus_pipeline
+from tagquality.llm import bpe, simhash
+from tagquality.llm.queries import vocabulary
 
 
 def test_every_operator_is_registered():
@@ -44,3 +48,24 @@ def test_stages_keep_columns_and_their_decisions_hold(llm, make, tmp_path):
     assert set(kept["decontamination"]) == clean
     got = corpus_pipeline.run(llm, str(folder)).collect()
     assert {r.doc_id for r in got} == clean and all(r.n_tokens > 0 for r in got)
+
+
+def test_near_dedup_does_not_keep_the_vocabulary_of_an_earlier_stage(make):
+    docs = make([(k, f"some words of document {k} and ten more") for k in range(40)]).repartition(4)
+    bpe.encode_documents(docs, vocabulary()).collect()
+
+    def held(batches):
+        list(simhash._shingles(batches))
+        from tagquality.llm import bpe as loaded
+
+        yield pa.RecordBatch.from_arrays([pa.array([loaded.automaton.cache_info().currsize])], names=["n"])
+
+    assert {r.n for r in docs.select("text").mapInArrow(held, "n long").collect()} == {0}
+
+
+def test_the_transition_table_is_held_once():
+    machine = bpe.Automaton(bpe.load_spec(vocabulary()))
+    ids = machine.encode("the cats of thermodynamics, unbelievably 1234 " + "ab" * 300)
+    rows = machine.table.nbytes
+    assert len(ids) and len(machine.states) <= len(machine.table) and rows <= 64 * (machine.size // 8 + 1) * 2
+    assert not [k for k, v in vars(machine).items() if isinstance(v, dict) for x in v.values() if isinstance(x, bytes) and len(x) > 4000]
