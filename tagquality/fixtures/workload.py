@@ -30,7 +30,7 @@ from tagquality.operators import (
     scores,
     tags,
 )
-from tagquality.plans.session import shared_folder
+from tagquality.plans.session import cut, shared_folder
 from tagquality.schemas import SCAN_AUDIT_LOG
 from tagquality.sources.tables import append_results, write_promoted
 from tagquality.streaming import events, requests
@@ -382,8 +382,9 @@ def percent_null_check(t: SampleTables) -> DataFrame:
 def table_results(t: SampleTables) -> DataFrame:
     rows = t.base("events").withColumn("table_id", F.col("user_id").cast("string"))
     known = rows.where(F.col("ts") <= F.lit(VOLUME_AS_OF).cast("timestamp_ntz"))
-    volume = monitor.completeness(rows, ["table_id"], "ts", VOLUME_AS_OF, known=known)
-    fresh = monitor.freshness(t.commits, EVENTS_AS_OF)
+    # Both are read twice below.
+    volume = cut(monitor.completeness(rows, ["table_id"], "ts", VOLUME_AS_OF, known=known))
+    fresh = cut(monitor.freshness(t.commits, EVENTS_AS_OF))
     impact = monitor.downstream_impact(t.tables, t.lineage, t.query_history)
     unhealthy = monitor.unhealthy_tables(fresh, volume)
     records = monitor.assemble_results(

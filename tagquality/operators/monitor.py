@@ -183,9 +183,9 @@ def completeness(
     same = F.get("_weekdays", F.lit(0))
     enough = F.size(same) >= MIN_SAME_WEEKDAY
     stats = stats.withColumn("_groups", F.when(enough, F.col("_weekdays")).otherwise(F.array(F.flatten("_weekdays"))))
-    off = F.flatten(
-        F.transform("_groups", lambda days: F.transform(days, lambda x: F.abs(x - _median(days))))
-    )
+    # The median of a group is taken once, not for each of its days.
+    middle = F.transform("_groups", lambda days: F.struct(days.alias("days"), _median(days).alias("median")))
+    off = F.flatten(F.transform(middle, lambda g: F.transform(g["days"], lambda x: F.abs(x - g["median"]))))
     stats = stats.select(
         *keys, "actual_rows", "baseline_days",
         _median(F.get("_groups", F.lit(0))).alias("expected_rows"), _median(off).alias("mad_rows"),
@@ -392,10 +392,13 @@ def root_causes(
 
 
 def unhealthy_tables(freshness_df: DataFrame, completeness_df: DataFrame) -> DataFrame:
-    """Ids of the tables that fail one of the checks."""
-    stale = freshness_df.where(F.col("freshness_status") == UNHEALTHY).select("table_id")
-    short = completeness_df.where(F.col("completeness_status") == UNHEALTHY).select("table_id")
-    return stale.unionByName(short).distinct()
+    """Ids of the tables that fail one of the checks.
+
+    The checks' outcomes are written first: a filter on a status, moved below them, would hold each median many times over.
+    """
+    fresh = freshness_df.select("table_id", F.col("freshness_status").alias("_status"))
+    outcomes = cut(fresh.unionByName(completeness_df.select("table_id", F.col("completeness_status").alias("_status"))))
+    return outcomes.where(F.col("_status") == UNHEALTHY).select("table_id").distinct()
 
 
 def assemble_results(

@@ -104,6 +104,15 @@ def test_one_outlier_does_not_widen_the_baseline(spark):
     assert got["completeness_status"] == "Unhealthy" and 99 <= got["expected_rows"] <= 101
 
 
+def test_filters_on_outcomes_do_not_repeat_the_medians(spark):
+    events = commits(spark, "late", *range(10, 40)).union(commits(spark, "fine", *range(0, 30)))
+    fresh = monitor.freshness(events, AS_OF)
+    volume = monitor.completeness(events, ["table_id"], "commit_time", AS_OF)
+    found = monitor.unhealthy_tables(fresh, volume)
+    assert "lambdafunction" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.table_id for r in found.collect()} == {r.table_id for r in fresh.collect() if r.freshness_status == "Unhealthy"}
+
+
 def test_totals_of_a_table(spark):
     rows = [("t", NOW - timedelta(days=3), 100), ("t", NOW - timedelta(hours=5), -20), ("new", NOW, 5), ("t", NOW + timedelta(days=1), 9)]
     got = {r[0]: (r[1], r[2]) for r in monitor.table_totals(spark.createDataFrame(rows, COMMITS), AS_OF).collect()}
