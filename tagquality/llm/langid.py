@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tagquality.llm.common import fresh, held_out, sized, written
+from tagquality.llm.common import fresh, held_out, make_room, sized, written
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -145,6 +145,7 @@ def has_letter(text: str | None) -> bool:
 
 def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each document up to SAMPLE_WINDOWS windows, spread evenly from its begin to its end."""
+    make_room()
     for batch in batches:
         langs, orders, cut = [], [], []
         for lang, order, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text")), strict=True):
@@ -205,6 +206,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     columns = [*docs.columns, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         net = sent.value
         tables = net.tables() if net else {}
         for batch in batches:

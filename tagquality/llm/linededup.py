@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tagquality.llm.common import fresh, scratch, sized, written
+from tagquality.llm.common import fresh, make_room, scratch, sized, written
 
 MIN_WORDS = 10
 #: The n places of one run are dealt to sqrt(n / CHUNK) groups when they are compared with the first of them.
@@ -38,6 +38,7 @@ def _line_rows(min_words: int, whole: bool):
     `most`: runs of need to most lines are the shortest that end at their last lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             prints: list[bytes] = []
             counts: list[int] = []
@@ -197,6 +198,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = True)
     columns_out = [*columns_in, names["n_lines"], names["n_removed"]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             texts, lines, removed = [], [], []
             for text, cut in zip(batch.column("text"), batch.column(runs_in), strict=True):

@@ -12,7 +12,7 @@ import pyarrow as pa
 
 import __spark_entry__
 import corpus_pipeline
-from tagquality.llm import bpe, simhash
+from tagquality.llm import bpe, langid, linededup, simhash
 from tagquality.llm.queries import vocabulary
 
 
@@ -69,3 +69,19 @@ def test_the_transition_table_is_held_once():
     rows = machine.table.nbytes
     assert len(ids) and len(machine.states) <= len(machine.table) and rows <= 64 * (machine.size // 8 + 1) * 2
     assert not [k for k, v in vars(machine).items() if isinstance(v, dict) for x in v.values() if isinstance(x, bytes) and len(x) > 4000]
+
+
+def test_line_dedup_and_language_id_do_not_keep_the_vocabulary_of_an_earlier_run(make):
+    docs = make([(k, f"some words of document {k} and ten more of them\nand a line") for k in range(40)]).repartition(4)
+    rows = linededup._keyed(docs.select("doc_id", "text"))
+    sample = docs.selectExpr("lang", "doc_id AS h", "text")
+    for stage, inputs in ((linededup._line_rows(10, True), rows), (langid._sample_windows, sample)):
+        bpe.encode_documents(docs, vocabulary()).collect()
+
+        def held(batches, stage=stage):
+            list(stage(batches))
+            from tagquality.llm import bpe as loaded
+
+            yield pa.RecordBatch.from_arrays([pa.array([loaded.automaton.cache_info().currsize])], names=["n"])
+
+        assert {r.n for r in inputs.mapInArrow(held, "n long").collect()} == {0}
