@@ -98,11 +98,16 @@ def tagged_columns(
 def split_excluded(
     bindings: DataFrame, table_tags: DataFrame, name: str = EXCLUDE_TAG, value: str = EXCLUDE_VALUE
 ) -> tuple[DataFrame, DataFrame]:
-    """(bindings to scan, bindings of tables tagged as excluded)."""
+    """(bindings to scan, bindings of tables tagged as excluded).
+
+    Each task holds the excluded tables of its part and lets the bindings pass: these are many rows of
+    long texts that compress well, so that a part of usual size would take many times that to be sorted.
+    """
     excluded = (
         table_tags.where((F.col("tag_name") == name) & (F.col("tag_value") == value))
         .select(*TABLE_KEY)
         .distinct()
+        .hint("shuffle_hash")
     )
     return (
         bindings.join(excluded, TABLE_KEY, "left_anti"),

@@ -76,6 +76,21 @@ def test_excluded_tables(spark):
     assert [r["table_name"] for r in excluded.collect()] == ["a"]
 
 
+def test_bindings_are_not_sorted_to_leave_out_excluded_tables(spark):
+    columns = "catalog_name STRING, schema_name STRING, table_name STRING, rule_name STRING"
+    bindings = spark.createDataFrame([("c", "s", f"t{k % 50}", f"r{k}") for k in range(500)] + [("c", "s", None, "r")], columns)
+    marks = spark.createDataFrame([("c", "s", f"t{k}", "dqm_exclude", "true") for k in range(10)] * 2, TABLE_TAGS)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(limit, "-1")
+    try:
+        kept, excluded = tags.split_excluded(bindings, marks)
+        assert (kept.count(), excluded.count()) == (401, 100)
+        for part in (kept, excluded):
+            assert "Sort" not in part._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(limit)
+
+
 def test_dimension_repeats_a_schema_of_two_owners(spark):
     schemata = spark.createDataFrame([("c", "s", "1"), ("c", "t", "2")], SCHEMATA)
     df = schema_tags(spark, ("c", "s", "askid", "P"), ("c", "s", "askid", "Q"), ("c", "gone", "askid", "R"))
