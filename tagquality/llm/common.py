@@ -6,8 +6,10 @@ import ctypes
 import gc
 import os
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,9 +93,9 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def sized(side: DataFrame) -> DataFrame:
+def sized(side: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """`side` marked for broadcast if its measured payload is within the bound, else as it is."""
-    return F.broadcast(side) if payload_bytes(side) <= BROADCAST_BYTES else side
+    return F.broadcast(side) if payload_bytes(side) <= max_bytes else side
 
 
 def held_out(doc_id: Column) -> Column:
@@ -101,16 +103,64 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+#: Edges that a task takes before it replaces what it holds by stars, and rows of these that it gives at once.
+EDGES_HELD = 1 << 18
+STAR_ROWS = 1 << 14
+
+
+def least_connected(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The smallest node that each of 0..n-1 is connected to by the edges (u, v)."""
+    parent = np.arange(n)
+    while len(u):
+        pu, pv = parent[u], parent[v]
+        apart = pu != pv
+        u, v, pu, pv = u[apart], v[apart], pu[apart], pv[apart]
+        np.minimum.at(parent, np.maximum(pu, pv), np.minimum(pu, pv))
+        while not np.array_equal(parent, parent[parent]):
+            parent = parent[parent]
+    return parent
+
+
+def _stars(ends: np.ndarray) -> np.ndarray:
+    """Edges (2 x n) from the smallest node of each component of the given ones to its others."""
+    nodes, at = np.unique(ends, return_inverse=True)
+    root = least_connected(*at.reshape(2, -1), len(nodes))
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return np.stack([nodes[root[moved]], nodes[moved]])
+
+
+def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges (a, b) of a task as stars; it holds about as many edges as it has nodes."""
+    held, waiting = [np.zeros((2, 0), np.int64)], 0
+    for batch in batches:
+        held.append(np.stack([batch.column(c).to_numpy() for c in ("a", "b")]))
+        waiting += batch.num_rows
+        if waiting >= max(EDGES_HELD, held[0].shape[1]):
+            held, waiting = [_stars(np.concatenate(held, axis=1))], 0
+    a, b = _stars(np.concatenate(held, axis=1))
+    for k in range(0, len(a), STAR_ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(x[k : k + STAR_ROWS]) for x in (a, b)], names=["a", "b"])
+
+
+def _contracted(edges: DataFrame) -> tuple[DataFrame, bool]:
+    """`edges` with those of each task as stars, and whether any task's may touch another's."""
+    stars = _proper(edges).mapInArrow(_starred, "a long, b long").withColumn("part", F.spark_partition_id())
+    stars = written(stars, "edges")
+    parts = stars.agg(F.min("part").alias("low"), F.max("part").alias("high")).first()
+    return stars.drop("part"), parts["low"] != parts["high"]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of `edges` (a, b: long) as rows (node, root); roots are nodes.
 
-    In each round every node points to the neighbour, or itself, of least random
+    Each task connects what it can of its own edges; where one task has them all, that is all. Else
+    in each round every node points to the neighbour, or itself, of least random
     priority, and the graph is rewritten between the nodes pointed to. A constant part
     of the nodes goes in each round, on chains as on stars; no neighbourhood is collected.
     """
-    edges = written(_proper(edges), "edges")
+    edges, several = _contracted(edges)
     steps: list[DataFrame] = []
-    while not edges.isEmpty():
+    while several:
         order = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(len(steps))).alias("p"), F.col(c).alias("v"))  # noqa: E731, B023
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = both.groupBy("a").agg(F.min(order("b")).alias("best"))
@@ -119,10 +169,9 @@ def components(edges: DataFrame) -> DataFrame:
         ends = step.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         others = step.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         moved = edges.join(ends, "a").join(others, "b")
-        edges = written(_proper(moved.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), "edges")
-    if not steps:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    found = steps.pop()
+        edges, several = _contracted(moved.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    roots = edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
+    found = edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(roots)
     while steps:
         later = found.select(F.col("node").alias("root"), F.col("root").alias("last"))
         found = steps.pop().join(later, "root", "left")

@@ -26,9 +26,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagquality.llm.common import BROADCAST_BYTES, components, fresh, make_room, sized, written
+from tagquality.llm.common import components, fresh, least_connected, make_room, sized, written
 from tagquality.llm.phrases import Block
-from tagquality.plans.joins import lookup_join
+from tagquality.plans.joins import lookup_join, payload_bytes, spread_join
 
 SHINGLE = 3
 SEED = 42
@@ -36,6 +36,8 @@ RADIUS = 3
 #: Leading bits tried in turn, until no bucket has more fingerprints of its own than BUCKET.
 BUCKET_BITS = (8, 12, 16, 20)
 BUCKET = 20_000
+#: Sides of a join that are broadcast: the driver builds each, and what it built goes only with its next collection.
+BROADCAST_BYTES = 8 * 1024 * 1024
 #: Near duplicates: words of a shingle, least likeness of two sets of shingles, bits and number of tables, and
 #: the bits of all tables in which a pair may differ to be looked at by its shingles at first.
 NEAR_WORDS = 5
@@ -107,19 +109,6 @@ def _flips(bits: int, most: int) -> list[list[int]]:
     return [[sum(1 << b for b in c) for c in combinations(range(bits), k)] for k in range(most + 1)]
 
 
-def _roots(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
-    """The smallest node that each of 0..n-1 is connected to."""
-    parent = np.arange(n)
-    while len(u):
-        pu, pv = parent[u], parent[v]
-        apart = pu != pv
-        u, v, pu, pv = u[apart], v[apart], pu[apart], pv[apart]
-        np.minimum.at(parent, np.maximum(pu, pv), np.minimum(pu, pv))
-        while not np.array_equal(parent, parent[parent]):
-            parent = parent[parent]
-    return parent
-
-
 def _pairs_in(bucket: int, fps: np.ndarray, bits: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (u, v) in `fps`, distinct and sorted, whose fingerprints are within RADIUS bits.
 
@@ -163,7 +152,7 @@ def _linker(bits: int):
     def link(table: pa.Table) -> pa.Table:
         fps = np.unique(table.column("fp").to_numpy().view(np.uint64))
         u, v = _pairs_in(table.column("bucket")[0].as_py(), fps, bits, 64)
-        root = _roots(u, v, len(fps))
+        root = least_connected(u, v, len(fps))
         moved = np.flatnonzero(root != np.arange(len(fps)))
         ends = [fps[moved].view(np.int64), fps[root[moved]].view(np.int64)]
         return pa.table([pa.array(x, pa.int64()) for x in ends], names=["a", "b"])
@@ -418,20 +407,25 @@ def crossing(held: DataFrame, roots: DataFrame) -> DataFrame:
     return _pairs_of(left.join(right, ["t", "i", "j"]).where(F.col("x.root") < F.col("y.root")), 1)
 
 
+def _both_ends(pairs: DataFrame, values: DataFrame, name: str, how: str = "inner") -> DataFrame:
+    """`pairs` (a, b) with the column `name` of `values` (node, name) for both; its size is measured once."""
+    small = payload_bytes(values) <= BROADCAST_BYTES
+    for end in ("a", "b"):
+        side = values.select(F.col("node").alias(end), F.col(name).alias(f"{name}_{end}"))
+        pairs = pairs.join(F.broadcast(side), end, how) if small else spread_join(pairs, side, [end], how)
+    return pairs
+
+
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of `pairs` (a, b) whose sets (node, set) have at least LIKENESS of their union in common."""
-    for end in ("a", "b"):
-        side = sets.select(F.col("node").alias(end), F.col("set").alias(f"set_{end}"))
-        pairs = lookup_join(pairs, side, [end], max_bytes=BROADCAST_BYTES)
+    pairs = _both_ends(pairs, sets, "set")
     common = F.size(F.array_intersect("set_a", "set_b"))
     return pairs.where(common >= LIKENESS * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Those of `pairs` whose ends have different roots; a node without one is its own."""
-    for end in ("a", "b"):
-        side = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-        pairs = lookup_join(pairs, side, [end], "left", max_bytes=BROADCAST_BYTES)
+    pairs = _both_ends(pairs, roots, "root", "left")
     return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
@@ -439,7 +433,7 @@ def _settled(docs: DataFrame, pairs: DataFrame, edges: DataFrame | None) -> tupl
     """`edges` with those of `pairs` that are alike, but for pairs that others connect, and the roots of their nodes."""
     pairs = written(pairs, "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    sets = written(docs.select("row", "text").join(sized(ends), "row").mapInArrow(_sets, "node long, set array<long>"), "sets")
+    sets = written(docs.select("row", "text").join(sized(ends, BROADCAST_BYTES), "row").mapInArrow(_sets, "node long, set array<long>"), "sets")
     edges = pairs.limit(0) if edges is None else edges
     roots, left, most = None, pairs, 1
     while roots is None or not left.isEmpty():
@@ -465,11 +459,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     rows = docs.mapInArrow(_signer(common), f"row long, id long, c1 long, c2 long, n int, first array<long>, {signs}")
     rows = written(rows, "signed")
     named = written(rows.groupBy("c1", "c2").agg(F.min("row").alias("node")), "classes")
-    nodes = rows.withColumnRenamed("row", "node").join(sized(named.select("node")), "node", "left_semi")
+    nodes = rows.withColumnRenamed("row", "node").join(sized(named.select("node"), BROADCAST_BYTES), "node", "left_semi")
     held = written(buckets(nodes), "buckets")
     edges, roots = _settled(docs, near_pairs(nodes).unionByName(neighbours(held)).distinct(), None)
     edges, roots = _settled(docs, crossing(held, roots), edges)
-    named = named.join(sized(roots), "node", "left")
+    named = named.join(sized(roots, BROADCAST_BYTES), "node", "left")
     named = named.select("c1", "c2", F.coalesce("root", "node").alias("root"))
     return lookup_join(rows.select("row", "id", "c1", "c2"), named, ["c1", "c2"], max_bytes=BROADCAST_BYTES).drop("c1", "c2")
 
@@ -486,4 +480,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         F.col(number).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
     )
     groups = near_groups(rows).groupBy("root").agg(F.min(F.struct(F.isnull("id"), "id", "row"))["row"].alias(number))
-    return numbered.join(sized(written(groups.select(number), "kept")), number, "left_semi").drop(number)
+    return numbered.join(sized(written(groups.select(number), "kept"), BROADCAST_BYTES), number, "left_semi").drop(number)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tagquality.llm import decontaminate, linededup, simhash
+from tagquality.llm import common, decontaminate, linededup, simhash
 from tagquality.llm.common import components
 
 RNG = random.Random(7)
@@ -141,6 +141,31 @@ def test_components_of_a_chain(llm):
     assert components(edges.limit(0)).collect() == []
 
 
+def test_components_that_one_task_holds_take_one_table(llm, monkeypatch):
+    names = []
+    monkeypatch.setattr(common, "written", lambda df, name, f=common.written: [names.append(name), f(df, name)][1])
+    rows = components(llm.createDataFrame([(k, k + 1) for k in range(300)] + [(900, 800), (7, 7)], "a long, b long")).collect()
+    assert len(rows) == 303 and len({r.root for r in rows}) == 2
+    assert names == ["edges"]
+
+
+def test_components_of_many_tasks_equal_brute_force(llm, monkeypatch):
+    monkeypatch.setattr(common, "EDGES_HELD", 50)
+    edges = [(RNG.randrange(-500, 500), RNG.randrange(-500, 500)) for _ in range(450)]
+    root = {k: k for e in edges for k in e if e[0] != e[1]}
+    for _ in root:
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r.node: r.root for r in components(llm.createDataFrame(edges, "a long, b long")).collect()}
+    finally:
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert found.keys() == root.keys() and set(found.values()) <= root.keys()
+    assert len({(found[k], root[k]) for k in root}) == len(set(found.values())) == len(set(root.values()))
+
+
 def test_near_duplicates_of_odd_rows(make):
     text = sentence(200)
     rows = [(5, text), (3, text), (3, text), (None, text), (9, None), (8, ""), (7, "one two")]
