@@ -211,9 +211,12 @@ def catalog_candidates(history: DataFrame, patterns: DataFrame, max_bytes: int =
 
     A key is never empty: it holds a dot and the literal characters nearest to it that are
     worth most. Shapes of keys are few: places and lengths of a run within REACH characters.
+    Statements are dealt evenly beforehand: a text costs far more work than its bytes tell, so that
+    files, joins before or coalesced partitions would leave many to a few tasks.
     """
     found = patterns.select("_shape.*").dropna().distinct().collect()
-    text = history.withColumn("_text", F.upper("statement_text"))
+    tasks = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text = history.repartition(tasks).withColumn("_text", F.upper("statement_text"))
     keys = _text_keys(F.col("_text"), sorted(tuple(r) for r in found))
     if not found:
         keys = F.array().cast("array<string>")

@@ -77,6 +77,14 @@ def test_ways_beyond_the_broadcast_bound_agree(spark):
     assert set(exact) <= set(like)
 
 
+def test_statements_of_one_partition_are_matched_by_several_tasks(spark):
+    dim = dims(spark, ("cat", "sch"))
+    history = texts(spark, *[f"select {k} from cat.sch.t" for k in range(40)]).coalesce(1)
+    found = query_usage.match_by_like(history, dim).select("statement_id", F.spark_partition_id().alias("task")).collect()
+    assert sorted(int(r["statement_id"]) for r in found) == list(range(40))
+    assert len({r["task"] for r in found}) > 1
+
+
 def test_wildcards_may_stand_for_dots_and_runs_may_be_short(spark):
     rng = random.Random(23)
     parts = ["DEV_U1", "dev.u1", "DEVxU1", "SALES_EU", "sales1eu", "_", "__", "A_B", "a.b", "_x", "é_ü", "s", ".", "a%_b", "ab_"]
